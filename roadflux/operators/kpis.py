@@ -67,36 +67,48 @@ def hourly_zone(events: DataFrame) -> DataFrame:
 
 # --- second family (input of sources.tables.as_kpi_input) --------------------
 
-def zone_traffic(readings: DataFrame) -> DataFrame:
-    totals = readings.groupBy("zone").agg(
+# All three tables have one row per zone, so their measures can also be taken in
+# one pass: ``zone_tables(zone_profile(readings))``.
+
+def _traffic_measures() -> list[Column]:
+    return [
         F.count("*").alias("nombre_mesures"),
         F.avg(VEHICLES).alias("trafic_moyen_vehicules_heure"),
         F.sum(VEHICLES).alias("trafic_total"),
         F.max(VEHICLES).alias("pic_trafic"),
         F.stddev_samp(VEHICLES).alias("variabilite_trafic"),
-    )
-    return totals.withColumn("niveau_trafic", rules.traffic_level(F.col("trafic_moyen_vehicules_heure")))
+    ]
 
 
-def zone_speed(readings: DataFrame) -> DataFrame:
-    totals = readings.groupBy("zone").agg(
+def _speed_measures() -> list[Column]:
+    return [
         F.avg("speed").alias("vitesse_moyenne_kmh"),
         F.min("speed").alias("vitesse_minimale"),
         F.max("speed").alias("vitesse_maximale"),
         F.stddev_samp("speed").alias("ecart_type_vitesse"),
-    )
-    return totals.withColumn("niveau_fluidite", rules.fluidity(F.col("vitesse_moyenne_kmh")))
+    ]
 
 
-def zone_congestion_levels(readings: DataFrame) -> DataFrame:
-    totals = readings.groupBy("zone").agg(
+def _congestion_measures() -> list[Column]:
+    return [
         F.count("*").alias("total_mesures"),
         _slow("speed").alias("mesures_congestionnees"),
         F.avg("occupancy").alias("taux_occupation_moyen"),
         F.avg("speed").alias("vitesse_moyenne"),
-    )
+    ]
+
+
+def _with_traffic_level(zones: DataFrame) -> DataFrame:
+    return zones.withColumn("niveau_trafic", rules.traffic_level(F.col("trafic_moyen_vehicules_heure")))
+
+
+def _with_fluidity(zones: DataFrame) -> DataFrame:
+    return zones.withColumn("niveau_fluidite", rules.fluidity(F.col("vitesse_moyenne_kmh")))
+
+
+def _with_congestion_level(zones: DataFrame) -> DataFrame:
     rate = F.col("taux_congestion_pourcentage")
-    return totals.withColumn(
+    return zones.withColumn(
         "taux_congestion_pourcentage",
         percent(F.col("mesures_congestionnees"), F.col("total_mesures")),
     ).withColumns({
@@ -105,6 +117,37 @@ def zone_congestion_levels(readings: DataFrame) -> DataFrame:
     })
 
 
+def zone_traffic(readings: DataFrame) -> DataFrame:
+    return _with_traffic_level(readings.groupBy("zone").agg(*_traffic_measures()))
+
+
+def zone_speed(readings: DataFrame) -> DataFrame:
+    return _with_fluidity(readings.groupBy("zone").agg(*_speed_measures()))
+
+
+def zone_congestion_levels(readings: DataFrame) -> DataFrame:
+    return _with_congestion_level(readings.groupBy("zone").agg(*_congestion_measures()))
+
+
+def zone_profile(readings: DataFrame) -> DataFrame:
+    return readings.groupBy("zone").agg(*_traffic_measures(), *_speed_measures(), *_congestion_measures())
+
+
+def zone_tables(profile: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "trafic_par_zone": _with_traffic_level(profile.select(
+            "zone", "nombre_mesures", "trafic_moyen_vehicules_heure", "trafic_total", "pic_trafic",
+            "variabilite_trafic",
+        )),
+        "vitesse_moyenne": _with_fluidity(profile.select(
+            "zone", "vitesse_moyenne_kmh", "vitesse_minimale", "vitesse_maximale", "ecart_type_vitesse"
+        )),
+        "taux_congestion": _with_congestion_level(profile.select(
+            "zone", "total_mesures", "mesures_congestionnees", "taux_occupation_moyen", "vitesse_moyenne"
+        )),
+    }
+
+
 def temporal_evolution(readings: DataFrame) -> DataFrame:
     totals = readings.groupBy(
         F.hour("timestamp").alias("heure"), F.date_format("timestamp", "EEEE").alias("jour_semaine")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -29,3 +29,15 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
     return f"{shared_root(spark)}/roadflux/{label}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    Used where several jobs read one expensive result: it is computed once, and
+    a lost executor costs a re-read, not a recomputation.
+    """
+    spark = rows.sparkSession
+    path = fresh_path(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

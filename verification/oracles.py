@@ -319,6 +319,15 @@ PARTS = {
 }
 
 
+# The alert parts again, over the windows a stream has closed.
+for _name in ("tagged", "episodes", "quiet", "last_seen", "opened", "alerts"):
+    _text = PARTS[_name]
+    for _other in ("win", "tagged", "episodes", "quiet", "last_seen", "opened"):
+        _text = re.sub(rf"\b(FROM|JOIN) {_other}\b", rf"\1 closed_{_other}", _text)
+    PARTS[f"closed_{_name}"] = _text
+PARTS["closed_win"] = "SELECT * FROM win WHERE window_end <= (SELECT as_of FROM now) - INTERVAL 2 MINUTE"
+
+
 def _or_zero(*names: str) -> str:
     return ", ".join(f"coalesce({n}, 0) AS {n}" for n in names)
 
@@ -356,6 +365,11 @@ MAIL_FACTS = """'- Type: ' || alert_type || chr(10) || '- Sévérité: ' || seve
  || '- Taux occupation: ' || coalesce(CAST(occupancy_rate AS VARCHAR), 'N/A') || '%'"""
 CHAT_FACTS = MAIL_FACTS.replace("'- ", "'*").replace(": '", ":* '")
 
+LANDED = """SELECT date, zone, count(*) AS messages, CAST(sum(length(value)) AS BIGINT) AS characters FROM (
+ SELECT CASE WHEN l.event_type IN ('view', 'click') THEN strftime(t.event_time, '%Y-%m-%d') ELSE 'quarantine' END AS date,
+ CASE WHEN l.event_type IN ('view', 'click', 'signup') THEN replace(t.zone, '-', '_') ELSE 'Unknown' END AS zone, l.value
+ FROM lines l JOIN traffic t ON l.event_id = t.event_id) GROUP BY 1, 2"""
+
 BODIES = {
     "i1_raw_text_read": "SELECT count(*) AS lines, CAST(sum(length(value)) AS BIGINT) AS characters FROM lines",
     "i2_non_blank_lines": "SELECT event_id, event_type, value FROM lines WHERE trim(value) <> ''",
@@ -626,6 +640,31 @@ BODIES = {
     "t4_window_metrics": "SELECT * FROM win",
     "t6_detected_alerts": "SELECT window_end, road_id, zone, alert_type FROM tagged",
     "t11_alert_lifecycle": "SELECT * FROM alerts",
+    "t2_parsed_messages": f"""SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
+ {TIME_KEPT} AS event_time FROM traffic WHERE event_type IN ('view', 'click')""",
+    "t4_stream_window_metrics": """SELECT * FROM (SELECT date_trunc('minute', event_time) AS window_start,
+ date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end, road_id, zone,
+ avg(vehicle_count) AS avg_vehicle_count, avg(average_speed) AS avg_speed, avg(occupancy_rate) AS avg_occupancy_rate,
+ count(*) AS event_count, max(vehicle_count) AS max_vehicles, min(average_speed) AS min_speed
+ FROM traffic GROUP BY 1, 2, 3, 4) WHERE window_end <= (SELECT as_of FROM now) - INTERVAL 2 MINUTE""",
+    "t7_stream_alerts": "SELECT * FROM closed_alerts",
+    "t13_stream_announcements": """SELECT 'email' AS channel, false AS is_escalation, count(*) AS messages, count(*) AS alerts
+ FROM closed_alerts UNION ALL SELECT 'email', true, CAST(sum(escalation_count) AS BIGINT),
+ count(*) FILTER (WHERE escalation_count > 0) FROM closed_alerts""",
+    "k8_landed_messages": LANDED,
+    "k8_landed_stream": LANDED,
+    "k1_rollup_traffic_by_zone": "SELECT * FROM zone_hour",
+    "k1_rollup_speed_by_road": "SELECT * FROM roads",
+    "k1_rollup_congestion_by_zone": "SELECT * FROM zones",
+    "k1_rollup_hourly_analysis": "SELECT * FROM hours",
+    "j1_second_family_one_pass": """SELECT * REPLACE (round(trafic_moyen_vehicules_heure, 6) AS trafic_moyen_vehicules_heure,
+ round(taux_congestion_pourcentage, 6) AS taux_congestion_pourcentage) FROM critical""",
+    "m1_category_index": """SELECT t.road_type, CAST(r.i AS DOUBLE) AS road_type_index, t.zone, CAST(z.i AS DOUBLE) AS zone_index,
+ count(*) AS n FROM traffic t
+ JOIN (SELECT road_type, row_number() OVER (ORDER BY count(*) DESC, road_type) - 1 AS i FROM traffic GROUP BY 1) r
+  ON t.road_type = r.road_type
+ JOIN (SELECT zone, row_number() OVER (ORDER BY count(*) DESC, zone) - 1 AS i FROM traffic GROUP BY 1) z
+  ON t.zone = z.zone GROUP BY 1, 2, 3, 4""",
     "t13_outbox": f"""SELECT alert_id, escalation_count > 0 AS is_escalation, 'email' AS channel,
  CASE WHEN escalation_count > 0 THEN '🚨 ESCALADE ALERTE TRAFIC - ' ELSE '🚨 ALERTE TRAFIC - ' END || alert_type
   || ' sur ' || road_id AS subject,

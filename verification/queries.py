@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadflux import workspace
 from roadflux.functions import rules, text, timeparts
 from roadflux.operators import (
-    alerts as alert_ops, comparisons, features, kpis, quality, recommendations, upsert,
+    alerts as alert_ops, anomalies, comparisons, features, kpis, quality, recommendations, upsert,
 )
-from roadflux.plans import marts, notifications, panels, reports
+from roadflux.plans import jobs, marts, models, notifications, panels, reports
 from roadflux.sinks import catalog, files, messages, serving
 from roadflux.sources import raw, tables
+from roadflux.streaming import landing, lifecycle, metrics as live
 from verification import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,27 +194,12 @@ simple("i17_volume_gates", fx.traffic, quality.volume_gates)
 
 def _write_processed(s, d) -> str:
     base = workspace.fresh_path(s, "processed")
-    tables_ = {
-        "traffic_by_zone": zone_hour(s, d), "speed_by_road": roads(s, d),
-        "congestion_by_zone": zones(s, d), "hourly_analysis": hours(s, d),
-    }
-    files.write_zone(tables_, base, files.PROCESSED_LAYOUT)
+    jobs.build_processed(fx.traffic(s, d), base)
     return base
 
 
 def _write_analytics(s, d) -> dict[str, str]:
-    stored = tables.processed_zone(s, _write_processed(s, d))
-    stored = {name: frame.drop("processed_at") for name, frame in stored.items()}
-    views = {
-        "kpi_zone_strategique": marts.strategic_zones(stored["traffic_by_zone"]),
-        "performance_routes": marts.road_performance(stored["speed_by_road"]),
-        "analyse_congestion": marts.congestion_analysis(stored["congestion_by_zone"]),
-        "analyse_temporelle": marts.hourly_analysis(stored["hourly_analysis"]),
-        "tableau_bord_executif": marts.executive_overview(
-            stored["traffic_by_zone"], stored["speed_by_road"], stored["congestion_by_zone"]
-        ),
-    }
-    return files.write_zone(views, workspace.fresh_path(s, "analytics"), files.ANALYTICS_LAYOUT)
+    return jobs.build_analytics(s, _write_processed(s, d), workspace.fresh_path(s, "analytics"))
 
 
 @query("i18_processed_zone_read")
@@ -571,3 +557,143 @@ simple("t6_detected_alerts", fx.windows, alert_ops.detect,
 simple("t11_alert_lifecycle", fx.alerts)
 simple("t13_outbox", fx.alerts,
        lambda f: notifications.outbox(f, {"email": True, "slack": True, "webhook": True}))
+
+
+# --- streams ------------------------------------------------------------------------------
+
+def _event_stream(s, d):
+    """The events table as a stream of readings."""
+    schema = fx.table(s, d, "events").schema
+    rows = s.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return fx.as_traffic(rows).withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+
+def _finish(running) -> None:
+    running.awaitTermination()
+    if running.exception():
+        raise running.exception()
+
+
+simple("t2_parsed_messages", fx.raw_lines, raw.stream_events,
+       lambda f: f.drop("ingested_at").withColumn("event_time", F.col("event_time").cast("timestamp_ntz")))
+
+
+@query("t4_stream_window_metrics")
+def _(s, d):
+    path = workspace.fresh_path(s, "live")
+    metrics_ = live.live_metrics(_event_stream(s, d))
+    _finish(live.run(metrics_, live.live_display(path), workspace.fresh_path(s, "live-state"), trigger=None))
+    rows = s.read.option("basePath", path).parquet(path).drop("batch")
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def _alert_stream(s, d) -> str:
+    path = workspace.fresh_path(s, "alert-changes")
+    changes = lifecycle.alert_changes(live.live_metrics(_event_stream(s, d), fx.WINDOW))
+    _finish(live.run(changes, lifecycle.keep_changes(path), workspace.fresh_path(s, "alert-state"), trigger=None))
+    return path
+
+
+@query("t7_stream_alerts")
+def _(s, d):
+    return lifecycle.current_alerts(s, _alert_stream(s, d))
+
+
+@query("t13_stream_announcements")
+def _(s, d):
+    told = lifecycle.announcements(s, _alert_stream(s, d))
+    return notifications.outbox(told, escalated=F.col("is_escalation")).groupBy("channel", "is_escalation").agg(
+        F.count("*").alias("messages"), F.count_distinct("alert_id").alias("alerts")
+    )
+
+
+def _landed(s, path):
+    rows = s.read.text(path)
+    return rows.groupBy("date", "zone").agg(F.count("*").alias("messages"), F.sum(F.length("value")).alias("characters"))
+
+
+@query("k8_landed_messages")
+def _(s, d):
+    path = workspace.fresh_path(s, "landed")
+    landing.land_batch(fx.raw_lines(s, d), path)
+    return _landed(s, path)
+
+
+@query("k8_landed_stream")
+def _(s, d):
+    lines, path = workspace.fresh_path(s, "lines"), workspace.fresh_path(s, "landed")
+    fx.raw_lines(s, d).select("value").write.text(lines)
+    _finish(landing.land_stream(raw.text_stream(s, lines), path, workspace.fresh_path(s, "land-state"), trigger=None))
+    return _landed(s, path)
+
+
+# --- shared rollup ----------------------------------------------------------------------------
+
+for _name in files.PROCESSED_LAYOUT:
+    simple(f"k1_rollup_{_name}", fx.traffic, jobs.road_hours, lambda f, n=_name: jobs.processed_tables(f)[n])
+
+
+@query("j1_second_family_one_pass")
+def _(s, d):
+    return rounded(jobs.second_family(fx.traffic(s, d))["zones_critiques"], 6)
+
+
+# --- models -----------------------------------------------------------------------------------
+
+def _features(s, d):
+    return workspace.written(features.feature_table(fx.traffic(s, d)), "features")
+
+
+@query("m1_category_index")
+def _(s, d):
+    encoded = models.encode_categories(fx.traffic(s, d))
+    return encoded.groupBy("road_type", "road_type_index", "zone", "zone_index").agg(F.count("*").alias("n"))
+
+
+def _scores(s, trained: models.Trained):
+    rows = [(name, float(value)) for name, value in trained.scores.items()]
+    return s.createDataFrame(rows, "metric string, value double")
+
+
+@query("m3_traffic_model")
+def _(s, d):
+    return _scores(s, models.train_traffic(_features(s, d)))
+
+
+@query("m4_congestion_model")
+def _(s, d):
+    return _scores(s, models.train_congestion(_features(s, d)))
+
+
+@query("a27_confusion_matrix")
+def _(s, d):
+    return models.confusion_matrix(models.train_congestion(_features(s, d)).predictions)
+
+
+def _flagged(s, d):
+    table = _features(s, d)
+    return anomalies.flag(anomalies.score(table, anomalies.fit(table)))
+
+
+simple("m5_anomaly_scores", _flagged, lambda f: f.select(*files.PREDICTION_COLUMNS["anomalies_detected"]))
+simple("m6_anomaly_share", _flagged, anomalies.anomaly_share)
+simple("m6_most_severe", _flagged, anomalies.most_severe)
+
+
+def _forecast(s, d):
+    table = _features(s, d)
+    return models.forecast(table, models.train_traffic(table), models.train_speed(table))
+
+
+simple("m8_zone_forecast", _forecast, lambda f: serving.for_serving(f, "traffic_predictions"))
+
+
+@query("g15_forecast_series")
+def _(s, d):
+    return panels.forecast_series(_forecast(s, d), fx.as_of(fx.traffic(s, d)))
+
+
+@query("k10_prediction_tables")
+def _(s, d):
+    paths = jobs.predict(fx.traffic(s, d), workspace.fresh_path(s, "predictions"))
+    return quality.dataset_summary({name: s.read.parquet(path) for name, path in paths.items()})
