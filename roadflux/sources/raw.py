@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.utils import AnalysisException
 
@@ -47,7 +47,12 @@ def repaired_json(line: Column) -> Column:
         )
 
     rebuilt = F.concat(F.lit("{"), F.array_join(F.transform(pairs, quoted), ","), F.lit("}"))
-    return F.when((F.size(pairs) > 0) & is_object(rebuilt), rebuilt)
+    return _checked(rebuilt, lambda text: (text != "{}") & is_object(text))
+
+
+def _checked(text: Column, test: Callable[[Column], Column]) -> Column:
+    """``text`` where ``test`` holds, else NULL; ``text`` is evaluated once."""
+    return F.transform(F.array(text), lambda t: F.when(test(t), t))[0]
 
 
 def regex_repaired_json(line: Column) -> Column:
@@ -55,7 +60,7 @@ def regex_repaired_json(line: Column) -> Column:
     # A bare word before a colon, and a bare value after one.
     keyed = F.regexp_replace(line, r"(\w+):", r'"$1":')
     valued = F.regexp_replace(keyed, r':\s*([^",\{\}\[\]]+?)\s*(?=[,\}])', r':"$1"')
-    return F.when(is_object(valued), valued)
+    return _checked(valued, is_object)
 
 
 def is_object(text: Column) -> Column:
@@ -74,20 +79,35 @@ def typed_fields(json_lines: DataFrame, column: str = "json_str") -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
 def audited_events(lines: DataFrame) -> DataFrame:
-    """Every line with its typed fields and a ``reject_reason`` (NULL when accepted)."""
-    prepared = lines.withColumn("_blank", F.coalesce(F.trim("value") == "", F.lit(True)))
-    parsed = typed_fields(
-        prepared.withColumn("json_str", F.when(~F.col("_blank"), standard_json(F.col("value"))))
-        .withColumn("_object", F.col("json_str").isNotNull())
-    )
-    timed = parsed.withColumn("event_time", parse_event_time(F.col("event_time")))
+    """Every line with its typed fields and a ``reject_reason`` (NULL when accepted).
+
+    Sound JSON is parsed once; only lines that fail are repaired and parsed again.
+    """
+    checked = T.StructType([*RAW_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
+    blank = F.coalesce(F.trim("value") == "", F.lit(True))
+    first = lines.withColumn("_first", F.when(~blank, F.from_json("value", checked)))
+    sound = F.col("_first").isNotNull() & F.col(f"_first.{CORRUPT}").isNull()
+    fixed = first.withColumn("_fixed", F.when(~blank & ~sound, standard_json(F.col("value"))))
+    fields = F.struct(*[F.col(f"_first.{name}").alias(name) for name in RAW_EVENT.names])
+    parsed = fixed.withColumn("_data", F.when(sound, fields).otherwise(F.from_json("_fixed", RAW_EVENT)))
+    timed = parsed.withColumn("_time", parse_event_time(F.col("_data.event_time")))
     reason = (
-        F.when(F.col("_blank"), "blank")
-        .when(~F.col("_object"), "bad_json")
-        .when(F.col("event_time").isNull(), "bad_time")
+        F.when(blank, "blank")
+        .when(~sound & F.col("_fixed").isNull(), "bad_json")
+        .when(F.col("_time").isNull(), "bad_time")
+    )
+    # Out of a generator, the reason is a column like any other; a filter on it
+    # would otherwise be pushed down and parse every line a second time.
+    return timed.select("*", F.explode(F.array(reason)).alias("reject_reason")).select(
+        *lines.columns,
+        *[F.col(f"_data.{name}").alias(name) for name in RAW_EVENT.names if name != "event_time"],
+        F.col("_time").alias("event_time"),
+        "reject_reason",
     )
-    return timed.withColumn("reject_reason", reason).drop("_blank", "_object")
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

@@ -15,15 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_local_root: str | None = None
+
+
 def shared_root(spark: SparkSession) -> str:
+    global _local_root
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-    root = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set(SETTING, root)
-    return root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="run-")
+    return _local_root
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
