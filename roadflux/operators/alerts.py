@@ -112,32 +112,32 @@ def recent_summary(alerts: DataFrame, since: Column) -> DataFrame:
     )
 
 
-def _line(section: str, key: Column, value: Column) -> Column:
-    return F.struct(F.lit(section).alias("section"), key.alias("key"), value.cast("double").alias("value"))
-
-
 def dashboard_sections(summary: DataFrame, top: int = 5) -> DataFrame:
-    """(section, key, value) rows over ``recent_summary``; means are means of its rows."""
-    totals = summary.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("total"),
-        *[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in ("avg_vehicles", "avg_speed", "avg_occupancy")],
-    ).select(F.inline(F.array(
-        _line("total_alerts", F.lit("all"), F.col("total")),
-        *[_line("average_metrics", F.lit(c), F.col(c)) for c in ("avg_vehicles", "avg_speed", "avg_occupancy")],
-    )))
-    by_type = _count_by(summary, "alerts_by_type", "alert_type", F.sum("count"))
-    by_severity = _count_by(summary, "alerts_by_severity", "severity", F.sum("count"))
-    largest = (
-        summary.orderBy(F.desc("count"), "alert_type", "severity").limit(top)
-        .select(F.lit("top_alert_types").alias("section"), F.col("alert_type").alias("key"), F.col("count").cast("double").alias("value"))
-    )
-    return totals.unionByName(by_type).unionByName(by_severity).unionByName(largest)
-
+    """(section, key, value) rows over ``recent_summary``, which is read once.
 
-def _count_by(rows: DataFrame, section: str, column: str, total: Column) -> DataFrame:
-    return rows.groupBy(F.col(column).alias("key")).agg(total.cast("double").alias("value")).select(
-        F.lit(section).alias("section"), "key", "value"
+    Averages are means of the summary's rows. The summary has one row per type
+    and severity, so ranking it in one window is no bottleneck. Totals and
+    averages are there, as zero, when there was no alert at all.
+    """
+    means = ["avg_vehicles", "avg_speed", "avg_occupancy"]
+    line = lambda section, key, value: F.struct(
+        F.lit(section).alias("section"), key.alias("key"), value.cast("double").alias("value")
+    )
+    largest = Window.partitionBy(F.lit(0)).orderBy(F.desc("count"), "alert_type", "severity")
+    n = F.col("count")
+    fixed = [("total_alerts", "all", n), *[("average_metrics", c, F.col(c)) for c in means]]
+    lines = F.array(
+        *[line(section, F.lit(key), value) for section, key, value in fixed],
+        line("alerts_by_type", F.col("alert_type"), n),
+        line("alerts_by_severity", F.col("severity"), n),
+        F.when(F.col("_place") <= top, line("top_alert_types", F.col("alert_type"), n)),
     )
+    placed = summary.withColumn("_place", F.row_number().over(largest))
+    exploded = placed.select(F.explode(lines).alias("_l")).filter(F.col("_l").isNotNull()).select("_l.*")
+    nothing = F.array(*[line(section, F.lit(key), F.lit(None)) for section, key, _ in fixed])
+    always = summary.sparkSession.range(1).select(F.inline(nothing))
+    value = F.when(F.col("section") == "average_metrics", F.avg("value")).otherwise(F.sum("value"))
+    return exploded.unionByName(always).groupBy("section", "key").agg(F.coalesce(value, F.lit(0.0)).alias("value"))
 
 
 def active_summary(alerts: DataFrame) -> DataFrame:

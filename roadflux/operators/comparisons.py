@@ -6,12 +6,32 @@ default, so the output grows with the number of zones and not with its square.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 METRICS = {"traffic_volume": "vehicle_count", "average_speed": "average_speed"}  # fixed values
 PEAK_HOURS = ((7, 9), (16, 19))  # fixed values: both rush periods
+MONDAY, FRIDAY = 2, 6  # as F.dayofweek numbers them
+
+
+def comparison_base(events: DataFrame) -> DataFrame:
+    """Sums and counts per zone, peak or not, weekday or not: four rows per zone.
+
+    Every comparison below reads this; store it when it comes straight from events.
+    """
+    hour = F.hour("event_time")
+    peak = F.lit(False)
+    for low, high in PEAK_HOURS:
+        peak = peak | hour.between(low, high)
+    weekday = F.dayofweek("event_time").between(MONDAY, FRIDAY)
+    totals = [f(c).alias(f"{m}_{n}") for m, c in METRICS.items() for n, f in (("sum", F.sum), ("n", F.count))]
+    return events.groupBy("zone", peak.alias("peak"), weekday.alias("weekday")).agg(*totals)
+
+
+def _mean(metric: str, where: Column | None = None) -> Column:
+    top, bottom = F.col(f"{metric}_sum"), F.col(f"{metric}_n")
+    if where is not None:
+        top, bottom = F.when(where, top), F.when(where, bottom)
+    return F.try_divide(F.sum(top), F.sum(bottom))
 
 
 def percentage_difference(first: Column, second: Column) -> Column:
@@ -24,9 +44,9 @@ def baseline_pairs(zones: DataFrame, baseline: str) -> DataFrame:
     return others.select(F.lit(baseline).alias("zone1"), F.col("zone").alias("zone2"))
 
 
-def zone_metrics(events: DataFrame) -> DataFrame:
+def zone_metrics(base: DataFrame) -> DataFrame:
     """(zone, metric_name, value) means in long form."""
-    means = events.groupBy("zone").agg(*[F.avg(c).alias(m) for m, c in METRICS.items()])
+    means = base.groupBy("zone").agg(*[_mean(m).alias(m) for m in METRICS])
     return means.unpivot(["zone"], list(METRICS), "metric_name", "value")
 
 
@@ -37,18 +57,14 @@ def compare_zones(metrics: DataFrame, pairs: DataFrame, time_period: str = "whol
     return _shaped(joined, "zone_vs_zone", time_period)
 
 
-def compare_halves(events: DataFrame, first: Column, kind: str, time_period: str) -> DataFrame:
-    """Each zone against itself: rows where ``first`` holds against the others."""
-    measured = events.withColumn("_first", F.coalesce(first, F.lit(False)))
-    sides: Sequence[Column] = [
+def compare_halves(base: DataFrame, flag: str, kind: str, time_period: str) -> DataFrame:
+    """Each zone against itself: where ``flag`` holds against where it does not."""
+    sides = [
         side
-        for m, c in METRICS.items()
-        for side in (
-            F.avg(F.when(F.col("_first"), F.col(c))).alias(f"{m}_1"),
-            F.avg(F.when(~F.col("_first"), F.col(c))).alias(f"{m}_2"),
-        )
+        for m in METRICS
+        for side in (_mean(m, F.col(flag)).alias(f"{m}_1"), _mean(m, ~F.col(flag)).alias(f"{m}_2"))
     ]
-    halves = measured.groupBy("zone").agg(*sides)
+    halves = base.groupBy("zone").agg(*sides)
     long = F.array(*[
         F.struct(F.lit(m).alias("metric_name"), F.col(f"{m}_1").alias("value1"), F.col(f"{m}_2").alias("value2"))
         for m in METRICS
@@ -57,17 +73,20 @@ def compare_halves(events: DataFrame, first: Column, kind: str, time_period: str
     return _shaped(rows, kind, time_period)
 
 
-def peak_against_rest(events: DataFrame) -> DataFrame:
-    hour = F.hour("event_time")
-    peak = F.lit(False)
-    for low, high in PEAK_HOURS:
-        peak = peak | hour.between(low, high)
-    return compare_halves(events, peak, "time_period", "peak_vs_offpeak")
+def peak_against_rest(base: DataFrame) -> DataFrame:
+    return compare_halves(base, "peak", "time_period", "peak_vs_offpeak")
+
 
+def weekday_against_weekend(base: DataFrame) -> DataFrame:
+    return compare_halves(base, "weekday", "weekday_vs_weekend", "weekday_vs_weekend")
 
-def weekday_against_weekend(events: DataFrame) -> DataFrame:
-    weekday = F.dayofweek("event_time").between(2, 6)
-    return compare_halves(events, weekday, "weekday_vs_weekend", "weekday_vs_weekend")
+
+def all_comparisons(base: DataFrame, pairs: DataFrame) -> DataFrame:
+    return (
+        compare_zones(zone_metrics(base), pairs)
+        .unionByName(peak_against_rest(base))
+        .unionByName(weekday_against_weekend(base))
+    )
 
 
 def _shaped(rows: DataFrame, kind: str, time_period: str) -> DataFrame:

@@ -5,7 +5,7 @@ Results are unordered; ``plans.reports`` sorts what people look at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadflux.functions import rules
 from roadflux.functions.numbers import percent
@@ -183,20 +183,39 @@ def road_type_profile(events: DataFrame) -> DataFrame:
 
 
 def peak_periods(profile: DataFrame, factor: float = 1.5) -> DataFrame:
-    """Weekly-profile rows well above the mean of the profile."""
-    usual = profile.agg(F.avg("avg_traffic")).scalar()
-    return profile.filter(F.col("avg_traffic") > usual * factor)
+    """Weekly-profile rows well above the mean of the profile.
 
+    A profile has at most 24 x 7 rows, so one window over all of it is cheaper
+    than computing the profile a second time for its mean.
+    """
+    usual = F.avg("avg_traffic").over(Window.partitionBy(F.lit(0)))
+    marked = profile.withColumn("_usual", usual)
+    return marked.filter(F.col("avg_traffic") > F.col("_usual") * factor).drop("_usual")
 
-def route_congestion(events: DataFrame) -> DataFrame:
-    totals = events.groupBy("road_id", "road_type", "zone").agg(
-        F.avg(SPEED).alias("avg_speed"),
-        F.avg(OCCUPANCY).alias("avg_occupancy"),
+
+def road_totals(events: DataFrame) -> DataFrame:
+    """Counts and sums per road, type and zone; the base of everything about roads."""
+    return events.groupBy("road_id", "road_type", "zone").agg(
         F.count("*").alias("total_measurements"),
         _slow(SPEED).alias("congestion_events"),
+        F.sum(SPEED).alias("speed_sum"),
+        F.count(SPEED).alias("speed_n"),
+        F.sum(OCCUPANCY).alias("occupancy_sum"),
+        F.count(OCCUPANCY).alias("occupancy_n"),
     )
-    return totals.withColumn(
-        "congestion_rate", F.try_divide(F.col("congestion_events"), F.col("total_measurements"))
+
+
+def route_congestion(totals: DataFrame) -> DataFrame:
+    """Means and rate of slow readings, over ``road_totals``."""
+    return totals.select(
+        "road_id",
+        "road_type",
+        "zone",
+        F.try_divide("speed_sum", "speed_n").alias("avg_speed"),
+        F.try_divide("occupancy_sum", "occupancy_n").alias("avg_occupancy"),
+        "total_measurements",
+        "congestion_events",
+        F.try_divide("congestion_events", "total_measurements").alias("congestion_rate"),
     )
 
 
@@ -204,9 +223,10 @@ def congested_routes(routes: DataFrame, above: float = 0.2) -> DataFrame:
     return routes.filter(F.col("congestion_rate") > above)
 
 
-def slow_roads(events: DataFrame, below: float = 40, keep: int = 5) -> DataFrame:
-    """The slowest roads; road_id settles equal speeds."""
-    means = events.groupBy("road_id").agg(F.avg(SPEED).alias("avg_speed"))
+def slow_roads(totals: DataFrame, below: float = 40, keep: int = 5) -> DataFrame:
+    """The slowest roads, over ``road_totals``; road_id settles equal speeds."""
+    mean = F.try_divide(F.sum("speed_sum"), F.sum("speed_n"))
+    means = totals.groupBy("road_id").agg(mean.alias("avg_speed"))
     return means.filter(F.col("avg_speed") < below).orderBy("avg_speed", "road_id").limit(keep)
 
 

@@ -12,7 +12,7 @@ from roadflux import workspace
 from roadflux.functions import rules
 from roadflux.functions.numbers import percent
 from roadflux.functions.timeparts import with_day_parts
-from roadflux.operators import anomalies, features, kpis, recommendations
+from roadflux.operators import anomalies, comparisons, features, kpis, recommendations
 from roadflux.plans import marts, models
 from roadflux.sinks import catalog, files
 from roadflux.sources import raw, tables
@@ -113,5 +113,11 @@ def predict(events: DataFrame, base: str) -> dict[str, str]:
         "traffic_predictions": traffic.predictions,
         "congestion_predictions": congestion.predictions,
         "anomalies_detected": anomalies.flag(scored),
-        "route_recommendations": recommendations.recommend(events),
+        "route_recommendations": recommendations.recommend(workspace.written(kpis.road_totals(events), "road-totals")),
     }, base)
+
+
+def compare(events: DataFrame, baseline: str) -> DataFrame:
+    """All comparisons, zones against one baseline zone; events are read once."""
+    base = workspace.written(comparisons.comparison_base(events), "comparison-base")
+    return comparisons.all_comparisons(base, comparisons.baseline_pairs(base, baseline))

@@ -197,3 +197,20 @@ def test_escalation_limit_is_exclusive(spark, kind):
     assert alerts.lifecycle(frame).first().escalation_count == 0
     later = frame.union(spark.createDataFrame([("R", "Z", at(limit + 1), 1.0, speed, 0.0)], SCHEMA))
     assert alerts.lifecycle(later).first().escalation_count == 1
+
+
+def test_dashboard_of_no_alerts_is_zero(spark):
+    empty = spark.createDataFrame([], "alert_type string, severity string, count bigint, avg_vehicles double, "
+                                      "avg_speed double, avg_occupancy double")
+    got = {(r.section, r.key): r.value for r in alerts.dashboard_sections(empty).collect()}
+    assert got == {("total_alerts", "all"): 0.0, ("average_metrics", "avg_vehicles"): 0.0,
+                   ("average_metrics", "avg_speed"): 0.0, ("average_metrics", "avg_occupancy"): 0.0}
+
+
+def test_active_summary(spark):
+    frame = spark.createDataFrame(
+        [("ACTIVE", "HIGH", "HIGH_CONGESTION", "Z1"), ("ACTIVE", "LOW", "LOW_CONGESTION", "Z1"),
+         ("RESOLVED", "LOW", "LOW_CONGESTION", "Z2")], "status string, severity string, alert_type string, zone string")
+    got = {(r.section, r.key): r.n for r in alerts.active_summary(frame).collect()}
+    assert got == {("total_active", "all"): 2, ("by_severity", "HIGH"): 1, ("by_severity", "LOW"): 1,
+                   ("by_type", "HIGH_CONGESTION"): 1, ("by_type", "LOW_CONGESTION"): 1, ("by_zone", "Z1"): 2}

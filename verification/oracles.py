@@ -343,7 +343,9 @@ FEATURE_SQL = f"""SELECT event_id, CAST(hour(event_time) AS INTEGER) AS hour,
 
 
 def _serving(part: str, columns: dict[str, str]) -> str:
-    return "SELECT " + ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in columns.items()) + f" FROM {part}"
+    # By way of a wide decimal: a double like 0.145 is a little off the half it stands for.
+    wide = lambda c, t: f"CAST({c} AS DECIMAL(24,12))" if t.startswith("DECIMAL") else c
+    return "SELECT " + ", ".join(f"CAST({wide(c, t)} AS {t}) AS {c}" for c, t in columns.items()) + f" FROM {part}"
 
 
 D2 = "DECIMAL(10,2)"
@@ -427,7 +429,7 @@ BODIES = {
   CAST(-7 - CAST(count(*) AS DOUBLE) / 1000000 AS DECIMAL(11,8)) AS lon
   FROM (SELECT replace(replace(replace(zone, '-', '_'), 'Peripherie', 'Périphérie'), 'Residentiel', 'Résidentiel') AS zone
    FROM traffic) GROUP BY 1) n ON c.zone = n.zone""",
-    "i22_kpi_input": """SELECT timestamp, zone, vehicle_count, speed, round(occupancy, 6) AS occupancy, service_level,
+    "i22_kpi_input": """SELECT timestamp, zone, vehicle_count, speed, round(occupancy, 12) AS occupancy, service_level,
  sensor_id, road_type FROM readings""",
     "k1_partitioned_write": "SELECT * FROM zone_hour",
     "k1_write_check": "SELECT count(*) AS rows, count(DISTINCT (zone, hour)) AS partitions FROM zone_hour",
@@ -502,12 +504,12 @@ BODIES = {
  round(variabilite_trafic, 6) AS variabilite_trafic) FROM traffic2""",
     "a10_zone_speed": """SELECT * REPLACE (round(vitesse_moyenne_kmh, 6) AS vitesse_moyenne_kmh,
  round(ecart_type_vitesse, 6) AS ecart_type_vitesse) FROM speed2""",
-    "a11_zone_congestion_levels": """SELECT * REPLACE (round(taux_occupation_moyen, 6) AS taux_occupation_moyen,
- round(vitesse_moyenne, 6) AS vitesse_moyenne, round(taux_congestion_pourcentage, 6) AS taux_congestion_pourcentage)
+    "a11_zone_congestion_levels": """SELECT * REPLACE (round(taux_occupation_moyen, 12) AS taux_occupation_moyen,
+ round(vitesse_moyenne, 12) AS vitesse_moyenne, round(taux_congestion_pourcentage, 12) AS taux_congestion_pourcentage)
  FROM congestion2""",
-    "a12_temporal_evolution": """SELECT * REPLACE (round(trafic_horaire_moyen, 6) AS trafic_horaire_moyen,
- round(vitesse_horaire_moyenne, 6) AS vitesse_horaire_moyenne,
- round(occupation_horaire_moyenne, 6) AS occupation_horaire_moyenne) FROM evolution""",
+    "a12_temporal_evolution": """SELECT * REPLACE (round(trafic_horaire_moyen, 12) AS trafic_horaire_moyen,
+ round(vitesse_horaire_moyenne, 12) AS vitesse_horaire_moyenne,
+ round(occupation_horaire_moyenne, 12) AS occupation_horaire_moyenne) FROM evolution""",
     "a13_weekly_profile": "SELECT * FROM weekly",
     "a14_road_type_profile": """SELECT road_type, CAST(hour(event_time) AS INTEGER) AS hour,
  round(avg(vehicle_count), 6) AS avg_traffic, round(avg(average_speed), 6) AS avg_speed,

@@ -93,8 +93,13 @@ def congestion2(s, d):
     return kpis.zone_congestion_levels(fx.kpi_input(s, d))
 
 
+def family(s, d):
+    """Second KPI family with one pass over events for all its zone tables."""
+    return jobs.second_family(fx.traffic(s, d))
+
+
 def critical(s, d):
-    return marts.critical_zones(traffic2(s, d), congestion2(s, d))
+    return family(s, d)["zones_critiques"]
 
 
 def canonical_traffic(s, d):
@@ -109,18 +114,8 @@ def metrics(s, d):
 BASELINE = "Centre-Ville"
 
 
-def zone_comparisons(s, d):
-    measured = comparisons.zone_metrics(fx.traffic(s, d))
-    return comparisons.compare_zones(measured, comparisons.baseline_pairs(measured, BASELINE))
-
-
-def all_comparisons(s, d):
-    events = fx.traffic(s, d)
-    return (
-        zone_comparisons(s, d)
-        .unionByName(comparisons.peak_against_rest(events))
-        .unionByName(comparisons.weekday_against_weekend(events))
-    )
+def comparison_base(s, d):
+    return workspace.written(comparisons.comparison_base(fx.traffic(s, d)), "comparison-base")
 
 
 # --- ingest -----------------------------------------------------------------------
@@ -228,7 +223,7 @@ def _(s, d):
     return tables.merge_coordinates(tables.zone_coordinates(s), moved)
 
 
-simple("i22_kpi_input", fx.kpi_input, digits={"occupancy": 6})
+simple("i22_kpi_input", fx.kpi_input, digits={"occupancy": 12})
 
 # --- sinks ------------------------------------------------------------------------
 
@@ -281,11 +276,15 @@ SERVED = {
     "trafic_par_zone": traffic2, "vitesse_moyenne": speed2, "taux_congestion": congestion2,
     "zones_critiques": critical,
 }
+def _narrowed(table: str):
+    # Means of hundredths are not exact; twelve digits put both engines on the same side of a half.
+    return lambda f: serving.for_serving(rounded(f, 12), table)
+
+
 for _table, _source in SERVED.items():
-    simple(f"k5_serving_{_table}", _source, lambda f, t=_table: serving.for_serving(f, t))
-simple("k5_serving_evolution_trafic", fx.kpi_input, kpis.temporal_evolution,
-       lambda f: serving.for_serving(f, "evolution_trafic"))
-simple("k5_serving_traffic_alerts", fx.alerts, lambda f: serving.for_serving(f, "traffic_alerts"))
+    simple(f"k5_serving_{_table}", _source, _narrowed(_table))
+simple("k5_serving_evolution_trafic", fx.kpi_input, kpis.temporal_evolution, _narrowed("evolution_trafic"))
+simple("k5_serving_traffic_alerts", fx.alerts, _narrowed("traffic_alerts"))
 
 
 @query("k6_catalog_tables")
@@ -370,26 +369,29 @@ simple("a8_executive_overview", fx.traffic, marts.executive_overview_from_events
 
 @query("a8_executive_overview_from_tables")
 def _(s, d):
-    return marts.executive_overview(zone_hour(s, d), roads(s, d), zones(s, d))
+    stored = jobs.processed_tables(workspace.written(jobs.road_hours(fx.traffic(s, d)), "road-hours"))
+    return marts.executive_overview(stored["traffic_by_zone"], stored["speed_by_road"], stored["congestion_by_zone"])
 
 
 simple("a9_zone_traffic", traffic2, digits=6)
 simple("a10_zone_speed", speed2, digits=6)
-simple("a11_zone_congestion_levels", congestion2, digits=6)
-simple("a12_temporal_evolution", fx.kpi_input, kpis.temporal_evolution, digits=6)
+simple("a11_zone_congestion_levels", congestion2, digits=12)
+simple("a12_temporal_evolution", fx.kpi_input, kpis.temporal_evolution, digits=12)
 simple("a13_weekly_profile", fx.traffic, kpis.weekly_profile)
 simple("a14_road_type_profile", fx.traffic, kpis.road_type_profile, digits=6)
 simple("a15_peak_periods", fx.traffic, kpis.weekly_profile, kpis.peak_periods)
-simple("a16_route_congestion", fx.traffic, kpis.route_congestion)
-simple("a16_congested_routes", fx.traffic, kpis.route_congestion, kpis.congested_routes)
-simple("a17_slow_roads", fx.traffic, kpis.slow_roads)
+simple("a16_route_congestion", fx.traffic, kpis.road_totals, kpis.route_congestion)
+simple("a16_congested_routes", fx.traffic, kpis.road_totals, kpis.route_congestion, kpis.congested_routes)
+simple("a17_slow_roads", fx.traffic, kpis.road_totals, kpis.slow_roads)
 simple("a18_network_performance", strategic, reports.network_performance, digits=6)
 simple("a19_period_report", hourly, reports.period_report, digits=6)
 
 
 @query("a20_executive_report")
 def _(s, d):
-    return rounded(reports.executive_report(strategic(s, d), analysis(s, d)), 6)
+    stored = jobs.processed_tables(workspace.written(jobs.road_hours(fx.traffic(s, d)), "road-hours"))
+    return rounded(reports.executive_report(
+        marts.strategic_zones(stored["traffic_by_zone"]), marts.congestion_analysis(stored["congestion_by_zone"])), 6)
 
 
 simple("a21_total_impact", analysis, reports.most_congested, reports.total_impact)
@@ -410,21 +412,20 @@ simple("a26_global_summary", fx.traffic, kpis.lenient_zone_summary, kpis.global_
 
 @query("a28_row_counts")
 def _(s, d):
-    return quality.row_counts({
-        "traffic_by_zone": zone_hour(s, d), "speed_by_road": roads(s, d),
-        "congestion_by_zone": zones(s, d), "hourly_analysis": hours(s, d),
-    })
+    return quality.row_counts(tables.processed_zone(s, _write_processed(s, d)))
 
 
 @query("a29_serving_checks")
 def _(s, d):
-    return rounded(reports.serving_checks(traffic2(s, d), critical(s, d)), 6)
+    made = family(s, d)
+    return rounded(reports.serving_checks(made["trafic_par_zone"], made["zones_critiques"]), 6)
 
 
 @query("a30_zone_validation")
 def _(s, d):
+    stored = tables.processed_zone(s, _write_processed(s, d))["traffic_by_zone"]
     return quality.zone_validation({
-        "raw": fx.raw_lines(s, d), "processed": zone_hour(s, d), "analytics": strategic(s, d),
+        "raw": fx.raw_lines(s, d), "processed": stored, "analytics": marts.strategic_zones(stored),
     })
 
 
@@ -432,7 +433,8 @@ simple("a31_metric_rows", metrics, digits=6)
 
 # --- windows and joins ------------------------------------------------------------------
 
-simple("w1_road_performance", roads, marts.road_performance)
+# The ranking reads its input twice, so the aggregate is stored first.
+simple("w1_road_performance", roads, lambda f: workspace.written(f, "roads"), marts.road_performance)
 FEATURES = [
     "event_id", "hour", "day_of_week", "month", "year", "vehicle_count_target", "speed_target",
     "congestion_target", *features.FILLED,
@@ -451,17 +453,30 @@ simple("m2_feature_table", fx.traffic, features.feature_table, lambda f: f.selec
 simple("m2_feature_table_chunked", fx.traffic, lambda f: features.feature_table(f, rows_per_chunk=50),
        lambda f: f.select(*FEATURES), digits=6)
 
-simple("j1_critical_zones", critical, digits=6)
+
+
+@query("j1_critical_zones")
+def _(s, d):
+    return rounded(marts.critical_zones(traffic2(s, d), congestion2(s, d)), 6)
 
 
 @query("j2_main_dashboard")
 def _(s, d):
-    return marts.main_dashboard(strategic(s, d), analysis(s, d))
+    stored = jobs.processed_tables(workspace.written(jobs.road_hours(fx.traffic(s, d)), "road-hours"))
+    return marts.main_dashboard(
+        marts.strategic_zones(stored["traffic_by_zone"]), marts.congestion_analysis(stored["congestion_by_zone"])
+    )
+
+
+@query("j4_zone_comparisons")
+def _(s, d):
+    base = comparison_base(s, d)
+    return rounded(comparisons.compare_zones(
+        comparisons.zone_metrics(base), comparisons.baseline_pairs(base, BASELINE)), 6)
 
 
-simple("j4_zone_comparisons", zone_comparisons, digits=6)
-simple("j4_peak_comparisons", fx.traffic, comparisons.peak_against_rest, digits=6)
-simple("j4_weekday_comparisons", fx.traffic, comparisons.weekday_against_weekend, digits=6)
+simple("j4_peak_comparisons", fx.traffic, comparisons.comparison_base, comparisons.peak_against_rest, digits=6)
+simple("j4_weekday_comparisons", fx.traffic, comparisons.comparison_base, comparisons.weekday_against_weekend, digits=6)
 
 # --- limits and set operations --------------------------------------------------------------
 
@@ -472,11 +487,14 @@ simple("o3_chart_top_five", analysis, lambda f: reports.most_congested(reports.m
 
 @query("u1_serving_totals")
 def _(s, d):
-    return reports.serving_totals(traffic2(s, d), critical(s, d), congestion2(s, d), speed2(s, d))
+    made = family(s, d)
+    return reports.serving_totals(
+        made["trafic_par_zone"], made["zones_critiques"], made["taux_congestion"], made["vitesse_moyenne"])
 
 
 simple("u3_distinct_zones", fx.traffic, lambda f: reports.distinct_values(f, "zone"))
-simple("m7_recommendations", fx.traffic, recommendations.recommend)
+simple("m7_recommendations", fx.traffic, kpis.road_totals, lambda f: workspace.written(f, "road-totals"),
+       recommendations.recommend)
 
 # --- reports and panels -------------------------------------------------------------------
 
@@ -535,7 +553,7 @@ def _(s, d):
 @query("g19_largest_differences")
 def _(s, d):
     # Rounded before ranking, so that both engines break ties the same way.
-    return panels.largest_differences(rounded(all_comparisons(s, d), 6))
+    return panels.largest_differences(rounded(jobs.compare(fx.traffic(s, d), BASELINE), 6))
 
 
 @query("g20_latest_alerts")
