@@ -13,12 +13,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from roadflux import workspace
 from roadflux.functions.timeparts import epoch_micros
 
 ROWS_PER_CHUNK = 2_000_000
 CHUNK, BORDER = "_chunk", "_border"
 
 
+def long_series(rows: DataFrame, keys: Sequence[str], time: str, rows_per_chunk: int) -> DataFrame:
+    """(_k0, _k1, ..., _n, _t0, _t1): size and time span of each series beyond the chunk size.
+
+    There are fewer than ``rows / rows_per_chunk`` of them.
+    """
+    micros = epoch_micros(F.col(time))
+    sizes = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.count("*").alias("_n"), F.min(micros).alias("_t0"), F.max(micros).alias("_t1")
+    )
+    return sizes.filter(F.col("_n") > rows_per_chunk)
+
+
 def chunked(
     rows: DataFrame,
     keys: Sequence[str],
@@ -30,30 +43,24 @@ def chunked(
 ) -> DataFrame:
     """Rows plus border copies, with a chunk number; use ``frame`` on the result.
 
-    The table of long series has at most ``rows / rows_per_chunk`` entries, which
-    is what makes it safe to broadcast.
+    The list of long series is stored first. Without any, the rows pass through
+    in one piece each. Otherwise Spark knows the stored size and broadcasts the
+    list only below its own threshold; above, the join shuffles and adaptive
+    execution splits the skewed side.
     """
-    size = {f"_k{i}": F.col(k) for i, k in enumerate(keys)}
-    long_series = (
-        rows.groupBy(*[c.alias(name) for name, c in size.items()])
-        .agg(
-            F.count("*").alias("_n"),
-            F.min(epoch_micros(F.col(time))).alias("_t0"),
-            F.max(epoch_micros(F.col(time))).alias("_t1"),
-        )
-        .filter(F.col("_n") > rows_per_chunk)
-    )
+    found = workspace.written(long_series(rows, keys, time, rows_per_chunk), "long-series")
+    if found.isEmpty():
+        return rows.withColumns({CHUNK: F.lit(0).cast("long"), BORDER: F.lit(False)})
     same = F.lit(True)
-    for name, key in size.items():
-        same = same & F.col(name).eqNullSafe(key)
+    for i, key in enumerate(keys):
+        same = same & F.col(f"_k{i}").eqNullSafe(F.col(key))
 
     parts = F.ceil(F.col("_n") / rows_per_chunk)
     offset = (epoch_micros(F.col(time)) - F.col("_t0")) / (F.col("_t1") - F.col("_t0") + 1)
     chunk = F.coalesce(F.floor(offset * parts), F.lit(0))
-    helper = [*size, "_n", "_t0", "_t1"]
 
-    numbered = rows.join(F.broadcast(long_series), same, "left").withColumn(CHUNK, chunk).drop(*helper)
-    in_long = rows.join(F.broadcast(long_series), same, "inner").withColumn(CHUNK, chunk).drop(*helper)
+    numbered = rows.join(found, same, "left").withColumn(CHUNK, chunk).drop(*found.columns)
+    in_long = rows.join(found, same, "inner").withColumn(CHUNK, chunk).drop(*found.columns)
 
     borders = _borders(in_long, keys, order, back, ahead)
     own = numbered.withColumn(BORDER, F.lit(False))

@@ -173,3 +173,16 @@ def test_gates_and_counts(spark):
         "raw": True, "analytics": False}
     nulls = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
     assert rows(quality.null_counts(nulls)) == [("a", 1), ("b", 2)]
+
+
+def test_chunks_without_a_broadcast(spark):
+    events = skewed_events(spark).cache()
+    whole = rows(features.history(events, rows_per_chunk=10_000))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = features.history(events, 25)
+        assert "BroadcastHashJoin" not in frame._jdf.queryExecution().executedPlan().toString()
+        assert rows(frame) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

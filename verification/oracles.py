@@ -289,8 +289,14 @@ PARTS = {
     "quiet": "SELECT road_id, zone, ep - 1 AS ep, window_end AS resolved_at FROM episodes WHERE alert_type IS NULL",
     "last_seen": """SELECT * FROM episodes WHERE alert_type IS NOT NULL QUALIFY row_number() OVER
  (PARTITION BY road_id, zone, ep, alert_type ORDER BY window_end DESC) = 1""",
-    "opened": """SELECT alert_type, road_id, zone, ep, min(window_end) AS opened_at, max(window_end) AS last_update,
- count(*) - 1 AS again FROM episodes WHERE alert_type IS NOT NULL GROUP BY 1, 2, 3, 4""",
+    "ends": """SELECT alert_type, road_id, zone, ep, min(window_end) AS opened_at, max(window_end) AS last_update,
+ list(CAST(epoch(window_end) AS BIGINT) ORDER BY window_end) AS moments,
+ CASE alert_type WHEN 'HIGH_CONGESTION' THEN 300 WHEN 'MODERATE_CONGESTION' THEN 600 ELSE 900 END AS lim
+ FROM episodes WHERE alert_type IS NOT NULL GROUP BY 1, 2, 3, 4""",
+    "opened": """SELECT alert_type, road_id, zone, ep, opened_at, last_update, list_reduce(
+ list_transform(moments, lambda t: {'at': t, 'was': t, 'n': 0}), lambda a, b: {'at': b['at'],
+  'was': CASE WHEN b['at'] - a['was'] > lim THEN b['at'] ELSE a['was'] END,
+  'n': CASE WHEN b['at'] - a['was'] > lim THEN a['n'] + 1 ELSE a['n'] END})['n'] AS again FROM ends""",
     "alerts": f"""SELECT o.alert_type || '_' || o.road_id || '_' || o.zone || '_' || CAST(epoch(o.opened_at) AS BIGINT)
    AS alert_id, o.alert_type, {_severity('o.alert_type')} AS severity, o.road_id, o.zone,
  l.avg_vehicle_count AS vehicle_count, l.avg_speed AS average_speed, l.avg_occupancy_rate AS occupancy_rate,
@@ -319,13 +325,18 @@ PARTS = {
 }
 
 
-# The alert parts again, over the windows a stream has closed.
-for _name in ("tagged", "episodes", "quiet", "last_seen", "opened", "alerts"):
-    _text = PARTS[_name]
-    for _other in ("win", "tagged", "episodes", "quiet", "last_seen", "opened"):
-        _text = re.sub(rf"\b(FROM|JOIN) {_other}\b", rf"\1 closed_{_other}", _text)
-    PARTS[f"closed_{_name}"] = _text
 PARTS["closed_win"] = "SELECT * FROM win WHERE window_end <= (SELECT as_of FROM now) - INTERVAL 2 MINUTE"
+PARTS["minute_win"] = (
+    PARTS["win"].replace("'hour'", "'minute'").replace("1 HOUR", "1 MINUTE")
+)
+# The alert parts again: over the windows a stream has closed, and over windows of a minute.
+_CHAIN = ("tagged", "episodes", "quiet", "last_seen", "ends", "opened", "alerts")
+for _prefix in ("closed", "minute"):
+    for _name in _CHAIN:
+        _text = PARTS[_name]
+        for _other in ("win", *_CHAIN):
+            _text = re.sub(rf"\b(FROM|JOIN) {_other}\b", rf"\1 {_prefix}_{_other}", _text)
+        PARTS[f"{_prefix}_{_name}"] = _text
 
 
 def _or_zero(*names: str) -> str:
@@ -642,6 +653,7 @@ BODIES = {
     "t4_window_metrics": "SELECT * FROM win",
     "t6_detected_alerts": "SELECT window_end, road_id, zone, alert_type FROM tagged",
     "t11_alert_lifecycle": "SELECT * FROM alerts",
+    "t11_alert_lifecycle_minutes": "SELECT * FROM minute_alerts",
     "t2_parsed_messages": f"""SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
  {TIME_KEPT} AS event_time FROM traffic WHERE event_type IN ('view', 'click')""",
     "t4_stream_window_metrics": """SELECT * FROM (SELECT date_trunc('minute', event_time) AS window_start,

@@ -573,6 +573,8 @@ simple("t4_window_metrics", fx.windows)
 simple("t6_detected_alerts", fx.windows, alert_ops.detect,
        lambda f: f.select("window_end", "road_id", "zone", "alert_type"))
 simple("t11_alert_lifecycle", fx.alerts)
+# Windows shorter than the escalation limits: not every refresh escalates.
+simple("t11_alert_lifecycle_minutes", fx.traffic, alert_ops.window_metrics, alert_ops.lifecycle)
 simple("t13_outbox", fx.alerts,
        lambda f: notifications.outbox(f, {"email": True, "slack": True, "webhook": True}))
 
@@ -690,7 +692,7 @@ def _(s, d):
 
 def _flagged(s, d):
     table = _features(s, d)
-    return anomalies.flag(anomalies.score(table, anomalies.fit(table)))
+    return anomalies.flag(workspace.written(anomalies.score(table, anomalies.fit(table)), "anomaly-scores"))
 
 
 simple("m5_anomaly_scores", _flagged, lambda f: f.select(*files.PREDICTION_COLUMNS["anomalies_detected"]))
