@@ -68,8 +68,12 @@ def is_object(text: Column) -> Column:
 
 
 def standard_json(line: Column) -> Column:
-    """The line itself when it is a JSON object, else its repaired form, else NULL."""
-    return F.coalesce(F.when(is_object(line), line), repaired_json(line), regex_repaired_json(line))
+    """The line itself when it is a JSON object, else its repaired form, else NULL.
+
+    Both repairs look for ``key: value``, so a line without a colon is not worth a try.
+    """
+    repaired = F.coalesce(repaired_json(line), regex_repaired_json(line))
+    return F.coalesce(F.when(is_object(line), line), F.when(line.contains(":"), repaired))
 
 
 def typed_fields(json_lines: DataFrame, column: str = "json_str") -> DataFrame:
