@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadflux.functions import rules
+from roadflux.plans.marts import main_dashboard
 
 
 def _listed(column: str, labels: list[str]) -> Column:
@@ -77,6 +78,18 @@ def congestion_alerts_view(analysis: DataFrame) -> DataFrame:
     ).orderBy(F.desc("priorite_intervention"), "zone")
 
 
+def create_views(strategic: DataFrame, analysis: DataFrame, hours: DataFrame) -> list[str]:
+    """Temporary views for SQL users, under the names dashboards know. Names are fixed values."""
+    views = {
+        "dashboard_principal": main_dashboard(strategic, analysis).orderBy("priorite_intervention", "zone"),
+        "analyse_par_heure": hours_view(hours),
+        "alertes_congestion": congestion_alerts_view(analysis),
+    }
+    for name, view in views.items():
+        view.createOrReplaceTempView(name)
+    return list(views)
+
+
 def ranked_zones(traffic: DataFrame) -> DataFrame:
     """Position of each zone by traffic. One row per zone, hence one small sort."""
     by_traffic = Window.orderBy(F.desc("trafic_moyen_vehicules_heure"), "zone")

@@ -36,11 +36,13 @@ ZONE_COORDINATES = T.StructType([
 ])
 
 # Column types of the serving tables, as Spark type names. the
-# names and widths have to fit the dashboards that read them.
+# names and widths have to fit the dashboards that read them. Counters are 64
+# bits wide and relative differences have room for large ratios; narrower types
+# would make the export of a large table fail.
 SERVING = {
     "trafic_par_zone": {
-        "zone": "string", "nombre_mesures": "int", "trafic_moyen_vehicules_heure": "decimal(10,2)",
-        "trafic_total": "bigint", "pic_trafic": "int", "variabilite_trafic": "decimal(10,2)",
+        "zone": "string", "nombre_mesures": "bigint", "trafic_moyen_vehicules_heure": "decimal(10,2)",
+        "trafic_total": "bigint", "pic_trafic": "bigint", "variabilite_trafic": "decimal(10,2)",
         "niveau_trafic": "string",
     },
     "vitesse_moyenne": {
@@ -49,7 +51,7 @@ SERVING = {
         "niveau_fluidite": "string",
     },
     "taux_congestion": {
-        "zone": "string", "total_mesures": "int", "mesures_congestionnees": "int",
+        "zone": "string", "total_mesures": "bigint", "mesures_congestionnees": "bigint",
         "taux_occupation_moyen": "decimal(10,2)", "vitesse_moyenne": "decimal(10,2)",
         "taux_congestion_pourcentage": "decimal(10,2)", "niveau_congestion": "string",
         "priorite_intervention": "int",
@@ -57,7 +59,7 @@ SERVING = {
     "evolution_trafic": {
         "heure": "int", "jour_semaine": "string", "trafic_horaire_moyen": "decimal(10,2)",
         "vitesse_horaire_moyenne": "decimal(10,2)", "occupation_horaire_moyenne": "decimal(10,2)",
-        "nombre_mesures": "int", "periode_journee": "string",
+        "nombre_mesures": "bigint", "periode_journee": "string",
     },
     "zones_critiques": {
         "zone": "string", "trafic_moyen_vehicules_heure": "decimal(10,2)", "niveau_trafic": "string",

@@ -39,9 +39,9 @@ def run(
     return writer.start()
 
 
-def live_display(spark_path: str) -> Callable[[DataFrame, int], None]:
+def live_display(path: str) -> Callable[[DataFrame, int], None]:
     """Batch handler that keeps each update batch as its own folder; replays overwrite it."""
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{spark_path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return keep

@@ -119,3 +119,14 @@ def test_messages(spark, sf_dir):
     event = fx.traffic(spark, sf_dir).withColumn("zone", F.lit(None).cast("string"))
     got = messages.keyed(event).filter(F.col("value").contains('"average_speed":null')).first()
     assert got.key == "default" and '"zone":null' in got.value
+
+
+def test_views(spark, processed):
+    stored = {n: f.drop("processed_at") for n, f in tables.processed_zone(spark, processed).items()}
+    strategic = marts.strategic_zones(stored["traffic_by_zone"])
+    analysis = marts.congestion_analysis(stored["congestion_by_zone"])
+    names = reports.create_views(strategic, analysis, marts.hourly_analysis(stored["hourly_analysis"]))
+    assert names == ["dashboard_principal", "analyse_par_heure", "alertes_congestion"]
+    assert spark.sql("SELECT count(*) FROM dashboard_principal").first()[0] == strategic.count()
+    assert [r.hour for r in spark.sql("SELECT hour FROM analyse_par_heure").collect()] == list(range(24))
+    assert spark.sql("SELECT min(congestion_rate_percent) > 30 FROM alertes_congestion").first()[0]

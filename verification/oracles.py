@@ -454,13 +454,13 @@ BODIES = {
  (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed) = 1) f JOIN
  (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed DESC) = 1) l ON f.zone = l.zone""",
     "k5_serving_trafic_par_zone": _serving("traffic2", {
-        "zone": "VARCHAR", "nombre_mesures": "INTEGER", "trafic_moyen_vehicules_heure": D2, "trafic_total": "BIGINT",
-        "pic_trafic": "INTEGER", "variabilite_trafic": D2, "niveau_trafic": "VARCHAR"}),
+        "zone": "VARCHAR", "nombre_mesures": "BIGINT", "trafic_moyen_vehicules_heure": D2, "trafic_total": "BIGINT",
+        "pic_trafic": "BIGINT", "variabilite_trafic": D2, "niveau_trafic": "VARCHAR"}),
     "k5_serving_vitesse_moyenne": _serving("speed2", {
         "zone": "VARCHAR", "vitesse_moyenne_kmh": D2, "vitesse_minimale": D2, "vitesse_maximale": D2,
         "ecart_type_vitesse": D2, "niveau_fluidite": "VARCHAR"}),
     "k5_serving_taux_congestion": _serving("congestion2", {
-        "zone": "VARCHAR", "total_mesures": "INTEGER", "mesures_congestionnees": "INTEGER", "taux_occupation_moyen": D2,
+        "zone": "VARCHAR", "total_mesures": "BIGINT", "mesures_congestionnees": "BIGINT", "taux_occupation_moyen": D2,
         "vitesse_moyenne": D2, "taux_congestion_pourcentage": D2, "niveau_congestion": "VARCHAR",
         "priorite_intervention": "INTEGER"}),
     "k5_serving_zones_critiques": _serving("critical", {
@@ -469,7 +469,7 @@ BODIES = {
         "statut_zone": "VARCHAR"}),
     "k5_serving_evolution_trafic": _serving("evolution", {
         "heure": "INTEGER", "jour_semaine": "VARCHAR", "trafic_horaire_moyen": D2, "vitesse_horaire_moyenne": D2,
-        "occupation_horaire_moyenne": D2, "nombre_mesures": "INTEGER", "periode_journee": "VARCHAR"}),
+        "occupation_horaire_moyenne": D2, "nombre_mesures": "BIGINT", "periode_journee": "VARCHAR"}),
     "k5_serving_traffic_alerts": _serving("alerts", {
         "alert_id": "VARCHAR", "alert_type": "VARCHAR", "severity": "VARCHAR", "road_id": "VARCHAR", "zone": "VARCHAR",
         "average_speed": "DECIMAL(5,2)", "occupancy_rate": "DECIMAL(5,2)",
