@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.utils import AnalysisException
 
 from roadflux.functions import rules
 from roadflux.functions.timeparts import epoch_micros
@@ -95,24 +96,47 @@ def alert_changes(metrics: DataFrame) -> DataFrame:
 
 
 # --- alert store -------------------------------------------------------------
+# changes/batch=N holds the change rows of one micro-batch, snapshots/upto=N the
+# last row of every alert as of that batch.
 
 def keep_changes(path: str):
     """Batch handler: the changes of a batch form one folder, which a replay overwrites."""
     def keep(changes: DataFrame, batch_id: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        changes.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
 
     return keep
 
 
 def changes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+    return spark.read.parquet(f"{path}/changes")
+
+
+def _latest_changes(spark: SparkSession, path: str) -> DataFrame:
+    """Last change row of every alert: newest snapshot plus the batches after it."""
+    log = changes(spark, path)
+    try:
+        snapshots = spark.read.parquet(f"{path}/snapshots")
+    except AnalysisException:
+        rows = log.drop("batch")
+    else:
+        upto = snapshots.agg(F.max("upto")).first()[0]
+        newest = snapshots.filter(F.col("upto") == upto).drop("upto")
+        rows = newest.unionByName(log.filter(F.col("batch") > upto).drop("batch"))
+    return latest_rows(rows, ["alert_id"], "changed_at")
+
+
+def take_snapshot(spark: SparkSession, path: str) -> int:
+    """Fold all batches so far into a snapshot, so that readers skip them; returns its batch."""
+    upto = changes(spark, path).agg(F.max("batch")).first()[0]
+    _latest_changes(spark, path).write.mode("overwrite").parquet(f"{path}/snapshots/upto={upto}")
+    return upto
 
 
 def current_alerts(spark: SparkSession, path: str) -> DataFrame:
     """Current state of every alert; insert or update by alert_id."""
     times = ["timestamp", "last_update", "resolved_at"]
-    last = latest_rows(changes(spark, path).drop("batch", "change"), ["alert_id"], "changed_at")
-    return last.drop("changed_at").withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+    last = _latest_changes(spark, path).drop("change", "changed_at")
+    return last.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
 def announcements(spark: SparkSession, path: str) -> DataFrame:

@@ -132,6 +132,9 @@ def test_stream_equals_batch_across_a_restart(spark, tmp_path):
     write_file(spark, source, first)
     run_alerts(spark, source, out, state)
     before = lifecycle.changes(spark, out).count()
+    halfway = shaped(lifecycle.current_alerts(spark, out))
+    lifecycle.take_snapshot(spark, out)
+    same(shaped(lifecycle.current_alerts(spark, out)), halfway)
     write_file(spark, source, second)
     last = START + dt.timedelta(days=1)  # closes every window before it
     write_file(spark, source, [message("END", last, 70.0, "R9")])
@@ -141,6 +144,9 @@ def test_stream_equals_batch_across_a_restart(spark, tmp_path):
     lines = spark.createDataFrame([(x,) for x in first + second], "value string")
     batch = alerts.lifecycle(alerts.window_metrics(raw.parse_lines(lines)))
     same(shaped(lifecycle.current_alerts(spark, out)), shaped(batch))
+    again = lifecycle.take_snapshot(spark, out)
+    assert again == lifecycle.changes(spark, out).agg(F.max("batch")).first()[0]
+    same(shaped(lifecycle.current_alerts(spark, out)), shaped(batch))
     assert lifecycle.announcements(spark, out).count() == batch.count() + batch.agg(F.sum("escalation_count")).first()[0]
 
 
