@@ -54,6 +54,19 @@ def test_long_series_are_split(spark):
     assert borders.agg(F.max("count")).first()[0] <= 4
 
 
+def test_bursts_are_cut_again(spark):
+    # Nine tenths of the series fall into one of its five thousand seconds.
+    start = dt.datetime(2024, 1, 1)
+    times = [start + dt.timedelta(microseconds=700 * i) for i in range(900)]
+    times += [start + dt.timedelta(seconds=50 * i) for i in range(100)]
+    events = spark.createDataFrame([(f"S{i}", "R", "rue", "Z", i, 1.0, 1.0, t) for i, t in enumerate(times)], EVENTS).cache()
+    pieces = series.chunked(events, features.SERIES, "event_time", features.ORDER, 3, 1, 40)
+    sizes = pieces.filter(~F.col(series.BORDER)).groupBy(series.CHUNK).agg(
+        F.count("*").alias("n"), F.count_distinct("event_time").alias("instants"))
+    assert sizes.filter("n > 40 and instants > 1").count() == 0 and sizes.agg(F.sum("n")).first()[0] == 1000
+    assert rows(features.history(events, 40)) == rows(features.history(events, 10_000))
+
+
 def test_dense_rank(spark):
     rng = random.Random(3)
     data = [(i, "g1" if i % 3 else "g2", None if i % 17 == 0 else rng.randrange(60) / 8) for i in range(400)]
