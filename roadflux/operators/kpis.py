@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadflux.functions import rules
-from roadflux.functions.numbers import percent
+from roadflux.functions.numbers import percent, settled
 from roadflux.functions.timeparts import with_day_parts
 
 VEHICLES, SPEED, OCCUPANCY = "vehicle_count", "average_speed", "occupancy_rate"
@@ -245,8 +245,8 @@ def global_summary(zones: DataFrame) -> DataFrame:
     """One row over ``lenient_zone_summary``; the list holds one entry per zone."""
     return zones.agg(
         F.count("*").alias("total_zones"),
-        F.round(F.avg("avg_speed"), 2).alias("vitesse_globale_moyenne"),
-        F.round(F.avg("avg_vehicles"), 2).alias("trafic_total_moyen"),
+        settled(F.avg("avg_speed"), 2).alias("vitesse_globale_moyenne"),
+        settled(F.avg("avg_vehicles"), 2).alias("trafic_total_moyen"),
         F.sort_array(F.collect_list("zone")).alias("zones_analysees"),
     )
 

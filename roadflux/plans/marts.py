@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roadflux.functions import rules
-from roadflux.functions.numbers import guarded_ratio, percent
+from roadflux.functions.numbers import guarded_ratio, percent, settled
 from roadflux.operators.ranking import dense_rank_desc
 
 REPORT_TITLE = "Rapport Trafic Urbain"  # fixed value
 
 
 def _mean(column: str, name: str):
-    return F.round(F.avg(column), 2).alias(name)
+    return settled(F.avg(column), 2).alias(name)
 
 
 def strategic_zones(zone_hour: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def strategic_zones(zone_hour: DataFrame) -> DataFrame:
         F.sum("event_count").alias("nombre_mesures"),
         F.max("max_vehicles").alias("pic_trafic"),
         F.min("min_speed").alias("vitesse_minimale"),
-        F.round(F.stddev_samp("avg_vehicle_count"), 2).alias("variabilite_trafic"),
+        settled(F.stddev_samp("avg_vehicle_count"), 2).alias("variabilite_trafic"),
     )
     speed, occupancy = F.col("vitesse_moyenne_kmh"), F.col("taux_occupation_moyen")
     return zones.withColumns({
@@ -69,7 +69,7 @@ def hourly_analysis(hours: DataFrame) -> DataFrame:
 def _overview(row: DataFrame) -> DataFrame:
     return row.select(
         F.lit(REPORT_TITLE).alias("titre_rapport"),
-        *[F.round(F.coalesce(F.col(c), F.lit(0.0)), 2).alias(c) for c in ("taux_congestion_moyen", "vitesse_moyenne_globale")],
+        *[settled(F.coalesce(F.col(c), F.lit(0.0)), 2).alias(c) for c in ("taux_congestion_moyen", "vitesse_moyenne_globale")],
         F.coalesce("total_vehicules_jour", F.lit(0)).cast("long").alias("total_vehicules_jour"),
         "zones_surveillees",
     )

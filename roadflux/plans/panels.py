@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadflux.functions import rules
-from roadflux.functions.numbers import shown
+from roadflux.functions.numbers import settled, shown
 
 
 def back(as_of: Column, interval: str) -> Column:
@@ -74,11 +74,11 @@ def zone_count(traffic: DataFrame) -> DataFrame:
 
 
 def global_performance(speed: DataFrame) -> DataFrame:
-    return _one(speed, "Performance Globale", F.round(F.avg("vitesse_moyenne_kmh") / 50 * 100, 1), "name")
+    return _one(speed, "Performance Globale", settled(F.avg("vitesse_moyenne_kmh") / 50 * 100, 1), "name")
 
 
 def fluidity_rate(congestion: DataFrame) -> DataFrame:
-    return _one(congestion, "Taux de Fluidité", F.round(100 - F.avg("taux_congestion_pourcentage"), 1))
+    return _one(congestion, "Taux de Fluidité", settled(100 - F.avg("taux_congestion_pourcentage"), 1))
 
 
 def active_alert_count(alerts: DataFrame, as_of: Column, interval: str = "1 HOUR") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadflux.functions import rules
+from roadflux.functions.numbers import settled
 from roadflux.plans.marts import main_dashboard
 
 
@@ -25,7 +26,7 @@ def most_congested(analysis: DataFrame, keep: int = 10) -> DataFrame:
 
 
 def total_impact(worst: DataFrame) -> DataFrame:
-    return worst.agg(F.round(F.sum("impact_estime_minutes"), 1).alias("impact_total_minutes"))
+    return worst.agg(settled(F.sum("impact_estime_minutes"), 1).alias("impact_total_minutes"))
 
 
 def network_performance(strategic: DataFrame) -> DataFrame:
@@ -104,10 +105,10 @@ def serving_totals(traffic: DataFrame, critical: DataFrame, congestion: DataFram
         F.lit(name).alias("metric"), "value"
     )
     parts = [
-        total(traffic, "Trafic Total", F.round(F.sum("trafic_moyen_vehicules_heure"), 2)),
+        total(traffic, "Trafic Total", settled(F.sum("trafic_moyen_vehicules_heure"), 2)),
         total(critical, "Zones Critiques", F.count_if(F.col("niveau_congestion") != "Faible")),
-        total(congestion, "Congestion Moyenne", F.round(F.avg("taux_congestion_pourcentage"), 2)),
-        total(speed, "Vitesse Moyenne", F.round(F.avg("vitesse_moyenne_kmh"), 2)),
+        total(congestion, "Congestion Moyenne", settled(F.avg("taux_congestion_pourcentage"), 2)),
+        total(speed, "Vitesse Moyenne", settled(F.avg("vitesse_moyenne_kmh"), 2)),
     ]
     out = parts[0]
     for part in parts[1:]:

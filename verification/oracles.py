@@ -130,6 +130,11 @@ TIME_KEPT = """CASE event_type WHEN 'view' THEN event_time
  WHEN 'click' THEN date_trunc('second', event_time) WHEN 'purchase' THEN date_trunc('second', event_time) END"""
 
 
+def _settled(value: str, digits: int) -> str:
+    """Round half up in decimal, free of the last bits of a sum."""
+    return f"CAST(round(CAST({value} AS DECIMAL(24,10)), {digits}) AS DOUBLE)"
+
+
 def _repaired(column: str, after: str) -> str:
     return f"SELECT {column} AS before, {after} AS after, count(*) AS n FROM dirty GROUP BY 1, 2"
 
@@ -169,26 +174,26 @@ PARTS = {
     "hours": """SELECT CAST(hour(event_time) AS INTEGER) AS hour, zone, avg(vehicle_count) AS avg_vehicles,
  avg(average_speed) AS avg_speed, avg(occupancy_rate) AS avg_occupancy, count(*) AS event_count
  FROM traffic GROUP BY 1, 2""",
-    "strategic0": """SELECT zone, round(avg(avg_vehicle_count), 2) AS trafic_moyen_vehicules,
- round(avg(avg_speed), 2) AS vitesse_moyenne_kmh, round(avg(avg_occupancy_rate), 2) AS taux_occupation_moyen,
+    "strategic0": f"""SELECT zone, {_settled('avg(avg_vehicle_count)', 2)} AS trafic_moyen_vehicules,
+ {_settled('avg(avg_speed)', 2)} AS vitesse_moyenne_kmh, {_settled('avg(avg_occupancy_rate)', 2)} AS taux_occupation_moyen,
  CAST(sum(total_vehicles) AS BIGINT) AS total_vehicules_zone, CAST(sum(event_count) AS BIGINT) AS nombre_mesures,
  max(max_vehicles) AS pic_trafic, min(min_speed) AS vitesse_minimale,
- round(stddev_samp(avg_vehicle_count), 2) AS variabilite_trafic FROM zone_hour GROUP BY zone""",
+ {_settled('stddev_samp(avg_vehicle_count)', 2)} AS variabilite_trafic FROM zone_hour GROUP BY zone""",
     "strategic": f"""SELECT *, CASE WHEN taux_occupation_moyen > 0
    THEN round(vitesse_moyenne_kmh / taux_occupation_moyen, 2) ELSE CAST(0 AS DOUBLE) END AS efficacite_circulation,
  {_service('vitesse_moyenne_kmh')} AS niveau_service FROM strategic0""",
     "analysis": f"""SELECT *, {_band('congestion_rate_percent')} AS niveau_congestion,
  {_band_priority('congestion_rate_percent')} AS priorite_intervention,
  round(congestion_rate_percent * CAST(1.5 AS DOUBLE), 2) AS impact_estime_minutes FROM zones""",
-    "hourly0": """SELECT hour, round(avg(avg_vehicles), 2) AS trafic_horaire_moyen,
- round(avg(avg_speed), 2) AS vitesse_horaire_moyenne, round(avg(avg_occupancy), 2) AS occupation_horaire_moyenne,
+    "hourly0": f"""SELECT hour, {_settled('avg(avg_vehicles)', 2)} AS trafic_horaire_moyen,
+ {_settled('avg(avg_speed)', 2)} AS vitesse_horaire_moyenne, {_settled('avg(avg_occupancy)', 2)} AS occupation_horaire_moyenne,
  CAST(sum(event_count) AS BIGINT) AS total_mesures_heure FROM hours GROUP BY hour""",
     "hourly": f"""SELECT *, {_period('hour')} AS periode_journee, CASE WHEN vitesse_horaire_moyenne > 0
    THEN round(occupation_horaire_moyenne / vitesse_horaire_moyenne, 3) ELSE CAST(0 AS DOUBLE) END
    AS ratio_occupation_vitesse FROM hourly0""",
-    "overview": """SELECT 'Rapport Trafic Urbain' AS titre_rapport,
- round((SELECT avg(congestion_rate_percent) FROM zones), 2) AS taux_congestion_moyen,
- round((SELECT avg(avg_speed) FROM roads), 2) AS vitesse_moyenne_globale,
+    "overview": f"""SELECT 'Rapport Trafic Urbain' AS titre_rapport,
+ {_settled('(SELECT avg(congestion_rate_percent) FROM zones)', 2)} AS taux_congestion_moyen,
+ {_settled('(SELECT avg(avg_speed) FROM roads)', 2)} AS vitesse_moyenne_globale,
  CAST((SELECT sum(total_vehicles) FROM zone_hour) AS BIGINT) AS total_vehicules_jour,
  (SELECT count(*) FROM zones) AS zones_surveillees""",
     "traffic2": f"""SELECT *, {_traffic('trafic_moyen_vehicules_heure')} AS niveau_trafic FROM (
@@ -538,7 +543,7 @@ BODIES = {
  round((SELECT avg(vitesse_moyenne_kmh) FROM strategic), 6) AS vitesse_moyenne,
  round((SELECT avg(congestion_rate_percent) FROM analysis), 6) AS congestion_moyenne,
  (SELECT count(*) FROM analysis WHERE niveau_congestion = 'Élevée ( > 50%)') AS zones_critiques""",
-    "a21_total_impact": "SELECT round(sum(impact_estime_minutes), 1) AS impact_total_minutes FROM worst",
+    "a21_total_impact": f"SELECT {_settled('sum(impact_estime_minutes)', 1)} AS impact_total_minutes FROM worst",
     "a22_recent_alerts": """SELECT alert_type, severity, count, round(avg_vehicles, 6) AS avg_vehicles,
  round(avg_speed, 6) AS avg_speed, round(avg_occupancy, 6) AS avg_occupancy FROM recent""",
     "a23_alert_dashboard": """SELECT 'total_alerts' AS section, 'all' AS key, CAST(sum(count) AS DOUBLE) AS value FROM recent
@@ -554,8 +559,8 @@ BODIES = {
  UNION ALL SELECT 'by_type', alert_type, count(*) FROM alerts WHERE status = 'ACTIVE' GROUP BY 2
  UNION ALL SELECT 'by_zone', zone, count(*) FROM alerts WHERE status = 'ACTIVE' GROUP BY 2""",
     "a25_lenient_summary": "SELECT * FROM lenient",
-    "a26_global_summary": """SELECT count(*) AS total_zones, round(avg(avg_speed), 2) AS vitesse_globale_moyenne,
- round(avg(avg_vehicles), 2) AS trafic_total_moyen, list_sort(list(zone)) AS zones_analysees FROM lenient""",
+    "a26_global_summary": f"""SELECT count(*) AS total_zones, {_settled('avg(avg_speed)', 2)} AS vitesse_globale_moyenne,
+ {_settled('avg(avg_vehicles)', 2)} AS trafic_total_moyen, list_sort(list(zone)) AS zones_analysees FROM lenient""",
     "a28_row_counts": """SELECT 'traffic_by_zone' AS "table", (SELECT count(*) FROM zone_hour) AS rows
  UNION ALL SELECT 'speed_by_road', (SELECT count(*) FROM roads)
  UNION ALL SELECT 'congestion_by_zone', (SELECT count(*) FROM zones)
@@ -592,10 +597,10 @@ BODIES = {
     "o2_top_three_congested": "SELECT * FROM zones ORDER BY congestion_rate_percent DESC, zone LIMIT 3",
     "o3_top_ten_congested": "SELECT * FROM worst",
     "o3_chart_top_five": "SELECT * FROM worst ORDER BY congestion_rate_percent DESC, zone LIMIT 5",
-    "u1_serving_totals": """SELECT 'Trafic Total' AS metric, round(sum(trafic_moyen_vehicules_heure), 2) AS value FROM traffic2
+    "u1_serving_totals": f"""SELECT 'Trafic Total' AS metric, {_settled('sum(trafic_moyen_vehicules_heure)', 2)} AS value FROM traffic2
  UNION ALL SELECT 'Zones Critiques', CAST(count(*) AS DOUBLE) FROM critical WHERE niveau_congestion <> 'Faible'
- UNION ALL SELECT 'Congestion Moyenne', round(avg(taux_congestion_pourcentage), 2) FROM congestion2
- UNION ALL SELECT 'Vitesse Moyenne', round(avg(vitesse_moyenne_kmh), 2) FROM speed2""",
+ UNION ALL SELECT 'Congestion Moyenne', {_settled('avg(taux_congestion_pourcentage)', 2)} FROM congestion2
+ UNION ALL SELECT 'Vitesse Moyenne', {_settled('avg(vitesse_moyenne_kmh)', 2)} FROM speed2""",
     "u3_distinct_zones": "SELECT DISTINCT zone FROM traffic",
     "m7_recommendations": """SELECT road_id, zone, 'HIGH_CONGESTION' AS type,
  'Augmenter la capacité ou ajouter des voies alternatives' AS recommendation, congestion_rate, 'HIGH' AS priority,
@@ -628,9 +633,9 @@ BODIES = {
  AS required_action, CASE niveau_congestion WHEN 'Élevé' THEN 3 WHEN 'Modéré' THEN 2 ELSE 1 END AS priority,
  CASE niveau_congestion WHEN 'Élevé' THEN 'Immediate' WHEN 'Modéré' THEN 'Under 30min' ELSE 'Monitoring' END
  AS recommendation FROM critical ORDER BY priority DESC, zone LIMIT 10""",
-    "g11_global_performance": "SELECT 'Performance Globale' AS name, round(avg(vitesse_moyenne_kmh) / 50 * 100, 1) AS value FROM speed2",
+    "g11_global_performance": f"SELECT 'Performance Globale' AS name, {_settled('avg(vitesse_moyenne_kmh) / 50 * 100', 1)} AS value FROM speed2",
     "g12_zone_count": "SELECT 'Zones Surveillées' AS metric, count(*) AS value FROM traffic2",
-    "g13_fluidity_rate": "SELECT 'Taux de Fluidité' AS metric, round(100 - avg(taux_congestion_pourcentage), 1) AS value FROM congestion2",
+    "g13_fluidity_rate": f"SELECT 'Taux de Fluidité' AS metric, {_settled('100 - avg(taux_congestion_pourcentage)', 1)} AS value FROM congestion2",
     "g14_markers": f"""SELECT zone_name AS name, CAST(latitude AS DECIMAL(10,8)) AS latitude,
  CAST(longitude AS DECIMAL(11,8)) AS longitude, t AS traffic_density, zone_type, {_marker('t')} AS density_level
  FROM coords LEFT JOIN canon USING (zone)""",
