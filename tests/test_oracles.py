@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from verification import compare
+from verification.queries import QUERIES as OWN
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: run for name, run in entry.queries().items() if name in OWN}
+SQL = {name: text for name, text in entry.oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
