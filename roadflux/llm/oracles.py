@@ -8,13 +8,13 @@ with brute force, held-out accuracy or exact round trips.
 ORACLES = {
     "op2_exact_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, b.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.c, b.c), p -> p[1] * p[2])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(q.c, b.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
             FROM v q JOIN v b ON q.vec_id <> b.vec_id
             WHERE q.vec_id % 50 = 0
         )
