@@ -1,4 +1,4 @@
-"""Alert lifecycle over finished time windows, as a set-based batch plan.
+"""Alert lifecycle over finished time windows, as a batch plan.
 
 Per road and zone, windows are read in order of their end. A window that breaks
 limits opens an alert of its type or refreshes the open one, and escalates it
@@ -12,10 +12,13 @@ span divided by the window, whatever the number of events behind it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadflux.functions import rules
-from roadflux.functions.timeparts import epoch_seconds
+from roadflux.functions.timeparts import epoch_micros, epoch_seconds
 
 SERIES = ["road_id", "zone"]
 METRICS = ["vehicle_count", "average_speed", "occupancy_rate"]
@@ -46,56 +49,75 @@ def alert_id(opened: Column) -> Column:
     return F.concat_ws("_", "alert_type", "road_id", "zone", epoch_seconds(opened).cast("string"))
 
 
-def _escalations(ends: Column, limit: Column) -> Column:
-    """Count escalations over the sorted epoch seconds of one alert's windows."""
-    start = F.struct(ends[0].alias("last"), F.lit(0).alias("n"))
+State = tuple  # opened, last escalation, last update (epoch microseconds), escalations, three metrics
+SECOND = 1_000_000
+
+
+def next_state(state: State | None, kind: str, end: int, metrics: tuple) -> tuple[State, str]:
+    """The state of an alert after a window that calls for it, and the change."""
+    if state is None:
+        return (end, end, end, 0, *metrics), "OPENED"
+    opened, escalated, _, n, *_ = state
+    due = end - escalated > rules.ALERTS[kind][4] * SECOND
+    return (opened, end if due else escalated, end, n + 1 if due else n, *metrics), "ESCALATED" if due else "REFRESHED"
+
+
+_FOLDED = ("alert_type string, road_id string, zone string, opened bigint, updated bigint, n int, vehicle_count double, "
+           "average_speed double, occupancy_rate double, resolved bigint")
 
-    def step(state: Column, end: Column) -> Column:
-        due = end - state["last"] > limit
-        return F.struct(
-            F.when(due, end).otherwise(state["last"]).alias("last"),
-            F.when(due, state["n"] + 1).otherwise(state["n"]).alias("n"),
-        )
 
-    return F.aggregate(ends, start, step, lambda state: state["n"])
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Alerts of series that arrive one after the other, each in time order; at most three open alerts are held."""
+    series, held = None, {}
+
+    def ended(resolved: int | None) -> list[tuple]:
+        out = [(kind, *series, opened, updated, n, *metrics, resolved) for kind, (opened, _, updated, n, *metrics) in held.items()]
+        held.clear()
+        return out
+
+    names = [part.split()[0] for part in _FOLDED.split(", ")]
+    types = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.int32()] + [pa.float64()] * 3 + [pa.int64()]
+    framed = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    for batch in batches:
+        done = []
+        for road, zone, end, kind, *metrics in zip(*[c.to_pylist() for c in batch.columns]):
+            if (road, zone) != series:
+                done += ended(None)
+                series = (road, zone)
+            if kind is None:
+                done += ended(end)
+            else:
+                held[kind], _ = next_state(held.get(kind), kind, end, tuple(metrics))
+        if done:
+            yield framed(done)
+    last = ended(None)
+    if last:
+        yield framed(last)
 
 
 def lifecycle(windows: DataFrame) -> DataFrame:
-    """One row per alert with its final state."""
-    detected = detect(windows)
-    quiet = F.col("alert_type").isNull()
-    so_far = Window.partitionBy(*SERIES).orderBy("window_end").rowsBetween(Window.unboundedPreceding, 0)
-    # A quiet window belongs to the episode it ends.
-    episode = F.count(F.when(quiet, 1)).over(so_far) - F.when(quiet, 1).otherwise(0)
-
-    latest = F.struct(
-        F.col("avg_vehicle_count").alias("vehicle_count"),
-        F.col("avg_speed").alias("average_speed"),
-        F.col("avg_occupancy_rate").alias("occupancy_rate"),
-    )
-    groups = (
-        detected.withColumn("_episode", episode)
-        .groupBy(*SERIES, "_episode", "alert_type")
-        .agg(
-            F.min("window_end").alias("timestamp"),
-            F.max("window_end").alias("last_update"),
-            F.max_by(latest, F.col("window_end")).alias("_metrics"),
-            F.sort_array(F.collect_list(epoch_seconds(F.col("window_end")))).alias("_ends"),
-        )
+    """One row per alert with its final state.
+
+    Each series is sorted once and folded as a stream with the open alerts as its only state, as ``streaming.lifecycle``
+    does batch by batch.
+    """
+    kind = windows.schema["window_end"].dataType
+    detected = detect(windows).select(
+        *SERIES, epoch_micros(F.col("window_end")).alias("end"), "alert_type",
+        *[F.col(c).cast("double") for c in ("avg_vehicle_count", "avg_speed", "avg_occupancy_rate")],
     )
-    whole = Window.partitionBy(*SERIES, "_episode")
-    resolved = F.max(F.when(quiet, F.col("timestamp"))).over(whole)
-    alerts = groups.withColumn("resolved_at", resolved).filter(F.col("alert_type").isNotNull())
-    limit = rules.escalation_seconds(F.col("alert_type"))
+    folded = detected.repartition(*SERIES).sortWithinPartitions(*SERIES, "end").mapInArrow(_fold, _FOLDED)
+    moment = lambda c: F.timestamp_micros(F.col(c)).cast(kind)
+    alerts = folded.withColumns({"timestamp": moment("opened"), "last_update": moment("updated"), "resolved_at": moment("resolved")})
     return alerts.select(
         alert_id(F.col("timestamp")).alias("alert_id"),
         "alert_type",
         rules.alert_severity(F.col("alert_type")).alias("severity"),
         *SERIES,
-        "_metrics.*",
+        *METRICS,
         "timestamp",
         F.when(F.col("resolved_at").isNull(), "ACTIVE").otherwise("RESOLVED").alias("status"),
-        _escalations(F.col("_ends"), limit).alias("escalation_count"),
+        F.col("n").alias("escalation_count"),
         "last_update",
         "resolved_at",
         (epoch_seconds(F.col("resolved_at")) - epoch_seconds(F.col("timestamp"))).alias("duration_seconds"),

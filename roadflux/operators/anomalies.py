@@ -137,7 +137,7 @@ def fit(rows: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = S
 
 
 def score(rows: DataFrame, forest: Forest) -> DataFrame:
-    """Add ``anomaly_score``."""
+    """Add ``anomaly_score``; NULL for a row that lacks a feature."""
     shared = rows.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
@@ -145,23 +145,58 @@ def score(rows: DataFrame, forest: Forest) -> DataFrame:
         x = np.column_stack([s.to_numpy(dtype=float) for s in (a, b, c, d, e)])
         return pd.Series(shared.value.scores(x))
 
-    return complete(rows).withColumn("anomaly_score", scored(*[F.col(c).cast("double") for c in FEATURES]))
+    whole = F.lit(True)
+    for c in FEATURES:
+        whole = whole & F.col(c).isNotNull()
+    return rows.withColumn("anomaly_score", F.when(whole, scored(*[F.col(c).cast("double") for c in FEATURES])))
+
+
+BINS = 1024
+FEW = 10_000
+
+
+def ranked_value(rows: DataFrame, column: str, share: float) -> float | None:
+    """The smallest value that ``share`` of all values does not exceed, exactly.
+
+    Each pass counts the values of ``BINS`` equal bands and goes on in the band that holds the rank, until that band has few
+    distinct values; what reaches the driver is one count per band, or those few values.
+    """
+    facts = rows.agg(F.count(column).alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).first()
+    if not facts["n"]:
+        return None
+    rank, low, high = max(1, math.ceil(round(facts["n"] * share, 6))), facts["low"], facts["high"]
+    inside = rows.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    while True:
+        distinct = inside.groupBy("v").agg(F.count("*").alias("n")).orderBy("v").limit(FEW + 1).collect()
+        step = (high - low) / BINS
+        if len(distinct) <= FEW or low + step <= low:
+            for value in distinct:
+                rank -= value["n"]
+                if rank <= 0:
+                    return value["v"]
+        band = F.least(F.lit(BINS - 1), F.floor((F.col("v") - low) / step))
+        counts = inside.groupBy(band.alias("b")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("b").collect()
+        for count in counts:
+            if rank <= count["n"]:
+                inside = inside.where((F.col("v") >= count["low"]) & (F.col("v") <= count["high"]))
+                low, high = count["low"], count["high"]
+                break
+            rank -= count["n"]
 
 
 def flag(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
-    """Add ``is_anomaly``: 1 for the most unusual share of all rows.
+    """Add ``is_anomaly``: 1 for scores below the exact cut of the most unusual share; NULL without a score.
 
-    The cut is a percentile sketch over every score; rank error is at most
-    rows / 10000.
+    ``scored`` is read several times: store it first.
     """
-    limit = scored.agg(F.percentile_approx("anomaly_score", F.lit(contamination), F.lit(10000))).scalar()
-    return scored.withColumn("is_anomaly", (F.col("anomaly_score") < limit).cast("int"))
+    limit = ranked_value(scored, "anomaly_score", contamination)
+    return scored.withColumn("is_anomaly", (F.col("anomaly_score") < F.lit(limit).cast("double")).cast("int"))
 
 
 def anomaly_share(flagged: DataFrame) -> DataFrame:
     return flagged.agg(
         F.sum("is_anomaly").alias("anomalies"),
-        F.count("*").alias("rows"),
+        F.count("is_anomaly").alias("rows"),
         F.round(F.avg("is_anomaly") * 100, 1).alias("percent"),
     )
 

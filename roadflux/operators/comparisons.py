@@ -81,12 +81,15 @@ def weekday_against_weekend(base: DataFrame) -> DataFrame:
     return compare_halves(base, "weekday", "weekday_vs_weekend", "weekday_vs_weekend")
 
 
-def all_comparisons(base: DataFrame, pairs: DataFrame) -> DataFrame:
-    return (
+def all_comparisons(base: DataFrame, pairs: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """All kinds of comparison, stamped with the moment they hold for (by default now)."""
+    rows = (
         compare_zones(zone_metrics(base), pairs)
         .unionByName(peak_against_rest(base))
         .unionByName(weekday_against_weekend(base))
     )
+    moment = F.current_timestamp() if as_of is None else as_of
+    return rows.withColumn("timestamp", moment.cast("timestamp_ntz"))
 
 
 def _shaped(rows: DataFrame, kind: str, time_period: str) -> DataFrame:

@@ -11,6 +11,7 @@ from roadflux.operators import series
 SERIES = ["road_id", "zone"]
 # Time decides; the measures only make the order of simultaneous readings repeatable.
 ORDER = ["event_time", "sensor_id", "vehicle_count", "average_speed", "occupancy_rate"]
+# The columns whose missing history counts as zero.
 FILLED = [
     "vehicle_count_lag1", "vehicle_count_lag2", "speed_lag1", "speed_lag2",
     "occupancy_lag1", "occupancy_lag2", "vehicle_count_ma3", "speed_ma3", "occupancy_ma3",
@@ -19,12 +20,12 @@ FILLED = [
 BACK, AHEAD = 3, 1
 
 
-def history(events: DataFrame, rows_per_chunk: int = series.ROWS_PER_CHUNK) -> DataFrame:
+def history(events: DataFrame, seconds_per_chunk: float = series.SECONDS_PER_CHUNK) -> DataFrame:
     """Lags, four-row rolling statistics and next-step values per road and zone.
 
     All columns share one partitioning and one sort.
     """
-    pieces = series.chunked(events, SERIES, "event_time", ORDER, BACK, AHEAD, rows_per_chunk)
+    pieces = series.chunked(events, SERIES, "event_time", ORDER, BACK, AHEAD, seconds_per_chunk)
     w = series.frame(SERIES, ORDER)
     rolling = w.rowsBetween(-BACK, 0)
     measures = {"vehicle_count": "vehicle_count", "speed": "average_speed", "occupancy": "occupancy_rate"}
@@ -43,8 +44,17 @@ def history(events: DataFrame, rows_per_chunk: int = series.ROWS_PER_CHUNK) -> D
     return series.own_rows(pieces.withColumns(columns))
 
 
-def feature_table(events: DataFrame, rows_per_chunk: int = series.ROWS_PER_CHUNK) -> DataFrame:
+def hourly_series(events: DataFrame) -> DataFrame:
+    """One reading per road, zone and hour: the means of the hour. A step of such a series is an hour with readings."""
+    hour = F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("event_time")
+    return events.groupBy("road_id", "zone", hour).agg(
+        F.max("sensor_id").alias("sensor_id"), F.max("road_type").alias("road_type"),
+        *[F.avg(c).alias(c) for c in ("vehicle_count", "average_speed", "occupancy_rate")],
+    )
+
+
+def feature_table(events: DataFrame, seconds_per_chunk: float = series.SECONDS_PER_CHUNK) -> DataFrame:
     """Rows with a known next step; missing history counts as zero."""
-    rows = with_calendar(history(events, rows_per_chunk))
+    rows = with_calendar(history(events, seconds_per_chunk))
     known = rows.filter(F.col("vehicle_count_target").isNotNull() & F.col("speed_target").isNotNull())
     return known.fillna(0, FILLED)

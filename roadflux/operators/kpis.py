@@ -65,6 +65,7 @@ def hourly_zone(events: DataFrame) -> DataFrame:
     )
 
 
+# The French column names below are those of the published tables.
 # --- second family (input of sources.tables.as_kpi_input) --------------------
 
 # All three tables have one row per zone, so their measures can also be taken in
@@ -148,6 +149,26 @@ def zone_tables(profile: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def zone_and_hour_profile(readings: DataFrame) -> DataFrame:
+    """All measures per zone and per hour and weekday in one pass; ``by_zone`` tells the two kinds of row apart."""
+    timed = readings.withColumns({"heure": F.hour("timestamp"), "jour_semaine": F.date_format("timestamp", "EEEE")})
+    both = timed.groupingSets([[F.col("zone")], [F.col("heure"), F.col("jour_semaine")]], "zone", "heure", "jour_semaine")
+    return both.agg(
+        (F.grouping("zone") == 0).alias("by_zone"), *_traffic_measures(), *_speed_measures(), *_congestion_measures())
+
+
+def evolution_of(profile: DataFrame) -> DataFrame:
+    """``temporal_evolution`` from the hour rows of ``zone_and_hour_profile``."""
+    totals = profile.filter(~F.col("by_zone")).select(
+        "heure", "jour_semaine",
+        F.col("trafic_moyen_vehicules_heure").alias("trafic_horaire_moyen"),
+        F.col("vitesse_moyenne_kmh").alias("vitesse_horaire_moyenne"),
+        F.col("taux_occupation_moyen").alias("occupation_horaire_moyenne"),
+        "nombre_mesures",
+    )
+    return totals.withColumn("periode_journee", rules.rush_period(F.col("heure")))
+
+
 def temporal_evolution(readings: DataFrame) -> DataFrame:
     totals = readings.groupBy(
         F.hour("timestamp").alias("heure"), F.date_format("timestamp", "EEEE").alias("jour_semaine")

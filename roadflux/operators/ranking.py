@@ -10,25 +10,20 @@ def dense_rank_desc(
 ) -> DataFrame:
     """Dense rank of ``value`` inside ``group``, highest first, NULL last.
 
-    A group may hold most of the table, so it is split into value bands of
-    width ``step`` and each band is ranked on its own. The distinct values of
-    the higher bands, a table of groups times bands, give the offset.
+    A dense rank depends on the distinct values only, so those are ranked: rows that share a value, or have none, count
+    once. A group may still hold most of the distinct values; it is split into value bands of width ``step``, each ranked on
+    its own, and the number of values in higher bands, a table of groups times bands, is the offset. The ranks go back to
+    the rows by a join, whose hot values adaptive execution splits.
     """
-    banded = rows.withColumn("_band", F.floor(F.col(value) / step))
-    band = Window.partitionBy(group, "_band")
-    local = banded.withColumn("_in_band", F.dense_rank().over(band.orderBy(F.desc(value))))
-
-    above = Window.partitionBy("_g").orderBy(F.desc_nulls_last("_b")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    values = rows.select(F.col(group).alias("_g"), F.col(value).alias("_v")).distinct().withColumn("_b", F.floor(F.col("_v") / step))
+    local = values.withColumn("_in_band", F.dense_rank().over(Window.partitionBy("_g", "_b").orderBy(F.desc("_v"))))
+    above = Window.partitionBy("_og").orderBy(F.desc_nulls_last("_ob")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        banded.groupBy(F.col(group).alias("_g"), F.col("_band").alias("_b"))
-        .agg(F.count_distinct(F.col(value)).alias("_n"))
+        values.groupBy(F.col("_g").alias("_og"), F.col("_b").alias("_ob"))
+        .agg(F.count("*").alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-        .drop("_n")
-    )
-    same = F.col(group).eqNullSafe(F.col("_g")) & F.col("_band").eqNullSafe(F.col("_b"))
-    ranked = local.join(offsets, same, "left")
-    return ranked.withColumn(out, (F.col("_in_band") + F.col("_offset")).cast("int")).select(
-        *rows.columns, out
     )
+    ranks = local.join(offsets, F.col("_g").eqNullSafe(F.col("_og")) & F.col("_b").eqNullSafe(F.col("_ob"))).select(
+        "_g", "_v", (F.col("_in_band") + F.col("_offset")).cast("int").alias("_rank"))
+    same = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
+    return rows.join(ranks, same, "left").select(*rows.columns, F.col("_rank").alias(out))

@@ -1,10 +1,11 @@
 """Row frames over long time series.
 
-Lag, lead and short rolling frames need a series in time order. One series
-may hold a large share of all rows, so series beyond a size are cut into time
-chunks of bounded row counts. Every chunk receives copies of the few rows
-just outside its edges ("borders"); a frame that reaches no further than
-those copies gives the same value as over the whole series.
+Lag, lead and short rolling frames need a series in time order. One series may hold a large share of all rows, so every
+series is cut into chunks of a fixed stretch of time, whatever its length: there is one plan for all sizes, and nothing is
+counted beforehand. Every chunk receives copies of the few rows just outside its edges ("borders"); a frame that reaches
+no further than those copies gives the same value as over the whole series.
+
+A chunk holds the readings of one series in ``SECONDS_PER_CHUNK``; simultaneous readings share a chunk.
 """
 
 from __future__ import annotations
@@ -13,39 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from roadflux import workspace
 from roadflux.functions.timeparts import epoch_micros
 
-ROWS_PER_CHUNK = 2_000_000
+SECONDS_PER_CHUNK = 86_400
 CHUNK, BORDER = "_chunk", "_border"
-_LONG = "_long"
-
-
-def long_groups(rows: DataFrame, keys: Sequence[str], time: str, rows_per_chunk: int) -> DataFrame:
-    """(_k0, _k1, ..., _n, _t0, _t1): size and time span of each group beyond the chunk size.
-
-    There are fewer than ``rows / rows_per_chunk`` of them. A group at a single
-    instant is left out, for time cannot cut it.
-    """
-    micros = epoch_micros(F.col(time))
-    sizes = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.count("*").alias("_n"), F.min(micros).alias("_t0"), F.max(micros).alias("_t1")
-    )
-    return sizes.filter((F.col("_n") > rows_per_chunk) & (F.col("_t1") > F.col("_t0")))
-
-
-def _cut(rows: DataFrame, found: DataFrame, keys: Sequence[str], time: str, rows_per_chunk: int, name: str) -> DataFrame:
-    """Number equal stretches of time in each found group; every other group is number 0."""
-    same = F.lit(True)
-    for i, key in enumerate(keys):
-        same = same & F.col(f"_k{i}").eqNullSafe(F.col(key))
-    parts = F.ceil(F.col("_n") / rows_per_chunk)
-    offset = (epoch_micros(F.col(time)) - F.col("_t0")) / (F.col("_t1") - F.col("_t0") + 1)
-    number = F.coalesce(F.floor(offset * parts), F.lit(0))
-    joined = rows.join(found, same, "left").withColumn(name, number)
-    if _LONG not in rows.columns:
-        joined = joined.withColumn(_LONG, F.col("_n").isNotNull())
-    return joined.drop(*found.columns)
 
 
 def chunked(
@@ -55,35 +27,15 @@ def chunked(
     order: Sequence[str],
     back: int,
     ahead: int,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    seconds_per_chunk: float = SECONDS_PER_CHUNK,
 ) -> DataFrame:
     """Rows plus border copies, with a chunk; use ``frame`` on the result.
 
-    The list of long series is stored first. Without any, the rows pass through
-    in one piece each. Otherwise they are cut, and cut again where a burst left
-    a chunk too long; a cut at least halves the time span, so this ends. Spark
-    knows the stored size of a list and broadcasts it only below its own
-    threshold; above, the join shuffles and adaptive execution splits the
-    skewed side.
+    ``order`` starts with ``time``, so chunks of a series follow each other as their rows do.
     """
-    pieces, levels = rows, []
-    while True:
-        groups = [*keys, *levels]
-        candidates = pieces.filter(F.col(_LONG)) if levels else pieces
-        found = workspace.written(long_groups(candidates, groups, time, rows_per_chunk), "long-series")
-        if found.isEmpty():
-            break
-        level = f"_level{len(levels)}"
-        pieces = _cut(pieces, found, groups, time, rows_per_chunk, level)
-        levels.append(level)
-    if not levels:
-        return rows.withColumns({CHUNK: F.array(F.lit(0).cast("long")), BORDER: F.lit(False)})
-
-    # Arrays compare element by element, so chunks of a series sort by time.
-    pieces = pieces.withColumn(CHUNK, F.array(*levels)).drop(*levels)
-    borders = _borders(pieces.filter(F.col(_LONG)).drop(_LONG), keys, order, back, ahead)
-    own = pieces.drop(_LONG).withColumn(BORDER, F.lit(False))
-    return own.unionByName(borders.withColumn(BORDER, F.lit(True)))
+    own = rows.withColumn(CHUNK, F.floor(epoch_micros(F.col(time)) / F.lit(seconds_per_chunk * 1_000_000)))
+    borders = _borders(own, keys, order, back, ahead)
+    return own.withColumn(BORDER, F.lit(False)).unionByName(borders.withColumn(BORDER, F.lit(True)))
 
 
 def _borders(rows: DataFrame, keys, order, back: int, ahead: int) -> DataFrame:

@@ -6,16 +6,20 @@ aggregated to road, zone and hour; the four tables are sums over that rollup.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from roadflux import workspace
 from roadflux.functions import rules
 from roadflux.functions.numbers import percent
 from roadflux.functions.timeparts import with_day_parts
 from roadflux.operators import anomalies, comparisons, features, kpis, recommendations
-from roadflux.plans import marts, models
+from roadflux.plans import marts, models, notifications
 from roadflux.sinks import catalog, files
 from roadflux.sources import raw, tables
+from roadflux.streaming import lifecycle, metrics as live
 
 ROLLUP_KEYS = ["road_id", "road_type", "zone", "hour"]
 
@@ -64,8 +68,9 @@ def processed_tables(rollup: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_processed(events: DataFrame, base: str) -> dict[str, str]:
-    rollup = workspace.written(road_hours(events), "road-hours")
-    return files.write_zone(processed_tables(rollup), base, files.PROCESSED_LAYOUT)
+    with workspace.scratch(events.sparkSession):
+        rollup = workspace.written(road_hours(events), "road-hours")
+        return files.write_zone(processed_tables(rollup), base, files.PROCESSED_LAYOUT)
 
 
 def ingest(spark: SparkSession, raw_path: str, base: str) -> dict[str, str]:
@@ -93,31 +98,79 @@ def publish_catalog(spark: SparkSession, paths: dict[str, str]) -> list[str]:
 
 
 def second_family(events: DataFrame) -> dict[str, DataFrame]:
-    """The five tables of the second KPI family; the zone tables share one pass."""
-    readings = tables.as_kpi_input(events)
-    out = kpis.zone_tables(workspace.written(kpis.zone_profile(readings), "zone-profile"))
-    out["evolution_trafic"] = kpis.temporal_evolution(readings)
+    """The five tables of the second KPI family, from one pass over the events."""
+    profile = workspace.written(kpis.zone_and_hour_profile(tables.as_kpi_input(events)), "second-family")
+    out = kpis.zone_tables(profile.filter("by_zone"))
+    out["evolution_trafic"] = kpis.evolution_of(profile)
     out["zones_critiques"] = marts.critical_zones(out["trafic_par_zone"], out["taux_congestion"])
     return out
 
 
+def write_second_family(events: DataFrame, base: str) -> dict[str, str]:
+    """The second KPI family as stored tables."""
+    with workspace.scratch(events.sparkSession):
+        return files.write_zone(second_family(events), base, {})
+
+
 def predict(events: DataFrame, base: str) -> dict[str, str]:
     """Train both models, score anomalies, recommend, and write the four results.
 
-    The feature table is written once; training reads it several times.
+    The readings are stored once, without columns nobody needs, and so is the feature table; training reads it several
+    times. What is stored on the way goes when the job ends.
+    """
+    with workspace.scratch(events.sparkSession):
+        readings = workspace.written(events.select(*READING), "readings")
+        table = workspace.written(features.feature_table(readings), "features")
+        traffic, congestion = models.train_traffic(table), models.train_congestion(table)
+        scored = workspace.written(anomalies.score(table, anomalies.fit(table)), "anomaly-scores")
+        return files.write_predictions({
+            "traffic_predictions": traffic.predictions,
+            "congestion_predictions": congestion.predictions,
+            "anomalies_detected": anomalies.flag(scored),
+            "route_recommendations": recommendations.recommend(workspace.written(kpis.road_totals(readings), "road-totals")),
+        }, base)
+
+
+READING = ["sensor_id", "road_id", "road_type", "zone", "vehicle_count", "average_speed", "occupancy_rate", "event_time"]
+
+
+def live_alerts(
+    messages: DataFrame, store: str, checkpoint: str, window: str = live.WINDOW, trigger: str | None = live.TRIGGER,
+    channels: Mapping[str, bool] = notifications.CHANNELS, compact_every: int = 240,
+) -> StreamingQuery:
+    """Messages to alerts: events, window metrics, alert changes, the alert store and the outbox.
+
+    ``store/changes`` and ``store/snapshots`` hold the alerts (``lifecycle.current_alerts``), ``store/outbox`` what is to be
+    sent. Every ``compact_every`` batches the changes so far are folded into a snapshot and removed. Restarted with its
+    checkpoint the job goes on where it stopped; with a new one it adds to the store.
+    """
+    spark = messages.sparkSession
+    run = lifecycle.run_number(spark, store, checkpoint)
+    keep = lifecycle.keep_changes(store, run)
+
+    def each(changes: DataFrame, batch_id: int) -> None:
+        session = changes.sparkSession
+        keep(changes, batch_id)
+        number = lifecycle.batch_number(run, batch_id)
+        told = lifecycle.told(session.read.parquet(f"{store}/changes/batch={number}"))
+        sent = notifications.outbox(told, channels, F.col("is_escalation"))
+        sent.write.mode("overwrite").parquet(f"{store}/outbox/batch={number}")
+        if batch_id % compact_every == compact_every - 1:
+            lifecycle.compact(session, store)
+
+    changes = lifecycle.alert_changes(live.live_metrics(raw.stream_events(messages), window))
+    return live.run(changes, each, checkpoint, trigger=trigger)
+
+
+def live_rejects(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = live.TRIGGER) -> StreamingQuery:
+    """Messages that are no events, with the reason; a query of its own beside ``live_alerts``."""
+    return live.run(raw.stream_rejects(messages), live.live_display(path), checkpoint, trigger=trigger)
+
+
+def compare(events: DataFrame, baseline: str, as_of: Column | None = None) -> DataFrame:
+    """All comparisons, zones against one baseline zone; events are read once.
+
+    ``as_of`` is the moment the rows are stamped with, by default now.
     """
-    table = workspace.written(features.feature_table(events), "features")
-    traffic, congestion = models.train_traffic(table), models.train_congestion(table)
-    scored = workspace.written(anomalies.score(table, anomalies.fit(table)), "anomaly-scores")
-    return files.write_predictions({
-        "traffic_predictions": traffic.predictions,
-        "congestion_predictions": congestion.predictions,
-        "anomalies_detected": anomalies.flag(scored),
-        "route_recommendations": recommendations.recommend(workspace.written(kpis.road_totals(events), "road-totals")),
-    }, base)
-
-
-def compare(events: DataFrame, baseline: str) -> DataFrame:
-    """All comparisons, zones against one baseline zone; events are read once."""
     base = workspace.written(comparisons.comparison_base(events), "comparison-base")
-    return comparisons.all_comparisons(base, comparisons.baseline_pairs(base, baseline))
+    return comparisons.all_comparisons(base, comparisons.baseline_pairs(base, baseline), as_of)

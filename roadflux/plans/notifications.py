@@ -6,12 +6,22 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Titles, closing lines and recommended actions of the messages.
+TITLE, SUBJECT, ESCALATED_SUBJECT = "ALERTE TRAFIC", "🚨 ALERTE TRAFIC - ", "🚨 ESCALADE ALERTE TRAFIC - "
+CHAT_END = "Vérifier immédiatement la situation."
+ACTIONS_TITLE = "Actions recommandées"
+ACTIONS = (
+    "Vérifier la situation sur place",
+    "Activer les panneaux de signalisation",
+    "Contacter les équipes de régulation",
+    "Envisager des déviations",
+)
 CHANNELS = {"email": True, "slack": False, "webhook": False}  # fixed values: on by default?
 ESCALATED = " (ESCALADE)"  # fixed value
 
 
 def _subject(escalated: Column) -> Column:
-    head = F.when(escalated, "🚨 ESCALADE ALERTE TRAFIC - ").otherwise("🚨 ALERTE TRAFIC - ")
+    head = F.when(escalated, ESCALATED_SUBJECT).otherwise(SUBJECT)
     return F.concat(head, "alert_type", F.lit(" sur "), "road_id")
 
 
@@ -36,14 +46,15 @@ def _facts(bullet: str, before: str, after: str) -> Column:
 
 def _chat_text(escalated: Column) -> Column:
     mark = F.when(F.col("severity") == "HIGH", "🚨").otherwise("⚠️")
-    title = F.concat(mark, F.lit(" *ALERTE TRAFIC"), F.when(escalated, ESCALATED).otherwise(""), F.lit("*"))
-    return F.concat(title, F.lit("\n\n"), _facts("", "*", "*"), F.lit("\n\nVérifier immédiatement la situation."))
+    title = F.concat(mark, F.lit(f" *{TITLE}"), F.when(escalated, ESCALATED).otherwise(""), F.lit("*"))
+    return F.concat(title, F.lit("\n\n"), _facts("", "*", "*"), F.lit(f"\n\n{CHAT_END}"))
 
 
 def _mail_text(escalated: Column) -> Column:
-    title = F.concat(F.lit("ALERTE TRAFIC"), F.when(escalated, ESCALATED).otherwise(""))
+    title = F.concat(F.lit(TITLE), F.when(escalated, ESCALATED).otherwise(""))
     stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
-    return F.concat(title, F.lit("\n"), _facts("- ", "", ""), F.lit("\n- Timestamp: "), stamp)
+    actions = "".join(f"\n- {action}" for action in ACTIONS)
+    return F.concat(title, F.lit("\n"), _facts("- ", "", ""), F.lit("\n- Timestamp: "), stamp, F.lit(f"\n\n{ACTIONS_TITLE}{actions}"))
 
 
 def _hook_body(escalated: Column) -> Column:

@@ -59,6 +59,7 @@ def markers(coordinates: DataFrame, traffic: DataFrame) -> DataFrame:
     )
 
 
+# Titles, prefixes and units below are those of the published panels.
 # --- single numbers -----------------------------------------------------------
 
 def average_congestion(congestion: DataFrame) -> DataFrame:
@@ -163,9 +164,18 @@ def metric_series(metrics: DataFrame, as_of: Column, interval: str = "24 HOURS")
     ).orderBy("time", "zone", "metric")
 
 
-def largest_differences(comparisons: DataFrame, keep: int = 10) -> DataFrame:
-    """Biggest relative differences either way."""
-    ranked = comparisons.orderBy(
+def since(events: DataFrame, as_of: Column, interval: str) -> DataFrame:
+    """Events that a panel over the last ``interval`` can show.
+
+    For panels over time units: a unit that is kept starts at or after that moment, and so do all its events. On the
+    bare column, the filter reaches the scan below the aggregate.
+    """
+    return events.filter(F.col("event_time") >= back(as_of, interval))
+
+
+def largest_differences(comparisons: DataFrame, as_of: Column, interval: str = "1 HOUR", keep: int = 10) -> DataFrame:
+    """Biggest relative differences either way among recent comparisons."""
+    ranked = comparisons.filter(F.col("timestamp") >= back(as_of, interval)).orderBy(
         F.abs("percentage_diff").desc(), "zone1", "zone2", "metric_name", "time_period"
     ).limit(keep)
     return ranked.select(

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Settings a running session may still change; the streaming ones are needed
@@ -32,6 +36,21 @@ def tune_streaming(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, for clusters where it is not installed (Python functions there import it)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    # A file of the driver's; Spark hands it to the workers.
+    folder = tempfile.mkdtemp(prefix="ship-")
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
+
+
 def build(app: str = "roadflux", master: str | None = None, **conf: str) -> SparkSession:
     """Build a session; pass extra settings as ``spark_sql_x="..."`` style keys.
 
@@ -45,4 +64,6 @@ def build(app: str = "roadflux", master: str | None = None, **conf: str) -> Spar
     settings.update({key.replace("_", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark

@@ -22,9 +22,9 @@ def jdbc_options(url: str, table: str, properties: Mapping[str, str] | None = No
 def write_jdbc(
     rows: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None, writers: int = 8
 ) -> None:
-    """Replace a database table. At most ``writers`` connections are open at once."""
+    """Replace a database table. At most ``writers`` connections are open at once; the work before the write keeps its own tasks."""
     options = jdbc_options(url, table, properties)
-    rows.coalesce(writers).write.format("jdbc").options(**options).mode("overwrite").save()
+    rows.repartition(writers).write.format("jdbc").options(**options).mode("overwrite").save()
 
 
 def merge_table(

@@ -193,11 +193,22 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.load(path)
 
 
-def stream_events(messages: DataFrame) -> DataFrame:
-    """Typed events of a message stream, with an event time usable for a watermark.
+def stream_lines(messages: DataFrame) -> DataFrame:
+    """Every message with typed fields and ``reject_reason``, repaired as in batch; event time usable for a watermark.
 
     ``ingested_at`` only says when the engine saw the row; nothing is computed from it.
     """
-    typed = messages.withColumn("_data", F.from_json("value", RAW_EVENT)).select("_data.*")
-    timed = typed.withColumn("event_time", parse_event_time(F.col("event_time")).cast("timestamp"))
-    return timed.filter(F.col("event_time").isNotNull()).withColumn("ingested_at", F.current_timestamp())
+    audited = audited_events(messages).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    return audited.withColumn("ingested_at", F.current_timestamp())
+
+
+def stream_events(messages: DataFrame) -> DataFrame:
+    """Accepted events of a message stream; ``stream_rejects`` has all others."""
+    kept = stream_lines(messages).filter(F.col("reject_reason").isNull())
+    return kept.select(*RAW_EVENT.names, "ingested_at")
+
+
+def stream_rejects(messages: DataFrame) -> DataFrame:
+    """Messages that are not events, and why; for a sink of their own."""
+    lost = stream_lines(messages).filter(F.col("reject_reason").isNotNull())
+    return lost.select("value", "reject_reason", "ingested_at")

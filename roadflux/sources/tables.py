@@ -9,17 +9,17 @@ from roadflux.schema import ZONE_COORDINATES
 
 PROCESSED = ["traffic_by_zone", "speed_by_road", "congestion_by_zone", "hourly_analysis"]
 
-# Zone, latitude, longitude, display name, kind.
-COORDINATES = """
-Centre_Ville|33.5731|-7.5898|Casablanca Centre|Urban
-Centre_Commercial|33.5789|-7.6328|Maarif District|Commercial
-Périphérie_Nord|33.6157|-7.5285|Hay Hassani|Residential
-Périphérie_Sud|33.5333|-7.5833|Ain Diab|Coastal
-Quartier_Résidentiel|33.6014|-7.6317|Racine|Residential
-Quartier_Est|33.5731|-7.5898|Lissasfa|Mixed
-Zone_Industrielle|33.5478|-7.6578|Ain Sebaa|Industrial
-Zone_Commerciale|33.5789|-7.6328|Gauthier|Commercial
-"""
+# Zone, latitude, longitude (decimal text, cast to the declared type), display name, kind.
+COORDINATES = (
+    ("Centre_Ville", "33.5731", "-7.5898", "Casablanca Centre", "Urban"),
+    ("Centre_Commercial", "33.5789", "-7.6328", "Maarif District", "Commercial"),
+    ("Périphérie_Nord", "33.6157", "-7.5285", "Hay Hassani", "Residential"),
+    ("Périphérie_Sud", "33.5333", "-7.5833", "Ain Diab", "Coastal"),
+    ("Quartier_Résidentiel", "33.6014", "-7.6317", "Racine", "Residential"),
+    ("Quartier_Est", "33.5731", "-7.5898", "Lissasfa", "Mixed"),
+    ("Zone_Industrielle", "33.5478", "-7.6578", "Ain Sebaa", "Industrial"),
+    ("Zone_Commerciale", "33.5789", "-7.6328", "Gauthier", "Commercial"),
+)
 
 
 def processed_zone(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -31,8 +31,7 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def zone_coordinates(spark: SparkSession) -> DataFrame:
-    rows = [line.split("|") for line in COORDINATES.strip().splitlines()]
-    text = spark.createDataFrame(rows, ZONE_COORDINATES.names)
+    text = spark.createDataFrame(COORDINATES, ZONE_COORDINATES.names)
     return text.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in ZONE_COORDINATES])
 
 

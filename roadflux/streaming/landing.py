@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,17 +31,26 @@ def land_batch(messages: DataFrame, path: str) -> None:
     landing_rows(messages).hint("rebalance", "date", "zone").write.mode("append").partitionBy("date", "zone").text(path)
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def land_stream(
-    messages: DataFrame, path: str, checkpoint: str, files_per_zone: int = 4, trigger: str | None = "30 seconds"
+    messages: DataFrame, path: str, checkpoint: str, rows_per_file: int = ROWS_PER_FILE, trigger: str | None = "30 seconds"
 ) -> StreamingQuery:
-    """Continuous landing; the file sink's log makes replays harmless.
+    """Continuous landing. Each micro-batch writes its own folder below date and zone, so that a replay overwrites it.
 
-    Adaptive execution is off in streams, so a zone's messages are spread over
-    ``files_per_zone`` tasks by hash.
+    A zone's messages of a batch are spread over as many tasks as their number calls for, by hash.
     """
-    spread = F.pmod(F.hash("value"), F.lit(files_per_zone))
-    rows = landing_rows(messages).repartition("date", "zone", spread)
-    writer = rows.writeStream.format("text").partitionBy("date", "zone")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        rows = landing_rows(batch)
+        sizes = rows.groupBy(F.col("date").alias("_d"), F.col("zone").alias("_z")).agg(F.ceil(F.count("*") / rows_per_file).alias("_tasks"))
+        sized = rows.join(sizes, (rows["date"] == sizes["_d"]) & (rows["zone"] == sizes["_z"]))
+        spread = sized.repartition("date", "zone", F.pmod(F.xxhash64("value"), F.col("_tasks")))
+        writer = spread.select("date", "zone", F.lit(f"{run}-{batch_id}").alias("batch"), "value").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("date", "zone", "batch").text(path)
+
+    writer = messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return writer.start()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.utils import AnalysisException
 
+from roadflux import workspace
 from roadflux.functions import rules
 from roadflux.functions.timeparts import epoch_micros
 from roadflux.operators import alerts as batch
@@ -31,7 +32,6 @@ _STATE = (
     "opened bigint, escalated bigint, updated bigint, n int, "
     "vehicle_count double, average_speed double, occupancy_rate double"
 )
-SECOND = 1_000_000
 
 
 class AlertTracker(StatefulProcessor):
@@ -41,40 +41,35 @@ class AlertTracker(StatefulProcessor):
         self._open = handle.getMapState("open_alerts", "alert_type string", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        # One row per closed window; a batch holds only the windows closed since the last one.
+        # State is loaded and stored once per key and batch. One row per closed window; a batch holds only the windows
+        # closed since the last one.
+        before = {kind: tuple(state) for (kind,), state in self._open.iterator()}
+        now = dict(before)
         for row in sorted(rows, key=lambda r: r.window_end):
-            metrics = (row.avg_vehicle_count, row.avg_speed, row.avg_occupancy_rate)
             if row.alert_type is None:
-                yield from self._resolve(key, row.window_end)
+                for kind, state in now.items():
+                    yield self._row(key, kind, state, "RESOLVED", row.window_end, row.window_end)
+                now.clear()
             else:
-                yield self._fire(key, row.alert_type, row.window_end, metrics)
-
-    def _fire(self, key, kind: str, end: int, metrics: tuple) -> Row:
-        if not self._open.containsKey((kind,)):
-            state, change = (end, end, end, 0, *metrics), "OPENED"
-        else:
-            opened, escalated, _, n, *_ = self._open.getValue((kind,))
-            due = end - escalated > rules.ALERTS[kind][4] * SECOND
-            state = (opened, end if due else escalated, end, n + 1 if due else n, *metrics)
-            change = "ESCALATED" if due else "REFRESHED"
-        self._open.updateValue((kind,), state)
-        return self._row(key, kind, state, change, end, None)
-
-    def _resolve(self, key, end: int) -> Iterator[Row]:
-        for (kind,), state in list(self._open.iterator()):
+                metrics = (row.avg_vehicle_count, row.avg_speed, row.avg_occupancy_rate)
+                now[row.alert_type], change = batch.next_state(now.get(row.alert_type), row.alert_type, row.window_end, metrics)
+                yield self._row(key, row.alert_type, now[row.alert_type], change, row.window_end, None)
+        for kind in before.keys() - now.keys():
             self._open.removeKey((kind,))
-            yield self._row(key, kind, tuple(state), "RESOLVED", end, end)
+        for kind, state in now.items():
+            if before.get(kind) != state:
+                self._open.updateValue((kind,), state)
 
     @staticmethod
     def _row(key, kind: str, state: tuple, change: str, at: int, resolved: int | None) -> Row:
         opened, _, updated, n, vehicles, speed, occupancy = state
         road, zone = key
-        named = [part for part in (kind, road, zone, str(opened // SECOND)) if part is not None]
+        named = [part for part in (kind, road, zone, str(opened // batch.SECOND)) if part is not None]
         return Row(
             alert_id="_".join(named), alert_type=kind, severity=rules.ALERTS[kind][3], road_id=road, zone=zone,
             vehicle_count=vehicles, average_speed=speed, occupancy_rate=occupancy, timestamp=opened,
             status="RESOLVED" if resolved else "ACTIVE", escalation_count=n, last_update=updated,
-            resolved_at=resolved, duration_seconds=(resolved - opened) // SECOND if resolved else None,
+            resolved_at=resolved, duration_seconds=(resolved - opened) // batch.SECOND if resolved else None,
             change=change, changed_at=at,
         )
 
@@ -97,38 +92,85 @@ def alert_changes(metrics: DataFrame) -> DataFrame:
 
 # --- alert store -------------------------------------------------------------
 # changes/batch=N holds the change rows of one micro-batch, snapshots/upto=N the
-# last row of every alert as of that batch.
+# last row of every alert as of that batch, runs/ which stream run has which checkpoint.
+# N counts on over runs: run number times BATCHES_PER_RUN plus the batch of the run.
 
-def keep_changes(path: str):
+BATCHES_PER_RUN = 1_000_000_000
+
+
+def batch_number(run: int, batch_id: int) -> int:
+    return run * BATCHES_PER_RUN + batch_id
+
+
+def run_number(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The run that owns a checkpoint; a checkpoint not seen before starts a new run, whose batches come after all others."""
+    try:
+        known = {r.checkpoint: r.run for r in spark.read.parquet(f"{path}/runs").collect()}  # a row per start of the job
+    except AnalysisException:
+        known = {}
+    if checkpoint not in known:
+        known[checkpoint] = max(known.values(), default=-1) + 1
+        spark.createDataFrame([(checkpoint, known[checkpoint])], "checkpoint string, run long").write.mode("append").parquet(f"{path}/runs")
+    return known[checkpoint]
+
+
+def keep_changes(path: str, run: int = 0):
     """Batch handler: the changes of a batch form one folder, which a replay overwrites."""
     def keep(changes: DataFrame, batch_id: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        changes.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_number(run, batch_id)}")
 
     return keep
 
 
 def changes(spark: SparkSession, path: str) -> DataFrame:
+    """Change rows that are not folded into a snapshot and removed."""
     return spark.read.parquet(f"{path}/changes")
 
 
-def _latest_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Last change row of every alert: newest snapshot plus the batches after it."""
-    log = changes(spark, path)
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        snapshots = spark.read.parquet(f"{path}/snapshots")
+        return spark.read.parquet(path)
     except AnalysisException:
-        rows = log.drop("batch")
+        return None
+
+
+def _latest_changes(spark: SparkSession, path: str) -> DataFrame:
+    """Last change row of every alert: newest snapshot plus the batches after it."""
+    log, snapshots = _read_or_none(spark, f"{path}/changes"), _read_or_none(spark, f"{path}/snapshots")
+    if snapshots is None:
+        rows = changes(spark, path).drop("batch")
     else:
         upto = snapshots.agg(F.max("upto")).first()[0]
-        newest = snapshots.filter(F.col("upto") == upto).drop("upto")
-        rows = newest.unionByName(log.filter(F.col("batch") > upto).drop("batch"))
+        rows = snapshots.filter(F.col("upto") == upto).drop("upto")
+        if log is not None:
+            rows = rows.unionByName(log.filter(F.col("batch") > upto).drop("batch"))
     return latest_rows(rows, ["alert_id"], "changed_at")
 
 
 def take_snapshot(spark: SparkSession, path: str) -> int:
-    """Fold all batches so far into a snapshot, so that readers skip them; returns its batch."""
-    upto = changes(spark, path).agg(F.max("batch")).first()[0]
-    _latest_changes(spark, path).write.mode("overwrite").parquet(f"{path}/snapshots/upto={upto}")
+    """Fold all batches so far into a snapshot, so that readers skip them; returns its batch.
+
+    A snapshot is never written over: without new batches the last one stands.
+    """
+    log, snapshots = _read_or_none(spark, f"{path}/changes"), _read_or_none(spark, f"{path}/snapshots")
+    done = snapshots.agg(F.max("upto")).first()[0] if snapshots is not None else None
+    upto = log.agg(F.max("batch")).first()[0] if log is not None else None
+    if upto is None or (done is not None and upto <= done):
+        return done
+    _latest_changes(spark, path).write.parquet(f"{path}/snapshots/upto={upto}")
+    return upto
+
+
+def compact(spark: SparkSession, path: str) -> int | None:
+    """Take a snapshot, and remove the batches and the snapshots that it replaces. For the job that owns the store."""
+    upto = take_snapshot(spark, path)
+    log, snapshots = _read_or_none(spark, f"{path}/changes"), _read_or_none(spark, f"{path}/snapshots")
+    if log is not None:
+        for row in log.filter(F.col("batch") <= upto).select("batch").distinct().collect():  # at most the batches since the last time
+            workspace.remove(spark, f"{path}/changes/batch={row.batch}")
+    if snapshots is not None:
+        for row in snapshots.filter(F.col("upto") < upto).select("upto").distinct().collect():
+            workspace.remove(spark, f"{path}/snapshots/upto={row.upto}")
     return upto
 
 
@@ -139,7 +181,11 @@ def current_alerts(spark: SparkSession, path: str) -> DataFrame:
     return last.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
-def announcements(spark: SparkSession, path: str) -> DataFrame:
+def told(rows: DataFrame) -> DataFrame:
     """Changes worth a notification, with ``is_escalation`` telling which kind."""
-    told = changes(spark, path).filter(F.col("change").isin("OPENED", "ESCALATED"))
-    return told.withColumn("is_escalation", F.col("change") == "ESCALATED")
+    kept = rows.filter(F.col("change").isin("OPENED", "ESCALATED"))
+    return kept.withColumn("is_escalation", F.col("change") == "ESCALATED")
+
+
+def announcements(spark: SparkSession, path: str) -> DataFrame:
+    return told(changes(spark, path))

@@ -7,8 +7,10 @@ its own.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +34,32 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
-    return f"{shared_root(spark)}/roadflux/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/roadflux/{label}-{uuid.uuid4().hex}"
+    for made in _scratch:
+        made.append(path)
+    return path
+
+
+_scratch: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """For a job: removes the intermediates made inside when it ends. Results must be elsewhere by then."""
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.remove(made)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is; nothing happens if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written(rows: DataFrame, label: str) -> DataFrame:

@@ -10,7 +10,7 @@ from conftest import rows
 from roadflux import workspace
 from roadflux.functions import rules
 from roadflux.operators import alerts
-from roadflux.plans import notifications
+from roadflux.plans import jobs, notifications
 from roadflux.sources import raw
 from roadflux.streaming import landing, lifecycle, metrics
 
@@ -170,6 +170,40 @@ def test_late_rows_are_dropped(spark, tmp_path):
     assert as_local == {t(0): (1, 50.0), t(9): (1, 40.0), t(10): (1, 50.0)}
 
 
+def test_live_job_across_a_restart_and_a_new_checkpoint(spark, tmp_path):
+    rng = random.Random(4)
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+    lines = [message(f"S{m}", START + dt.timedelta(minutes=m, seconds=1), rng.choice([20.0, 35.0, 45.0, 70.0])) for m in range(30)]
+
+    def go(state):
+        running = jobs.live_alerts(raw.text_stream(spark, source, max_files=1), store, state, trigger=None, compact_every=1)
+        running.awaitTermination()
+        assert running.exception() is None
+
+    write_file(spark, source, lines[:15])
+    go(str(tmp_path / "state"))
+    write_file(spark, source, [*lines[15:], "junk", message("END", START + dt.timedelta(days=1), 70.0, "R9")])
+    go(str(tmp_path / "state"))
+    batch = alerts.lifecycle(alerts.window_metrics(raw.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))))
+    same(shaped(lifecycle.current_alerts(spark, store)), shaped(batch))
+    sent = spark.read.parquet(f"{store}/outbox")
+    assert sent.count() == batch.count() + batch.agg(F.sum("escalation_count")).first()[0]
+    # the same messages again in a run of its own: its batches count on, and say the same about every alert
+    go(str(tmp_path / "other"))
+    assert {r.run for r in spark.read.parquet(f"{store}/runs").collect()} == {0, 1}
+    same(shaped(lifecycle.current_alerts(spark, store)), shaped(batch))
+
+
+def test_rejects_have_a_sink(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_file(spark, source, [message("a", START, 50.0), "junk", "{sensor_id: S, event_time: 2024-01-01T00:00:00}", '{"sensor_id": "x"}'])
+    running = jobs.live_rejects(raw.text_stream(spark, source), out, str(tmp_path / "state"), trigger=None)
+    running.awaitTermination()
+    assert sorted(r.reject_reason for r in spark.read.parquet(out).collect()) == ["bad_json", "bad_time"]
+    kept = raw.stream_events(spark.read.text(source))
+    assert sorted(r.sensor_id for r in kept.collect()) == ["S", "a"]
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     out = str(tmp_path / "changes")
     frame = spark.range(3)
@@ -185,6 +219,7 @@ def test_stream_landing(spark, tmp_path):
     write_file(spark, source, [message("a", START, 50.0, zone="Zone A-1"), "junk"])
     running = landing.land_stream(raw.text_stream(spark, source), out, state, trigger=None)
     running.awaitTermination()
+    assert running.exception() is None
     got = rows(spark.read.text(out).groupBy("date", "zone").count())
     assert [tuple(map(str, r)) for r in got] == [("2024-01-01", "Zone_A_1", "1"), ("quarantine", "Unknown", "1")]
 

@@ -36,7 +36,11 @@ def test_regression_learns_a_line(spark):
     table = workspace.written(features.feature_table(events), "line")
     trained = models.train_traffic(table)
     assert trained.scores["r2"] > 0.9 and trained.scores["mae"] <= trained.scores["rmse"]
-    ahead = models.forecast(table, trained, models.train_speed(table)).collect()
+    hourly = workspace.written(features.feature_table(features.hourly_series(events)), "hourly-line")
+    start = models.forecast_start(events)
+    newest = events.groupBy("road_id", "zone").agg(F.date_trunc("hour", F.max("event_time")).cast("timestamp_ntz").alias("t"))
+    assert rows(start.select("road_id", "zone", "event_time")) == rows(newest)
+    ahead = models.forecast(start, models.train_traffic(hourly), models.train_speed(hourly)).collect()
     assert {(r.zone, r.prediction_horizon_hours) for r in ahead} == {(f"Z{z}", h) for z in range(3) for h in (1, 2)}
     first = {r.zone: r.prediction_timestamp for r in ahead if r.prediction_horizon_hours == 1}
     assert all(r.prediction_timestamp - first[r.zone] == dt.timedelta(hours=1) for r in ahead if r.prediction_horizon_hours == 2)
@@ -69,8 +73,8 @@ def test_outliers_score_lowest(crowd):
     forest = anomalies.fit(crowd)
     assert forest.feature.shape[0] == 100 and forest.sample == 256
     flagged = anomalies.flag(anomalies.score(crowd, forest)).cache()
-    assert flagged.count() == 3005  # the incomplete row is left out
-    worst = [r.id for r in flagged.orderBy("anomaly_score").limit(5).collect()]
+    assert flagged.count() == 3006 and flagged.filter("anomaly_score is null and is_anomaly is null").count() == 1
+    worst = [r.id for r in flagged.orderBy(F.asc_nulls_last("anomaly_score")).limit(5).collect()]
     assert set(worst) == set(range(3000, 3005))
     share = anomalies.anomaly_share(flagged).first()
     assert 8.0 <= share.percent <= 10.5 and share.rows == 3005
@@ -94,3 +98,20 @@ def test_prediction_job_writes_four_tables(spark, sf_dir):
     paths = jobs.predict(fx.traffic(spark, sf_dir), workspace.fresh_path(spark, "predictions"))
     assert set(paths) == {"traffic_predictions", "congestion_predictions", "anomalies_detected", "route_recommendations"}
     assert all(spark.read.parquet(p).count() > 0 for p in paths.values())
+
+
+def test_ranked_value_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(anomalies, "FEW", 3)
+    rng = random.Random(4)
+    for data in ([rng.gauss(0, 1) for _ in range(700)], [1.0] * 50, [0.0] * 300 + [rng.random() for _ in range(90)], [2.5], [1e-300, 1e300] * 9):
+        frame = spark.createDataFrame([(v,) for v in data] + [(None,)], "v double").cache()
+        for share in (0.1, 0.5, 1.0):
+            assert anomalies.ranked_value(frame, "v", share) == sorted(data)[max(1, -(-len(data) * int(share * 10) // 10)) - 1]
+    assert anomalies.ranked_value(frame.limit(0), "v", 0.1) is None
+
+
+def test_rows_without_an_input_keep_a_null_prediction(spark, sf_dir, table):
+    trained = models.train_traffic(table)
+    lost = trained.predictions.filter("average_speed is null or occupancy_rate is null")
+    assert lost.count() > 0 and lost.filter("predicted_vehicle_count is not null").count() == 0
+    assert trained.predictions.count() == models.split(table, 80)[1].count()

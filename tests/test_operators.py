@@ -29,44 +29,40 @@ def skewed_events(spark, n=900, seed=1):
     return spark.createDataFrame(out, EVENTS)
 
 
-@pytest.mark.parametrize("rows_per_chunk", [1, 2, 7, 50])
-def test_chunked_frames_equal_whole_series(spark, rows_per_chunk):
+def plain_history(events):
+    """Frames over whole series."""
+    w = Window.partitionBy(*features.SERIES).orderBy(*features.ORDER)
+    return events.select(*events.columns, F.lag("vehicle_count", 2).over(w).alias("vehicle_count_lag2"),
+                         F.lead("average_speed", 1).over(w).alias("speed_target"),
+                         F.avg("average_speed").over(w.rowsBetween(-3, 0)).alias("speed_ma3"))
+
+
+@pytest.mark.parametrize("seconds", [0.5, 1, 7, 60, 86_400])
+def test_chunked_frames_equal_whole_series(spark, seconds):
     events = skewed_events(spark).cache()
-    whole = rows(features.history(events, rows_per_chunk=10_000))
-    assert len(whole) == 900
-    assert rows(features.history(events, rows_per_chunk)) == whole
+    want = plain_history(events)
+    got = features.history(events, seconds).select(*want.columns)
+    assert rows(got) == rows(want)
 
 
-def test_plain_window_gives_the_same_lags(spark):
-    events = skewed_events(spark)
-    w = Window.partitionBy(*features.SERIES).orderBy(*features.ORDER)
-    plain = events.select("sensor_id", F.lag("vehicle_count", 2).over(w), F.lead("average_speed", 1).over(w),
-                          F.avg("average_speed").over(w.rowsBetween(-3, 0)))
-    ours = features.history(events, 20).select("sensor_id", "vehicle_count_lag2", "speed_target", "speed_ma3")
-    assert rows(ours) == rows(plain)
+def test_hot_and_single_instant_series(spark):
+    start = dt.datetime(2024, 1, 1)
+    hot = [(f"S{i}", "R", "rue", "Z", i, i / 4, 1.0, start + dt.timedelta(seconds=i)) for i in range(500)]
+    burst = [(f"S{i}", "Q", "rue", "Z", i, i / 4, 1.0, start) for i in range(200)]
+    for data in (hot, burst, [*hot, *burst, ("N", None, "rue", None, 1, 1.0, 1.0, start)]):
+        events = spark.createDataFrame(data, EVENTS).cache()
+        want = plain_history(events)
+        assert rows(features.history(events, 60).select(*want.columns)) == rows(want)
 
 
 def test_long_series_are_split(spark):
-    pieces = series.chunked(skewed_events(spark), features.SERIES, "event_time", features.ORDER, 3, 1, 50)
+    pieces = series.chunked(skewed_events(spark), features.SERIES, "event_time", features.ORDER, 3, 1, 60)
     hot = pieces.filter("road_id = 'HOT'").filter(~F.col(series.BORDER))
     assert hot.select(series.CHUNK).distinct().count() > 3
     borders = pieces.filter(F.col(series.BORDER)).groupBy("road_id", "zone", series.CHUNK).count()
     assert borders.agg(F.max("count")).first()[0] <= 4
 
 
-def test_bursts_are_cut_again(spark):
-    # Nine tenths of the series fall into one of its five thousand seconds.
-    start = dt.datetime(2024, 1, 1)
-    times = [start + dt.timedelta(microseconds=700 * i) for i in range(900)]
-    times += [start + dt.timedelta(seconds=50 * i) for i in range(100)]
-    events = spark.createDataFrame([(f"S{i}", "R", "rue", "Z", i, 1.0, 1.0, t) for i, t in enumerate(times)], EVENTS).cache()
-    pieces = series.chunked(events, features.SERIES, "event_time", features.ORDER, 3, 1, 40)
-    sizes = pieces.filter(~F.col(series.BORDER)).groupBy(series.CHUNK).agg(
-        F.count("*").alias("n"), F.count_distinct("event_time").alias("instants"))
-    assert sizes.filter("n > 40 and instants > 1").count() == 0 and sizes.agg(F.sum("n")).first()[0] == 1000
-    assert rows(features.history(events, 40)) == rows(features.history(events, 10_000))
-
-
 def test_dense_rank(spark):
     rng = random.Random(3)
     data = [(i, "g1" if i % 3 else "g2", None if i % 17 == 0 else rng.randrange(60) / 8) for i in range(400)]
@@ -186,16 +182,3 @@ def test_gates_and_counts(spark):
         "raw": True, "analytics": False}
     nulls = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
     assert rows(quality.null_counts(nulls)) == [("a", 1), ("b", 2)]
-
-
-def test_chunks_without_a_broadcast(spark):
-    events = skewed_events(spark).cache()
-    whole = rows(features.history(events, rows_per_chunk=10_000))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        frame = features.history(events, 25)
-        assert "BroadcastHashJoin" not in frame._jdf.queryExecution().executedPlan().toString()
-        assert rows(frame) == whole
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from roadflux.operators import alerts as alert_ops, kpis
 from roadflux.sources.tables import as_kpi_input
 
-# Position is the zone index used below and in the SQL.
+# Fixed values; a position is the index used below and in the SQL.
 ZONES = [
     "Centre-Ville", "Zone-Commerciale", "Zone-Industrielle",
     "Quartier-Residentiel", "Peripherie-Nord", "Peripherie-Sud",
@@ -148,3 +148,17 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.zone_snapshots(traffic(spark, sf_dir))
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast rows without a model: each hour's means, foretold for the next hour."""
+    hours = snapshots(spark, sf_dir)
+    return hours.select(
+        "zone",
+        (F.col("processed_at") + F.expr("INTERVAL 1 HOUR")).alias("prediction_timestamp"),
+        F.col("trafic_moyen_vehicules_heure").alias("predicted_traffic"),
+        F.col("vitesse_moyenne_kmh").alias("predicted_speed"),
+        F.lit(0.75).alias("confidence_score"),
+        F.lit(1).alias("prediction_horizon_hours"),
+        F.lit("v1.0").alias("model_version"),
+    )

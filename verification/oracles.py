@@ -139,7 +139,31 @@ def _repaired(column: str, after: str) -> str:
     return f"SELECT {column} AS before, {after} AS after, count(*) AS n FROM dirty GROUP BY 1, 2"
 
 
+GIVEN_CLASS = """(SELECT target, CASE WHEN average_speed IS NOT NULL THEN CAST(CAST(average_speed < 35 AS INTEGER) AS DOUBLE) END AS p
+ FROM history WHERE vehicle_count_target IS NOT NULL AND next_speed IS NOT NULL)"""
+# The exact cut: the smallest score that a tenth of all scores does not exceed.
+GIVEN_FLAGS = """(SELECT *, CASE WHEN anomaly_score IS NOT NULL THEN CAST(anomaly_score < (SELECT min(s) FROM (
+  SELECT anomaly_score AS s, count(*) OVER () AS n,
+   count(*) OVER (ORDER BY anomaly_score) AS upto FROM given_scores WHERE anomaly_score IS NOT NULL) WHERE upto >= (n + 9) // 10) AS INTEGER) END
+ AS is_anomaly FROM given_scores)"""
+
 PARTS = {
+    "preds": """SELECT zone, processed_at + INTERVAL 1 HOUR AS prediction_timestamp, trafic_moyen_vehicules_heure AS predicted_traffic,
+ vitesse_moyenne_kmh AS predicted_speed, CAST(0.75 AS DOUBLE) AS confidence_score, 1 AS prediction_horizon_hours,
+ 'v1.0' AS model_version FROM snaps""",
+    "given_scores": """SELECT *, CASE WHEN average_speed IS NOT NULL AND occupancy_rate IS NOT NULL
+  THEN -CAST((event_id * 7919) % 1000 + 1 AS DOUBLE) / 1024 END AS anomaly_score FROM traffic""",
+    "parted": """SELECT percent, bucket < percent AS train FROM (SELECT CAST(('0x' || substr(md5(concat_ws('|', '42', sensor_id, road_id, zone,
+   strftime(event_time, '%Y-%m-%d %H:%M:%S.%f'))), 1, 8)) AS BIGINT) % 100 AS bucket FROM history
+  WHERE vehicle_count_target IS NOT NULL AND next_speed IS NOT NULL), (VALUES (70), (80)) AS t(percent)""",
+    "hour_means": """SELECT road_id, zone, date_trunc('hour', event_time) AS t, avg(vehicle_count) AS v, avg(average_speed) AS s,
+ avg(occupancy_rate) AS o FROM traffic GROUP BY 1, 2, 3""",
+    "step0": """SELECT 0 AS step, road_id, zone, max(t) AS t, list(v ORDER BY t DESC)[1:4] AS v, list(s ORDER BY t DESC)[1:4] AS s,
+ list(o ORDER BY t DESC)[1:4] AS o FROM hour_means GROUP BY 2, 3""",
+    "step1": """SELECT 1 AS step, road_id, zone, t + INTERVAL 1 HOUR AS t, list_concat([v[1] + 1], v[1:3]) AS v,
+ list_concat([s[1] + 0.5], s[1:3]) AS s, list_concat([o[1]], o[1:3]) AS o FROM step0""",
+    "step2": """SELECT 2 AS step, road_id, zone, t + INTERVAL 1 HOUR AS t, list_concat([v[1] + 1], v[1:3]) AS v,
+ list_concat([s[1] + 0.5], s[1:3]) AS s, list_concat([o[1]], o[1:3]) AS o FROM step1""",
     "b": """SELECT event_id, user_id, value, ts, event_type, CAST((props->>'k') AS DOUBLE) AS k,
  CAST(((user_id % 100) // 4) % 6 AS INT) AS z, hour(ts) AS h FROM events""",
     "traffic": f"""SELECT event_id, event_type, ts AS event_time,
@@ -262,7 +286,8 @@ PARTS = {
    avg(vehicle_count) FILTER (WHERE NOT weekday) AS v2 FROM halves GROUP BY 1
   UNION ALL SELECT zone, 'average_speed', avg(average_speed) FILTER (WHERE weekday),
    avg(average_speed) FILTER (WHERE NOT weekday) FROM halves GROUP BY 1)""",
-    "flow": f"""SELECT CAST(l.l_quantity AS BIGINT) AS flow_volume,
+    "flow": f"""SELECT printf('ROAD_%04d', CAST(1 + l.l_suppkey % 100 AS INT)) AS road_id,
+ {_case('s.s_nationkey % 6', ZONES)} AS from_zone, {_case('c.c_nationkey % 6', ZONES)} AS to_zone, CAST(l.l_quantity AS BIGINT) AS flow_volume,
  CAST(20 AS DOUBLE) + CAST((l.l_partkey * 7) % 320 AS DOUBLE) / CAST(4 AS DOUBLE) AS average_speed,
  {_case('(s.s_nationkey + 3 * c.c_nationkey) % 8', DIRECTIONS)} AS direction, l.l_shipdate AS timestamp
  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
@@ -391,13 +416,13 @@ LANDED = """SELECT date, zone, count(*) AS messages, CAST(sum(length(value)) AS
 BODIES = {
     "i1_raw_text_read": "SELECT count(*) AS lines, CAST(sum(length(value)) AS BIGINT) AS characters FROM lines",
     "i2_non_blank_lines": "SELECT event_id, event_type, value FROM lines WHERE trim(value) <> ''",
-    "i3_repaired_json": f"""SELECT event_id, CASE event_type WHEN 'purchase' THEN {BARE_JSON} END AS json_str
- FROM traffic WHERE event_type IN ('purchase', 'error')""",
-    "i4_regex_repaired_json": """SELECT event_id, '{"sensor_id":"' || sensor_id || '", "road_id":"' || road_id
- || '", "road_type":"' || road_type || '", "zone":"' || zone || '", "vehicle_count":"' || vehicle_count
- || '", "average_speed":"' || coalesce(CAST(average_speed AS VARCHAR), 'null') || '", "occupancy_rate":"'
- || coalesce(CAST(occupancy_rate AS VARCHAR), 'null') || '", "event_time":"'
- || strftime(event_time, '%Y-%m-%dT%H%M%S') || '"}' AS json_str FROM traffic WHERE event_type = 'purchase'""",
+    "i3_repaired_json": f"""SELECT event_id, CASE event_type WHEN 'purchase' THEN {BARE_JSON} ELSE {JSON_LINE} END AS json_str
+ FROM traffic""",
+    "i4_regex_repaired_json": """SELECT event_id, CASE event_type WHEN 'signup' THEN '{"sensor_id":"' || sensor_id || '","road_id":"'
+ || road_id || '","road_type":"' || road_type || '","zone":"' || zone || '","vehicle_count":"' || vehicle_count
+ || '","average_speed":"' || coalesce(CAST(average_speed AS VARCHAR), 'null') || '","occupancy_rate":"'
+ || coalesce(CAST(occupancy_rate AS VARCHAR), 'null') || '","event_time":"n/a"}' END AS json_str FROM traffic
+ UNION ALL SELECT event_id, NULL FROM traffic WHERE event_type = 'error'""",
     "i5_parsed_events": f"""SELECT event_id, sensor_id, road_id, road_type, zone, vehicle_count, average_speed,
  occupancy_rate, {TIME_KEPT} AS event_time FROM traffic WHERE event_type IN ('view', 'click', 'purchase')""",
     "i6_strict_json_read": f"""SELECT sensor_id, road_id, road_type, zone, CAST(vehicle_count AS DOUBLE) AS vehicle_count,
@@ -480,6 +505,21 @@ BODIES = {
         "average_speed": "DECIMAL(5,2)", "occupancy_rate": "DECIMAL(5,2)",
         "timestamp": "TIMESTAMP", "status": "VARCHAR", "escalation_count": "INTEGER", "resolved_at": "TIMESTAMP",
         "duration_seconds": "INTEGER"}).replace(" FROM alerts", ", CAST(trunc(vehicle_count) AS INTEGER) AS vehicle_count FROM alerts"),
+    "k5_serving_kpi_metrics": _serving("metrics", {
+        "metric_name": "VARCHAR", "metric_value": D2, "metric_unit": "VARCHAR", "zone": "VARCHAR", "timestamp": "TIMESTAMP",
+        "period": "VARCHAR"}),
+    "k5_serving_traffic_flow": _serving("flow", {
+        "road_id": "VARCHAR", "from_zone": "VARCHAR", "to_zone": "VARCHAR", "flow_volume": "INTEGER",
+        "average_speed": "DECIMAL(5,2)", "direction": "VARCHAR", "timestamp": "TIMESTAMP"}),
+    "k5_serving_traffic_predictions": _serving("preds", {
+        "zone": "VARCHAR", "prediction_timestamp": "TIMESTAMP", "predicted_traffic": D2, "predicted_speed": "DECIMAL(5,2)",
+        "confidence_score": "DECIMAL(3,2)", "prediction_horizon_hours": "INTEGER", "model_version": "VARCHAR"}),
+    "k5_serving_zone_coordinates": """SELECT zone, CAST(latitude AS DECIMAL(10,8)) AS latitude,
+ CAST(longitude AS DECIMAL(11,8)) AS longitude, zone_name, zone_type FROM coords WHERE zone IN (SELECT zone FROM canon)""",
+    "k5_serving_comparative_analytics": _serving(
+        "(SELECT * FROM zone_cmp UNION ALL SELECT * FROM peak_cmp UNION ALL SELECT * FROM week_cmp) JOIN now ON true", {
+        "comparison_type": "VARCHAR", "zone1": "VARCHAR", "zone2": "VARCHAR", "metric_name": "VARCHAR", "value1": D2,
+        "value2": D2, "percentage_diff": D2, "time_period": "VARCHAR"}).replace(" FROM (", ", as_of AS timestamp FROM ("),
     "k6_catalog_tables": """SELECT 'zone_kpi_zone_strategique' AS "table", (SELECT count(*) FROM strategic) AS rows
  UNION ALL SELECT 'zone_performance_routes', (SELECT count(*) FROM roads)
  UNION ALL SELECT 'zone_analyse_congestion', (SELECT count(*) FROM zones)
@@ -534,6 +574,12 @@ BODIES = {
     "a16_route_congestion": "SELECT * FROM routes",
     "a16_congested_routes": "SELECT * FROM routes WHERE congestion_rate > CAST(0.2 AS DOUBLE)",
     "a17_slow_roads": "SELECT * FROM slow",
+    "o4_service_level_order": """SELECT niveau_service, row_number() OVER (ORDER BY substr(niveau_service, 1, 1)) AS position
+ FROM (SELECT DISTINCT niveau_service FROM strategic)""",
+    "o4_day_period_order": """SELECT periode_journee, row_number() OVER (ORDER BY list_position(['Heures de pointe matin', 'Pleine journée',
+ 'Heures de pointe soir', 'Soirée', 'Nuit'], periode_journee)) AS position FROM (SELECT DISTINCT periode_journee FROM hourly)""",
+    "o1_congestion_order": """SELECT zone, row_number() OVER (ORDER BY congestion_rate_percent DESC, zone) AS position FROM analysis
+ ORDER BY 2 LIMIT 10""",
     "a18_network_performance": """SELECT niveau_service, count(*) AS nombre_zones, round(avg(vitesse_moyenne_kmh), 6)
  AS vitesse_moyenne, round(avg(trafic_moyen_vehicules), 6) AS trafic_moyen FROM strategic GROUP BY 1""",
     "a19_period_report": """SELECT periode_journee, round(avg(trafic_horaire_moyen), 6) AS trafic_moyen,
@@ -639,6 +685,35 @@ BODIES = {
     "g14_markers": f"""SELECT zone_name AS name, CAST(latitude AS DECIMAL(10,8)) AS latitude,
  CAST(longitude AS DECIMAL(11,8)) AS longitude, t AS traffic_density, zone_type, {_marker('t')} AS density_level
  FROM coords LEFT JOIN canon USING (zone)""",
+    "g15_forecast_series": """SELECT prediction_timestamp AS time, predicted_traffic, predicted_speed, zone,
+ confidence_score * 100 AS confidence_percent FROM preds, now WHERE prediction_timestamp >= as_of - INTERVAL 4 HOUR""",
+    "m8_forecast_inputs": f"""SELECT step, road_id, zone, t AS event_time, CAST(hour(t) AS INTEGER) AS hour,
+ {', '.join(f"round({x}[{i}], 6) AS {n}" for x, names in (
+    ("v", ("vehicle_count", "vehicle_count_lag1", "vehicle_count_lag2")), ("s", ("average_speed", "speed_lag1", "speed_lag2")),
+    ("o", ("occupancy_rate", "occupancy_lag1", "occupancy_lag2"))) for i, n in enumerate(names, 1))},
+ round(list_aggregate(v, 'avg'), 6) AS vehicle_count_ma3, round(list_aggregate(s, 'avg'), 6) AS speed_ma3,
+ round(list_aggregate(o, 'avg'), 6) AS occupancy_ma3, round(list_aggregate(v, 'stddev_samp'), 6) AS vehicle_count_std3,
+ round(list_aggregate(s, 'stddev_samp'), 6) AS speed_std3
+ FROM (SELECT * FROM step0 UNION ALL SELECT * FROM step1 UNION ALL SELECT * FROM step2)""",
+    "m3_split_rows": "SELECT percent, train, CAST(count(*) AS BIGINT) AS rows FROM parted GROUP BY 1, 2",
+    "m3_given_scores": """SELECT count(e) AS rows, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
+ round(1 - avg(e * e) / var_pop(l), 6) AS r2 FROM (SELECT vehicle_count_target - p AS e,
+  CASE WHEN p IS NOT NULL THEN vehicle_count_target END AS l FROM (SELECT vehicle_count_target,
+   CASE WHEN average_speed IS NOT NULL THEN vehicle_count + average_speed / 4 END AS p FROM history
+   WHERE vehicle_count_target IS NOT NULL AND next_speed IS NOT NULL))""",
+    "m4_given_accuracy": f"SELECT count(p) AS rows, round(avg(CASE WHEN p IS NOT NULL THEN CAST(target = p AS INTEGER) END), 6) AS accuracy FROM {GIVEN_CLASS}",
+    "a27_given_predictions": f"""SELECT CAST(target AS DOUBLE) AS congestion_target, p AS congestion_prediction, count(*) AS count
+ FROM {GIVEN_CLASS} WHERE p IS NOT NULL GROUP BY 1, 2""",
+    "m1_one_hot_vectors": """SELECT road_type, array_to_string(list_transform(range(4), lambda i: CAST(i = idx AS INTEGER)), ',') AS vector
+ FROM (SELECT road_type, row_number() OVER (ORDER BY count(*) DESC, road_type) - 1 AS idx FROM traffic GROUP BY 1)""",
+    "m6_given_share": f"""SELECT CAST(sum(is_anomaly) AS BIGINT) AS anomalies, count(is_anomaly) AS rows,
+ round(avg(is_anomaly) * 100, 1) AS percent FROM {GIVEN_FLAGS}""",
+    "m6_given_most_severe": f"""SELECT vehicle_count, average_speed, occupancy_rate, CAST(hour(event_time) AS INTEGER) AS hour,
+ anomaly_score FROM {GIVEN_FLAGS} WHERE is_anomaly = 1 ORDER BY anomaly_score, vehicle_count, average_speed, occupancy_rate,
+ hour(event_time), dayofweek(event_time) LIMIT 10""",
+    "k10_given_tables": """SELECT 'traffic_predictions' AS "table", count(*) AS rows FROM parted WHERE percent = 80 AND NOT train
+ UNION ALL SELECT 'congestion_predictions', count(*) FROM parted WHERE percent = 70 AND NOT train
+ UNION ALL SELECT 'anomalies_detected', count(*) FROM parted WHERE percent = 80""",
     "g16_active_alert_count": """SELECT 'Active Alerts' AS metric, count(*) AS value FROM alerts, now
  WHERE status = 'ACTIVE' AND timestamp >= as_of - INTERVAL 48 HOUR""",
     "g17_flow_by_direction": """SELECT direction, CAST(sum(flow_volume) AS BIGINT) AS flow_volume,
@@ -660,7 +735,9 @@ BODIES = {
     "t11_alert_lifecycle": "SELECT * FROM alerts",
     "t11_alert_lifecycle_minutes": "SELECT * FROM minute_alerts",
     "t2_parsed_messages": f"""SELECT sensor_id, road_id, road_type, zone, vehicle_count, average_speed, occupancy_rate,
- {TIME_KEPT} AS event_time FROM traffic WHERE event_type IN ('view', 'click')""",
+ {TIME_KEPT} AS event_time FROM traffic WHERE event_type IN ('view', 'click', 'purchase')""",
+    "t2_rejected_messages": """SELECT value, CASE WHEN trim(value) = '' THEN 'blank' WHEN event_type = 'error' THEN 'bad_json'
+ ELSE 'bad_time' END AS reject_reason FROM lines WHERE event_type IN ('error', 'signup')""",
     "t4_stream_window_metrics": """SELECT * FROM (SELECT date_trunc('minute', event_time) AS window_start,
  date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS window_end, road_id, zone,
  avg(vehicle_count) AS avg_vehicle_count, avg(average_speed) AS avg_speed, avg(occupancy_rate) AS avg_occupancy_rate,
@@ -688,7 +765,9 @@ BODIES = {
  CASE WHEN escalation_count > 0 THEN '🚨 ESCALADE ALERTE TRAFIC - ' ELSE '🚨 ALERTE TRAFIC - ' END || alert_type
   || ' sur ' || road_id AS subject,
  'ALERTE TRAFIC' || CASE WHEN escalation_count > 0 THEN ' (ESCALADE)' ELSE '' END || chr(10) || {MAIL_FACTS}
-  || chr(10) || '- Timestamp: ' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS body FROM alerts
+  || chr(10) || '- Timestamp: ' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || chr(10) || chr(10)
+  || array_to_string(['Actions recommandées', '- Vérifier la situation sur place', '- Activer les panneaux de signalisation',
+   '- Contacter les équipes de régulation', '- Envisager des déviations'], chr(10)) AS body FROM alerts
  UNION ALL SELECT alert_id, escalation_count > 0, 'slack', NULL,
  CASE WHEN severity = 'HIGH' THEN '🚨' ELSE '⚠️' END || ' *ALERTE TRAFIC'
   || CASE WHEN escalation_count > 0 THEN ' (ESCALADE)' ELSE '' END || '*' || chr(10) || chr(10) || {CHAT_FACTS}
@@ -701,6 +780,15 @@ BODIES = {
   || '","is_escalation":' || CAST(escalation_count > 0 AS VARCHAR) || '}}' FROM alerts""",
 }
 
+# The stored analytics tables hold what their makers return.
+BODIES |= {
+    "k2_stored_kpi_zone_strategique": BODIES["a5_strategic_zones"],
+    "k2_stored_performance_routes": BODIES["w1_road_performance"],
+    "k2_stored_analyse_congestion": BODIES["a6_congestion_analysis"],
+    "k2_stored_analyse_temporelle": BODIES["a7_hourly_analysis"],
+    "k2_stored_tableau_bord_executif": BODIES["a8_executive_overview"],
+}
+
 
 def _needed(text: str, seen: list[str]) -> None:
     for name, part in PARTS.items():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadflux import workspace
@@ -134,16 +135,13 @@ simple("i2_non_blank_lines", fx.raw_lines, raw.non_blank)
 
 @query("i3_repaired_json")
 def _(s, d):
-    bare = raw.non_blank(fx.raw_lines(s, d)).filter(F.col("event_type").isin("purchase", "error"))
-    return bare.select("event_id", raw.repaired_json(F.col("value")).alias("json_str"))
+    return raw.non_blank(fx.raw_lines(s, d)).select("event_id", raw.repaired_json(F.col("value")).alias("json_str"))
 
 
 @query("i4_regex_repaired_json")
 def _(s, d):
-    # The patterns take any word before a colon for a key, so clock times lose theirs first.
-    bare = fx.raw_lines(s, d).filter(F.col("event_type") == "purchase")
-    packed = F.regexp_replace("value", r"T(\d\d):(\d\d):", "T$1$2")
-    return bare.select("event_id", raw.regex_repaired_json(packed).alias("json_str"))
+    # The patterns take any word before a colon for a key, so a line with a clock time is beyond them.
+    return fx.raw_lines(s, d).select("event_id", raw.regex_repaired_json(F.col("value")).alias("json_str"))
 
 
 simple("i5_parsed_events", fx.raw_lines, raw.audited_events,
@@ -248,6 +246,11 @@ def _(s, d):
     return quality.dataset_summary({name: s.read.parquet(path) for name, path in paths.items()})
 
 
+# What the five analytics tables hold, read back.
+for _name in files.ANALYTICS_LAYOUT:
+    query(f"k2_stored_{_name}")(lambda s, d, n=_name: s.read.parquet(_write_analytics(s, d)[n]).drop("processed_at"))
+
+
 def _daily(s, d, unit="day"):
     """Zone traffic per day: several versions of each zone's row, told apart by ``observed``."""
     day = F.date_trunc(unit, "event_time").cast("timestamp_ntz").alias("observed")
@@ -285,6 +288,20 @@ for _table, _source in SERVED.items():
     simple(f"k5_serving_{_table}", _source, _narrowed(_table))
 simple("k5_serving_evolution_trafic", fx.kpi_input, kpis.temporal_evolution, _narrowed("evolution_trafic"))
 simple("k5_serving_traffic_alerts", fx.alerts, _narrowed("traffic_alerts"))
+simple("k5_serving_kpi_metrics", metrics, _narrowed("kpi_metrics"))
+simple("k5_serving_traffic_flow", fx.flow, _narrowed("traffic_flow"))
+simple("k5_serving_traffic_predictions", fx.predictions, _narrowed("traffic_predictions"))
+
+
+@query("k5_serving_zone_coordinates")
+def _(s, d):
+    return serving.for_serving(tables.zone_coordinates(s).join(
+        canonical_traffic(s, d).select("zone"), "zone", "left_semi"), "zone_coordinates")
+
+
+@query("k5_serving_comparative_analytics")
+def _(s, d):
+    return _narrowed("comparative_analytics")(jobs.compare(fx.traffic(s, d), BASELINE, fx.as_of(fx.traffic(s, d))))
 
 
 @query("k6_catalog_tables")
@@ -449,8 +466,8 @@ simple("w5_next_step", fx.traffic, features.history, lambda f: f.select(
     "event_id", "vehicle_count_target", "speed_target", "congestion_target"))
 simple("w6_ranked_zones", traffic2, reports.ranked_zones)
 simple("m2_feature_table", fx.traffic, features.feature_table, lambda f: f.select(*FEATURES), digits=6)
-# Same table with series cut into chunks of 50 rows, the path long series take.
-simple("m2_feature_table_chunked", fx.traffic, lambda f: features.feature_table(f, rows_per_chunk=50),
+# Same table with series cut into chunks of an hour.
+simple("m2_feature_table_chunked", fx.traffic, lambda f: features.feature_table(f, seconds_per_chunk=3600),
        lambda f: f.select(*FEATURES), digits=6)
 
 
@@ -498,6 +515,14 @@ simple("m7_recommendations", fx.traffic, kpis.road_totals, lambda f: workspace.w
 
 # --- reports and panels -------------------------------------------------------------------
 
+def _positions(report):
+    """The order of a report as a column."""
+    return report.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
+
+
+simple("o4_service_level_order", strategic, reports.network_performance, lambda f: f.select("niveau_service"), _positions)
+simple("o4_day_period_order", hourly, reports.period_report, lambda f: f.select("periode_journee"), _positions)
+simple("o1_congestion_order", analysis, reports.most_congested, lambda f: f.select("zone"), _positions)
 simple("q2_hours_view", hourly, reports.hours_view)
 simple("q3_congestion_alerts_view", analysis, reports.congestion_alerts_view)
 simple("q7_hourly_trend", hourly, reports.hourly_trend)
@@ -518,7 +543,8 @@ simple("g7_congestion_ranking", congestion2, panels.congestion_ranking)
 
 @query("g8_speed_series")
 def _(s, d):
-    return panels.speed_series(fx.snapshots(s, d), fx.as_of(fx.traffic(s, d)))
+    now = fx.as_of(fx.traffic(s, d))
+    return panels.speed_series(kpis.zone_snapshots(panels.since(fx.traffic(s, d), now, "4 HOURS")), now)
 
 
 simple("g9_traffic_series", fx.snapshots, panels.traffic_series)
@@ -547,13 +573,18 @@ def _(s, d):
 
 @query("g18_metric_series")
 def _(s, d):
-    return rounded(panels.metric_series(metrics(s, d), fx.as_of(fx.traffic(s, d))), 6)
+    now = fx.as_of(fx.traffic(s, d))
+    return rounded(panels.metric_series(kpis.metric_rows(panels.since(fx.traffic(s, d), now, "24 HOURS")), now), 6)
 
 
 @query("g19_largest_differences")
 def _(s, d):
     # Rounded before ranking, so that both engines break ties the same way.
-    return panels.largest_differences(rounded(jobs.compare(fx.traffic(s, d), BASELINE), 6))
+    now = fx.as_of(fx.traffic(s, d))
+    # Two copies of each comparison, one of them an hour and a minute old: only the newer ones are recent.
+    made = rounded(jobs.compare(fx.traffic(s, d), BASELINE, now), 6)
+    old = made.withColumn("timestamp", panels.back(F.col("timestamp"), "61 MINUTES"))
+    return panels.largest_differences(made.unionByName(old), now)
 
 
 @query("g20_latest_alerts")
@@ -596,6 +627,7 @@ def _finish(running) -> None:
 
 simple("t2_parsed_messages", fx.raw_lines, raw.stream_events,
        lambda f: f.drop("ingested_at").withColumn("event_time", F.col("event_time").cast("timestamp_ntz")))
+simple("t2_rejected_messages", fx.raw_lines, raw.stream_rejects, lambda f: f.drop("ingested_at"))
 
 
 @query("t4_stream_window_metrics")
@@ -701,8 +733,75 @@ simple("m6_most_severe", _flagged, anomalies.most_severe)
 
 
 def _forecast(s, d):
+    table = workspace.written(features.feature_table(features.hourly_series(fx.traffic(s, d))), "hourly-features")
+    return models.forecast(models.forecast_start(fx.traffic(s, d)), models.train_traffic(table), models.train_speed(table))
+
+
+# The same operators over given predictions and scores, which SQL can check.
+
+@query("m3_split_rows")
+def _(s, d):
     table = _features(s, d)
-    return models.forecast(table, models.train_traffic(table), models.train_speed(table))
+    parts = [side.select(F.lit(percent).alias("percent"), F.lit(train).alias("train"))
+             for percent in (70, 80) for train, side in zip((True, False), models.split(table, percent))]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3]).groupBy("percent", "train").agg(F.count("*").alias("rows"))
+
+
+@query("m3_given_scores")
+def _(s, d):
+    given = _features(s, d).withColumn("p", F.col("vehicle_count") + F.col("average_speed") / 4)
+    return rounded(models.regression_scores(given, "vehicle_count_target", "p"), 6)
+
+
+def _given_classes(s, d):
+    return _features(s, d).withColumn("congestion_prediction", (F.col("average_speed") < 35).cast("int").cast("double"))
+
+
+simple("m4_given_accuracy", _given_classes, models.accuracy, digits=6)
+simple("a27_given_predictions", _given_classes, models.confusion_matrix)
+
+
+@query("m1_one_hot_vectors")
+def _(s, d):
+    encoded = models.encode_categories(fx.traffic(s, d))
+    digits = F.transform(vector_to_array("road_type_vec"), lambda x: x.cast("int").cast("string"))
+    return encoded.select("road_type", F.array_join(digits, ",").alias("vector")).distinct()
+
+
+def _given_flags(s, d):
+    whole = F.col("average_speed").isNotNull() & F.col("occupancy_rate").isNotNull()
+    score = F.when(whole, -((F.col("event_id") * 7919) % 1000 + 1).cast("double") / 1024)
+    rows = timeparts.with_calendar(fx.traffic(s, d)).withColumn("anomaly_score", score)
+    return anomalies.flag(workspace.written(rows, "given-scores"))
+
+
+simple("m6_given_share", _given_flags, anomalies.anomaly_share)
+simple("m6_given_most_severe", _given_flags, anomalies.most_severe)
+
+
+@query("k10_given_tables")
+def _(s, d):
+    table = _given_classes(s, d)
+    given = table.withColumns({"predicted_vehicle_count": F.col("vehicle_count"), "is_anomaly": F.lit(0), "anomaly_score": F.lit(0.0)})
+    paths = files.write_predictions({
+        "traffic_predictions": models.split(given, 80)[1], "congestion_predictions": models.split(given, 70)[1],
+        "anomalies_detected": given}, workspace.fresh_path(s, "given"))
+    counts = [s.read.parquet(path).select(*files.PREDICTION_COLUMNS[name]).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+              for name, path in paths.items()]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+@query("m8_forecast_inputs")
+def _(s, d):
+    """What a forecast starts from, and where two steps with given predictions lead."""
+    given = lambda f: f.withColumns({
+        "predicted_vehicle_count": F.col("vehicle_count") + 1, "predicted_speed": F.col("average_speed") + 0.5})
+    shown = ["road_id", "zone", "event_time", "hour", *models.CURRENT, *features.FILLED]
+    step, tables_ = models.forecast_start(fx.traffic(s, d)), []
+    for n in range(3):
+        tables_.append(step.select(F.lit(n).alias("step"), *shown))
+        step = models.next_hour(given(step))
+    return rounded(tables_[0].unionByName(tables_[1]).unionByName(tables_[2]), 6)
 
 
 simple("m8_zone_forecast", _forecast, lambda f: serving.for_serving(f, "traffic_predictions"))
@@ -710,7 +809,7 @@ simple("m8_zone_forecast", _forecast, lambda f: serving.for_serving(f, "traffic_
 
 @query("g15_forecast_series")
 def _(s, d):
-    return panels.forecast_series(_forecast(s, d), fx.as_of(fx.traffic(s, d)))
+    return panels.forecast_series(fx.predictions(s, d), fx.as_of(fx.traffic(s, d)))
 
 
 @query("k10_prediction_tables")
