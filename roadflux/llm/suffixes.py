@@ -11,9 +11,10 @@ sweep. Nothing is renamed or solved recursively.
    of their grams others hold (``packs.shared_keys``).
 2. The strings around one shared gram form a segment (their overlap, written once). Equal segments of a pack travel as one,
    with the smallest id. All segments of a gram meet in one shard.
-3. In a shard, equal segments are one text with its smallest id. A suffix array over the texts of the grams that have
-   several texts brings equal strings together; the smallest id among them decides. (Around a gram with a single text
-   there is no second text to compare: its smallest id decides for all its strings.)
+3. In a shard, equal segments are one text with its smallest id, which decides for all its strings. Strings can also be shared
+   by different texts around one gram. A text is first cut to what it has in common with any other text on either side of
+   the gram; strings beyond that are in no other text. A suffix array over all the cut texts brings equal strings
+   together, and the smallest id among them decides.
 4. The answer, a bit per string, goes back to the packs.
 
 Null text counts as empty. A null id counts as later than all others; rows that repeat an id never remove each other's
@@ -27,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, types as T
 
 from roadflux import workspace
 from roadflux.llm import packs as P
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 BYTES_PER_SHARD = 8 << 20
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -69,6 +71,26 @@ def suffix_array(symbols: list[int]) -> list[int]:
     end = n
     while end:
         start = group[order[end - 1]]
+        if start == end - 1:  # most groups: one suffix, one previous smaller suffix to move
+            end = start
+            i = order[start]
+            p = i - 1
+            while p >= 0:
+                g = group[p]
+                if g < start:
+                    previous[i] = p
+                    left = size[g] - 1
+                    if left:
+                        size[g] = left
+                        last = g + left
+                        q, k = order[last], place[p]
+                        order[last], order[k] = p, q
+                        place[p], place[q] = last, k
+                        size[last] = 1
+                        group[p] = last
+                    break
+                p = previous[p]
+            continue
         members = order[start:end]
         members.sort()
         children: dict[int, int] = {}
@@ -149,6 +171,32 @@ def smallest_owner(texts: list[bytes], owners: np.ndarray, length: int) -> list[
     return [best[b:b + n - length + 1] for b, n in zip(begins.tolist(), sizes.tolist())]
 
 
+Text = tuple[int, int, bytes]  # cell of the gram, bytes before the gram, bytes
+
+
+def common_stretches(texts: list[tuple[int, bytes]], length: int) -> list[tuple[int, int]]:
+    """For texts (bytes before the gram, bytes) around one gram: the stretch [from, to) outside of which no string of
+    ``length`` bytes is in another of the texts; empty if none is at all."""
+    width = max(len(t) for _, t in texts)
+
+    def longest(sides: list[bytes]) -> list[int]:
+        """Of each side, the longest prefix that another side has."""
+        order = sorted(range(len(sides)), key=sides.__getitem__)
+        numbers = [int.from_bytes(s.ljust(width, b"\x00")) for s in sides]
+        out = [0] * len(sides)
+        for a, b in zip(order, order[1:]):
+            same = min(width - ((numbers[a] ^ numbers[b]).bit_length() + 7) // 8, len(sides[a]), len(sides[b]))
+            if same > out[a]:
+                out[a] = same
+            if same > out[b]:
+                out[b] = same
+        return out
+
+    before = longest([t[:left][::-1] for left, t in texts])
+    after = longest([t[left:] for left, t in texts])
+    return [(left - x, left + y) if x + y >= length else (0, 0) for (left, _), x, y in zip(texts, before, after)]
+
+
 class Segments:
     """Strings of a pack by representative gram: parallel arrays over maximal runs of strings that share one."""
 
@@ -160,7 +208,7 @@ class Segments:
         self.begins = np.concatenate([[0], np.cumsum(self.sizes)])
         self.data = b"".join(texts)
         windows = len(self.data) - length + 1
-        self.start = self.count = self.doc = np.zeros(0, np.int64)
+        self.start = self.count = self.doc = self.left = np.zeros(0, np.int64)
         self.hash = np.zeros(0, np.uint64)
         if windows <= 0:
             return
@@ -191,6 +239,7 @@ class Segments:
         keep = valid[begins]
         self.start, self.count = begins[keep], lengths[keep]
         self.doc = row[self.start]
+        self.left = chosen[self.start] - self.start  # bytes of the segment before the gram
         self.hash = (hashed * _C3)[chosen[self.start]]
 
     def cells(self, key_bits: int) -> np.ndarray:
@@ -211,13 +260,13 @@ class Segments:
             return np.zeros(0, np.int64)
         return np.flatnonzero(P.flags_of(told, cells, key_bits, shards)[np.searchsorted(cells, self.cells(key_bits))])
 
-    def texts(self, chosen: np.ndarray, key_bits: int) -> tuple[list[tuple[int, bytes]], list[int], np.ndarray]:
-        """Distinct (cell, text) of the chosen segments in order, the smallest id of each, and each segment's place."""
+    def texts(self, chosen: np.ndarray, key_bits: int) -> tuple[list[Text], list[int], np.ndarray]:
+        """Distinct texts of the chosen segments in order, the smallest id of each, and each segment's place."""
         data = self.data
         cells = self.cells(key_bits)[chosen].tolist()
         ends = (self.start + self.count + self.length - 1)[chosen].tolist()
-        keys = [(c, data[a:b]) for c, a, b in zip(cells, self.start[chosen].tolist(), ends)]
-        smallest: dict[tuple[int, bytes], int] = {}
+        keys = [(c, left, data[a:b]) for c, left, a, b in zip(cells, self.left[chosen].tolist(), self.start[chosen].tolist(), ends)]
+        smallest: dict[Text, int] = {}
         for key, doc in zip(keys, self.ids[self.doc[chosen]].tolist()):
             if doc < smallest.get(key, P.NO_ID + 1):
                 smallest[key] = doc
@@ -246,8 +295,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
 
     shared = workspace.written(P.shared_keys(packs, grams, key_bits, shards), "gram-answers")
 
-    def by_shard(ordered: list[tuple[int, bytes]]) -> list[tuple[int, int, int]]:
-        cells = np.array([c for c, _ in ordered], np.uint64)
+    def by_shard(ordered: list[Text]) -> list[tuple[int, int, int]]:
+        cells = np.array([t[0] for t in ordered], np.uint64)
         ends = [0, *np.searchsorted(cells, edges).tolist(), len(cells)]
         return [(s, x, y) for s, (x, y) in enumerate(zip(ends, ends[1:])) if x < y]
 
@@ -259,46 +308,66 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([s for s, _, _ in rows], pa.int32()),
                 "pack": pa.array([number] * len(rows), pa.int64()),
-                "cells": pa.array([np.array([c for c, _ in ordered[x:y]], np.uint64).tobytes() for _, x, y in rows], pa.binary()),
-                "sizes": pa.array([np.array([len(t) for _, t in ordered[x:y]], np.uint32).tobytes() for _, x, y in rows], pa.binary()),
-                "texts": pa.array([b"".join([t for _, t in ordered[x:y]]) for _, x, y in rows], pa.binary()),
+                "cells": pa.array([P.squeeze(np.array([t[0] for t in ordered[x:y]], np.uint64)) for _, x, y in rows], pa.binary()),
+                "lefts": pa.array([np.array([t[1] for t in ordered[x:y]], np.uint16).tobytes() for _, x, y in rows], pa.binary()),
+                "sizes": pa.array([np.array([len(t[2]) for t in ordered[x:y]], np.uint32).tobytes() for _, x, y in rows], pa.binary()),
+                "texts": pa.array([zstandard.ZstdCompressor(level=1).compress(b"".join([t[2] for t in ordered[x:y]])) for _, x, y in rows], pa.binary()),
                 "docs": pa.array([np.array(smallest[x:y], np.int64).tobytes() for _, x, y in rows], pa.binary()),
             })
 
     def decide(group: pa.Table) -> pa.Table:
-        entries: list[list[tuple[tuple[int, bytes], int]]] = []
-        lowest: dict[tuple[int, bytes], int] = {}
+        number: dict[Text, int] = {}  # of the distinct texts
+        lowest: list[int] = []
+        entries: list[tuple[np.ndarray, np.ndarray]] = []
+        unpack = zstandard.ZstdDecompressor()
         for r in range(group.num_rows):
-            row = {name: group.column(name)[r].as_py() for name in ("cells", "sizes", "texts", "docs")}
-            cells = np.frombuffer(row["cells"], np.uint64).tolist()
+            row = {name: group.column(name)[r].as_py() for name in ("cells", "lefts", "sizes", "texts", "docs")}
             ends = np.cumsum(np.frombuffer(row["sizes"], np.uint32)).tolist()
-            docs = np.frombuffer(row["docs"], np.int64).tolist()
+            joined, docs = unpack.decompress(row["texts"]), np.frombuffer(row["docs"], np.int64)
             own = []
-            for cell, a, b, doc in zip(cells, [0, *ends], ends, docs):
-                key = (cell, row["texts"][a:b])
-                own.append((key, doc))
-                if doc < lowest.get(key, P.NO_ID + 1):
-                    lowest[key] = doc
-            entries.append(own)
-        several: dict[int, int] = {}
-        for cell, _ in lowest:
-            several[cell] = several.get(cell, 0) + 1
-        sorted_keys = sorted(k for k in lowest if several[k[0]] > 1)
-        texts = list(dict.fromkeys(t for _, t in sorted_keys))
-        best: dict[bytes, np.ndarray] = {}
-        if texts:
-            owner = dict.fromkeys(texts, P.NO_ID)
-            for cell, t in sorted_keys:
-                owner[t] = min(owner[t], lowest[cell, t])
-            best = dict(zip(texts, smallest_owner(texts, np.array([owner[t] for t in texts], np.int64), length)))
+            for cell, left, a, b, doc in zip(P.unsqueeze(row["cells"]).tolist(), np.frombuffer(row["lefts"], np.uint16).tolist(),
+                                             [0, *ends], ends, docs.tolist()):
+                key = (cell, left, joined[a:b])
+                k = number.setdefault(key, len(lowest))
+                if k == len(lowest):
+                    lowest.append(doc)
+                elif doc < lowest[k]:
+                    lowest[k] = doc
+                own.append(k)
+            entries.append((np.array(own, np.int64), docs))
+        # the smallest id of every string of every distinct text; its text's, unless another text has the string too
+        keys = list(number)
+        strings = np.array([len(t) - length + 1 for _, _, t in keys], np.int64)
+        offset = np.concatenate([[0], np.cumsum(strings)])
+        best = np.repeat(np.array(lowest, np.int64), strings)
+        by_cell: dict[int, list[int]] = {}
+        for k, (cell, _, _) in enumerate(keys):
+            by_cell.setdefault(cell, []).append(k)
+        owner: dict[bytes, int] = {}
+        cut: list[tuple[int, int, bytes]] = []
+        for members in by_cell.values():
+            if len(members) > 1:
+                for k, (x, y) in zip(members, common_stretches([keys[k][1:] for k in members], length)):
+                    if x < y:
+                        text = keys[k][2][x:y]
+                        cut.append((k, x, text))
+                        if lowest[k] < owner.get(text, P.NO_ID + 1):
+                            owner[text] = lowest[k]
+        if cut:
+            texts = list(owner)
+            found = dict(zip(texts, smallest_owner(texts, np.array([owner[t] for t in texts], np.int64), length)))
+            for k, x, text in cut:
+                at = offset[k] + x
+                best[at:at + len(found[text])] = found[text]
         answers = []
-        for own in entries:
-            flags = [best[t] < doc if t in best else np.full(len(t) - length + 1, lowest[c, t] < doc) for (c, t), doc in own]
-            answers.append(P.bits(np.concatenate(flags)))
+        for own, docs in entries:
+            counts = strings[own]
+            at = np.repeat(offset[own] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            answers.append(P.bits(best[at] < np.repeat(docs, counts)))
         return pa.table({"pack": group.column("pack"), "shard": group.column("shard"), "bits": pa.array(answers, pa.binary())})
 
     sent = P.each_pack(P.with_answers(packs, shared), send,
-                       "shard int, pack long, cells binary, sizes binary, texts binary, docs binary")
+                       "shard int, pack long, cells binary, lefts binary, sizes binary, texts binary, docs binary")
     decided = sent.groupBy("shard").applyInArrow(decide, "pack long, shard int, bits binary")
     out_schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in added]])
     inner = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(out_schema.fields)])
@@ -307,7 +376,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
         own = Segments(table, id_at, text_at, length, gram)
         chosen = own.shared(told, key_bits, shards)
         ordered, smallest, place = own.texts(chosen, key_bits)
-        strings = np.array([len(t) - length + 1 for _, t in ordered], np.int64)
+        strings = np.array([len(t) - length + 1 for _, _, t in ordered], np.int64)
         offset = np.concatenate([[0], np.cumsum(strings)])
         elsewhere = np.zeros(offset[-1], bool)
         for s, x, y in by_shard(ordered):
