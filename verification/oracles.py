@@ -744,6 +744,7 @@ BODIES = {
  count(*) AS event_count, max(vehicle_count) AS max_vehicles, min(average_speed) AS min_speed
  FROM traffic GROUP BY 1, 2, 3, 4) WHERE window_end <= (SELECT as_of FROM now) - INTERVAL 2 MINUTE""",
     "t7_stream_alerts": "SELECT * FROM closed_alerts",
+    "t7_stream_alerts_many_batches": "SELECT * FROM closed_alerts",
     "t13_stream_announcements": """SELECT 'email' AS channel, false AS is_escalation, count(*) AS messages, count(*) AS alerts
  FROM closed_alerts UNION ALL SELECT 'email', true, CAST(sum(escalation_count) AS BIGINT),
  count(*) FILTER (WHERE escalation_count > 0) FROM closed_alerts""",

@@ -651,6 +651,22 @@ def _(s, d):
     return lifecycle.current_alerts(s, _alert_stream(s, d))
 
 
+@query("t7_stream_alerts_many_batches")
+def _(s, d):
+    """The same stream in four files by time, a batch each, so that open alerts live from one batch to the next."""
+    events, files_, path = fx.table(s, d, "events"), workspace.fresh_path(s, "event-files"), workspace.fresh_path(s, "alert-changes")
+    second = timeparts.epoch_seconds(F.col("ts"))
+    low, high = events.agg(F.min(second), F.max(second)).first()
+    for k in range(4):
+        part = F.floor((second - low) * 4 / (high - low + 1)) == k
+        events.where(part).coalesce(1).write.mode("append").parquet(files_)
+    rows = s.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files_)
+    stream = fx.as_traffic(rows).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    changes = lifecycle.alert_changes(live.live_metrics(stream, fx.WINDOW))
+    _finish(live.run(changes, lifecycle.keep_changes(path), workspace.fresh_path(s, "alert-state"), trigger=None))
+    return lifecycle.current_alerts(s, path)
+
+
 @query("t13_stream_announcements")
 def _(s, d):
     told = lifecycle.announcements(s, _alert_stream(s, d))
