@@ -18,7 +18,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-ERRORS = 0.05
+ERRORS = 0.08
 BLOCK_BYTES = 2 << 20
 ROWS_PER_BATCH = 500
 
