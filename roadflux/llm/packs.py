@@ -5,7 +5,7 @@ that is bucketed by the pack's number. Operators that need to know "does this st
 work in rounds:
 
 1. every pack sends its distinct keys, cut into ranges ("shards") of the key space, one row per shard that it touches;
-2. a shard sees the keys of all packs and answers each of these rows with one bit per key, in the order it was sent;
+2. a shard sees the keys of all packs and answers each of these rows with bits per key, in the order it was sent;
 3. the answers go back to their packs. Only answers move: the bucketed packs stay where they are.
 
 A key that a third of all documents hold arrives at most once per pack, so no key makes a shard heavy.
@@ -110,6 +110,20 @@ def ids_of(table: pa.Table, at: int) -> np.ndarray:
     return np.asarray(pc.fill_null(table.column(at).cast(pa.int64()), NO_ID).combine_chunks())
 
 
+def holders(cells: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct cells, and in how many documents each is. Entries of a document follow each other."""
+    if not len(cells):
+        return cells, np.zeros(0, np.int64)
+    order = np.argsort(cells, kind="stable")
+    cells, doc = cells[order], doc[order]
+    new = np.ones(len(cells), bool)
+    new[1:] = cells[1:] != cells[:-1]
+    another = new.copy()
+    another[1:] |= doc[1:] != doc[:-1]
+    starts = np.flatnonzero(new)
+    return cells[starts], np.minimum(np.add.reduceat(another.astype(np.int64), starts), MOST_COUNTED)
+
+
 # Sorted 64-bit keys, as compressed differences.
 def squeeze(keys: np.ndarray) -> bytes:
     steps = np.diff(keys.astype(np.uint64), prepend=np.uint64(0))
@@ -164,15 +178,21 @@ def each_pack(frame: DataFrame, run: Callable[..., Iterator[pa.RecordBatch]], sc
     return frame.select(*wanted).mapInArrow(over, schema)
 
 
-def shared_keys(packs: Packs, keys: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], key_bits: int, shards: int) -> DataFrame:
-    """Which keys occur in two documents or more: (pack, shard, bits), a bit per distinct key of the pack in that shard.
+MOST_COUNTED = 255  # documents of one pack that count for a key
+
+
+def shared_keys(packs: Packs, keys: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], key_bits: int, shards: int,
+                common: int = 1 << 62) -> DataFrame:
+    """Which keys occur in two documents or more, and which in ``common`` or more: (pack, shard, bits); a bit per distinct
+    key of the pack in that shard for the first question, then as many bytes for the second.
 
-    keys(table) gives the pack's sorted distinct keys, and for each whether two of its own documents hold it.
+    keys(table) gives the pack's sorted distinct keys, and how many of its documents hold each (up to ``MOST_COUNTED``).
     """
     edges = shard_edges(key_bits, shards)
 
     def ask(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        cells, twice = keys(table)
+        pack_bytes = zstandard.ZstdCompressor(level=1)
+        cells, counts = keys(table)
         ends = [0, *np.searchsorted(cells, edges).tolist(), len(cells)]
         rows = [(s, a, b) for s, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
         if rows:
@@ -180,34 +200,35 @@ def shared_keys(packs: Packs, keys: Callable[[pa.Table], tuple[np.ndarray, np.nd
                 "shard": pa.array([s for s, _, _ in rows], pa.int32()),
                 "pack": pa.array([number] * len(rows), pa.int64()),
                 "cells": pa.array([squeeze(cells[a:b]) for _, a, b in rows], pa.binary()),
-                "twice": pa.array([bits(twice[a:b]) for _, a, b in rows], pa.binary()),
+                "counts": pa.array([pack_bytes.compress(counts[a:b].astype(np.uint8).tobytes()) for _, a, b in rows], pa.binary()),
             })
 
     def answer(group: pa.Table) -> pa.Table:
         from_packs = [unsqueeze(c.as_py()) for c in group.column("cells")]
         sizes = [len(c) for c in from_packs]
         cells = np.concatenate(from_packs)
-        counts = 1 + np.concatenate([unbits(t.as_py(), n) for t, n in zip(group.column("twice"), sizes)]).astype(np.int64)
+        unpack = zstandard.ZstdDecompressor()
+        counts = np.concatenate([np.frombuffer(unpack.decompress(c.as_py()), np.uint8) for c in group.column("counts")]).astype(np.int64)
         order = np.argsort(cells, kind="stable")
         starts = np.flatnonzero(np.diff(cells[order], prepend=cells[order[0]] + np.uint64(1)))
         sums = np.add.reduceat(counts[order], starts)
-        shared = np.empty(len(cells), bool)
-        shared[order] = np.repeat(sums >= 2, np.diff(starts, append=len(cells)))
+        holders = np.empty(len(cells), np.int64)
+        holders[order] = np.repeat(sums, np.diff(starts, append=len(cells)))
         ends = np.cumsum([0, *sizes])
         return pa.table({
             "pack": group.column("pack"), "shard": group.column("shard"),
-            "bits": pa.array([bits(shared[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+            "bits": pa.array([bits(holders[a:b] >= 2) + bits(holders[a:b] >= common) for a, b in zip(ends, ends[1:])], pa.binary()),
         })
 
-    asked = each_pack(packs.frame, ask, "shard int, pack long, cells binary, twice binary")
+    asked = each_pack(packs.frame, ask, "shard int, pack long, cells binary, counts binary")
     return asked.groupBy("shard").applyInArrow(answer, "pack long, shard int, bits binary")
 
 
-def flags_of(told: dict[int, bytes], cells: np.ndarray, key_bits: int, shards: int) -> np.ndarray:
-    """The answers to the keys that shared_keys() had sent for this pack."""
+def flags_of(told: dict[int, bytes], cells: np.ndarray, key_bits: int, shards: int, question: int = 0) -> np.ndarray:
+    """The answers to the keys that shared_keys() had sent for this pack: 0 in two documents or more, 1 common."""
     ends = [0, *np.searchsorted(cells, shard_edges(key_bits, shards)).tolist(), len(cells)]
     out = np.zeros(len(cells), bool)
     for s, (a, b) in enumerate(zip(ends, ends[1:])):
         if a < b:
-            out[a:b] = unbits(told[s], b - a)
+            out[a:b] = unbits(told[s][question * -(-(b - a) // 8):], b - a)
     return out

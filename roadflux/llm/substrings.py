@@ -66,14 +66,8 @@ class Windows:
         return self.h[0] >> np.uint64(64 - key_bits)
 
     def sketch(self, key_bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted cells, and for each whether two documents of this pack count in it."""
-        cells = self.cells(key_bits)
-        order = np.argsort(cells, kind="stable")
-        cells, row = cells[order], self.row[order]
-        starts = np.flatnonzero(np.diff(cells, prepend=cells[:1] + np.uint64(1))) if len(cells) else np.zeros(0, np.int64)
-        if not len(starts):
-            return cells, np.zeros(0, bool)
-        return cells[starts], np.minimum.reduceat(row, starts) < np.maximum.reduceat(row, starts)
+        """Sorted cells, and how many documents of this pack count in each."""
+        return P.holders(self.cells(key_bits), self.row)
 
     def repeated(self, told: dict[int, bytes], key_bits: int, shards: int) -> np.ndarray:
         """Windows (positions in start, row, h) whose cell counts two documents or more."""

@@ -10,7 +10,8 @@ sweep. Nothing is renamed or solved recursively.
    equals). Equal strings have equal grams, so a string whose gram occurs in no other document is unique. Packs ask which
    of their grams others hold (``packs.shared_keys``).
 2. The strings around one shared gram form a segment (their overlap, written once). Equal segments of a pack travel as one,
-   with the smallest id. All segments of a gram meet in one shard.
+   with the smallest id. All segments of a gram meet in one shard. (Strings of a gram that ``COMMON`` documents or more hold
+   are sent one by one and meet by their own hash instead.)
 3. In a shard, equal segments are one text with its smallest id, which decides for all its strings. Strings can also be shared
    by different texts around one gram. A text is first cut to what it has in common with any other text on either side of
    the gram; strings beyond that are in no other text. A suffix array over all the cut texts brings equal strings
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, types as T
 
@@ -36,6 +38,7 @@ from roadflux.llm import packs as P
 
 LENGTH = 50
 GRAM = 24
+COMMON = 5000  # documents that make a gram common
 BYTES_PER_SHARD = 8 << 20
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -197,6 +200,37 @@ def common_stretches(texts: list[tuple[int, bytes]], length: int) -> list[tuple[
     return [(left - x, left + y) if x + y >= length else (0, 0) for (left, _), x, y in zip(texts, before, after)]
 
 
+_string_hash = xxhash.xxh3_64_intdigest
+_AT_ONCE = 1 << 14  # strings at once: what is computed for them stays in the processor's cache
+
+
+def _representatives(padded: np.ndarray, windows: int, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the gram at each position, and for each string the position of its gram: smallest hash, then leftmost."""
+    width = length - gram + 1
+    hashed, chosen = np.empty(windows + width - 1, np.uint64), np.empty(windows, np.int64)
+    high = np.uint64(0xFFFFFFFF00000000)
+    for start in range(0, windows, _AT_ONCE):
+        n = min(_AT_ONCE, windows - start)
+        h = np.zeros(n + width - 1, np.uint64)
+        for k in [*range(0, gram - 7, 8), *([gram - 8] if gram % 8 else [])]:
+            h ^= np.ndarray((len(h),), "<u8", padded, start + k, (1,))
+            h *= _C1
+            h ^= h >> np.uint64(29)
+        h *= _C2
+        h ^= h >> np.uint64(32)
+        hashed[start:start + len(h)] = h
+        # 32 bits of the hash, then of the position
+        low = (h & high) | np.arange(start, start + len(h), dtype=np.uint64)
+        span = 1
+        while span * 2 <= width:
+            low = np.minimum(low[:-span], low[span:])
+            span *= 2
+        if span < width:
+            low = np.minimum(low[:len(low) - (width - span)], low[width - span:])
+        chosen[start:start + n] = low & np.uint64(0xFFFFFFFF)
+    return hashed, chosen
+
+
 class Segments:
     """Strings of a pack by representative gram: parallel arrays over maximal runs of strings that share one."""
 
@@ -212,23 +246,7 @@ class Segments:
         self.hash = np.zeros(0, np.uint64)
         if windows <= 0:
             return
-        padded = np.frombuffer(self.data + b"\x00" * 8, np.uint8)
-        grams = len(self.data) - gram + 1
-        hashed = np.zeros(grams, np.uint64)
-        for k in [*range(0, gram - 7, 8), gram - 8]:
-            hashed = (hashed ^ np.ndarray((grams,), "<u8", padded, k, (1,))) * _C1
-            hashed ^= hashed >> np.uint64(29)
-        hashed *= _C2
-        hashed ^= hashed >> np.uint64(32)
-        # smallest hash, then leftmost: 32 bits of each
-        low = (hashed & np.uint64(0xFFFFFFFF00000000)) | np.arange(grams, dtype=np.uint64)
-        width, span = length - gram + 1, 1
-        while span * 2 <= width:
-            low = np.minimum(low[:-span], low[span:])
-            span *= 2
-        if span < width:
-            low = np.minimum(low[:len(low) - (width - span)], low[width - span:])
-        chosen = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        hashed, chosen = _representatives(np.frombuffer(self.data + b"\x00" * 8, np.uint8), windows, length, gram)
         row = np.repeat(np.arange(len(texts)), self.sizes)
         valid = row[:windows] == row[length - 1:]
         cut = np.ones(windows, bool)
@@ -240,43 +258,53 @@ class Segments:
         self.start, self.count = begins[keep], lengths[keep]
         self.doc = row[self.start]
         self.left = chosen[self.start] - self.start  # bytes of the segment before the gram
-        self.hash = (hashed * _C3)[chosen[self.start]]
+        self.hash = hashed[chosen[self.start]] * _C3
 
     def cells(self, key_bits: int) -> np.ndarray:
         return self.hash >> np.uint64(64 - key_bits)
 
     def grams(self, key_bits: int) -> tuple[np.ndarray, np.ndarray]:
-        cells = self.cells(key_bits)
-        order = np.argsort(cells, kind="stable")
-        cells, doc = cells[order], self.doc[order]
-        if not len(cells):
-            return cells, np.zeros(0, bool)
-        starts = np.flatnonzero(np.diff(cells, prepend=cells[0] + np.uint64(1)))
-        return cells[starts], np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
+        return P.holders(self.cells(key_bits), self.doc)
 
     def shared(self, told: dict[int, bytes], key_bits: int, shards: int) -> np.ndarray:
+        """Segments whose gram other documents hold. Strings of a common gram become segments of their own, which stand
+        for themselves: no shard then gets all that surrounds such a gram."""
         cells, _ = self.grams(key_bits)
         if not len(cells):
             return np.zeros(0, np.int64)
-        return np.flatnonzero(P.flags_of(told, cells, key_bits, shards)[np.searchsorted(cells, self.cells(key_bits))])
+        at = np.searchsorted(cells, self.cells(key_bits))
+        kept = P.flags_of(told, cells, key_bits, shards)[at]
+        common = P.flags_of(told, cells, key_bits, shards, question=1)[at]
+        plain, split = np.flatnonzero(kept & ~common), np.flatnonzero(kept & common)
+        if len(split):
+            counts = self.count[split]
+            start = np.repeat(self.start[split] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            own = [_string_hash(self.data[a:a + self.length]) for a in start.tolist()]
+            doc, ones = np.repeat(self.doc[split], counts), np.ones(len(start), np.int64)
+            self.hash = np.concatenate([self.hash[plain], np.array(own, np.uint64)])
+            self.start, self.doc = np.concatenate([self.start[plain], start]), np.concatenate([self.doc[plain], doc])
+            self.count, self.left = np.concatenate([self.count[plain], ones]), np.concatenate([self.left[plain], 0 * ones])
+            return np.arange(len(self.start))
+        return plain
 
     def texts(self, chosen: np.ndarray, key_bits: int) -> tuple[list[Text], list[int], np.ndarray]:
-        """Distinct texts of the chosen segments in order, the smallest id of each, and each segment's place."""
-        data = self.data
-        cells = self.cells(key_bits)[chosen].tolist()
-        ends = (self.start + self.count + self.length - 1)[chosen].tolist()
-        keys = [(c, left, data[a:b]) for c, left, a, b in zip(cells, self.left[chosen].tolist(), self.start[chosen].tolist(), ends)]
-        smallest: dict[Text, int] = {}
-        for key, doc in zip(keys, self.ids[self.doc[chosen]].tolist()):
-            if doc < smallest.get(key, P.NO_ID + 1):
-                smallest[key] = doc
-        ordered = sorted(smallest)
-        place = {key: k for k, key in enumerate(ordered)}
-        return ordered, [smallest[k] for k in ordered], np.array([place[k] for k in keys], np.int64)
+        """Distinct texts of the chosen segments by cell, the smallest id of each, and each segment's place."""
+        data, found = self.data, self.cells(key_bits)[chosen]
+        order = np.argsort(found, kind="stable")
+        at = chosen[order]
+        start = self.start[at]
+        keys = zip(found[order].tolist(), self.left[at].tolist(),
+                   [data[a:b] for a, b in zip(start.tolist(), (start + self.count[at] + self.length - 1).tolist())])
+        number: dict[Text, int] = {}
+        place = np.empty(len(chosen), np.int64)
+        place[order] = np.fromiter((number.setdefault(key, len(number)) for key in keys), np.int64, len(chosen))
+        smallest = np.full(len(number), P.NO_ID, np.int64)
+        np.minimum.at(smallest, place, self.ids[self.doc[chosen]])
+        return list(number), smallest.tolist(), place
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-          pack_bytes: int = P.PACK_BYTES) -> DataFrame:
+          pack_bytes: int = P.PACK_BYTES, common: int = COMMON) -> DataFrame:
     """All columns, plus n_bytes, n_removed, n_spans (removed runs), kept (remaining bytes) and kept_sha256.
 
     ``length`` is at least ``gram``, and ``gram`` at least 8.
@@ -293,7 +321,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     def grams(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         return Segments(table, id_at, text_at, length, gram).grams(key_bits)
 
-    shared = workspace.written(P.shared_keys(packs, grams, key_bits, shards), "gram-answers")
+    shared = workspace.written(P.shared_keys(packs, grams, key_bits, shards, common), "gram-answers")
 
     def by_shard(ordered: list[Text]) -> list[tuple[int, int, int]]:
         cells = np.array([t[0] for t in ordered], np.uint64)

@@ -48,8 +48,8 @@ def brute(docs, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("alphabet,pack_bytes", [("ab", 1 << 20), ("abcdeé ", 400), ("abcdefghijklmnopqrstuvwxyz ü", 3000)])
-def test_against_brute_force(spark, alphabet, pack_bytes):
+@pytest.mark.parametrize("alphabet,pack_bytes,common", [("ab", 1 << 20, 3), ("abcdeé ", 400, 5000), ("abcdefghijklmnopqrstuvwxyz ü", 3000, 4)])
+def test_against_brute_force(spark, alphabet, pack_bytes, common):
     rng = random.Random(alphabet)
     docs = []
     for i in range(80):
@@ -62,7 +62,7 @@ def test_against_brute_force(spark, alphabet, pack_bytes):
     docs += [(None, docs[7][1]), (200, None), (201, ""), (202, docs[9][1]), (202, docs[9][1]), (203, "z" * 4000), (204, "z" * 60),
              (205, "é" * 70), (206, "xy" * 300), (207, "yx" * 40)]
     frame = spark.createDataFrame([(t, d, 1, "x") for d, t in docs], "text string, doc_id long, c0 int, n_bytes string").repartition(4)
-    out = suffixes.dedup(frame, pack_bytes=pack_bytes)
+    out = suffixes.dedup(frame, pack_bytes=pack_bytes, common=common)
     got = sorted([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()], key=str)
     assert got == brute(docs, 50)
 
