@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadflux import workspace
+from roadflux.llm.samples import smallest
 
 BUCKETS = 1 << 18
 PER_GRADE = 3000
@@ -41,25 +42,39 @@ _MOST_WORDS_KEPT = 200_000
 
 
 class Features:
-    """Hashed features; those of recent words are kept."""
+    """Hashed features, all or those ``wanted``; those of recent words are kept."""
 
-    def __init__(self) -> None:
+    def __init__(self, wanted: np.ndarray | None = None) -> None:
         self.known: dict[str, tuple[int, ...]] = {}
+        self.heads: dict[str, tuple[int, ...]] = {}
+        self.wanted = wanted
+
+    def _hashed(self, *parts: str) -> tuple[int, ...]:
+        found = [xxhash.xxh32_intdigest(p) % BUCKETS for p in parts]
+        return tuple(found) if self.wanted is None else tuple([h for h in found if self.wanted[h]])
 
     def of_word(self, word: str) -> tuple[int, ...]:
         got = self.known.get(word)
         if got is None:
             if len(self.known) >= _MOST_WORDS_KEPT:
                 self.known.clear()
+                self.heads.clear()
             bare = word.strip(_MARKS)
-            parts = {bare, *(f"{n}{bare[:n]}" for n in (3, 4, 5) if len(bare) >= n)} if bare else ()
-            got = self.known[word] = tuple(xxhash.xxh32_intdigest(p) % BUCKETS for p in parts)
+            head = self.heads.get(bare[:5])
+            if head is None:
+                head = self.heads[bare[:5]] = self._hashed(*(f"{n}{bare[:n]}" for n in (3, 4, 5) if len(bare) >= n))
+            got = self.known[word] = head + (self._hashed(bare) if bare else ())
         return got
 
     def of_text(self, text: str | None) -> np.ndarray:
         found: set[int] = set()
+        known = self.known
         for word in set((text or "").lower().split()):
-            found.update(self.of_word(word))
+            got = known.get(word)
+            if got is None:
+                got = self.of_word(word)
+            if got:
+                found.update(got)
         return np.fromiter(sorted(found), np.int64, len(found))
 
 
@@ -127,17 +142,25 @@ def learn(rows: list[np.ndarray], grades: np.ndarray) -> Model:
     return Model(full, np.concatenate([theta[:1], theta[:1] + np.cumsum(np.exp(theta[1:]))]), seen_grades)
 
 
+def with_severe(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
+    """Three grades from two: of the rows of grade 1, those that a first fit values above their median become grade 2."""
+    first = learn(rows, grades)
+    value = np.array([first.weights[r].sum(dtype=np.float64) for r in rows])
+    return np.where((grades == 1) & (value > np.median(value[grades == 1])), 2, grades)
+
+
 def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade") -> Model:
-    """grades: (id, whole grade from 0 to ``MOST_GRADES``)."""
+    """grades: (id, whole grade from 0 to ``MOST_GRADES``). Grades that only say no or yes (0 and 1) become three, see
+    ``with_severe``."""
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     one = grades.select(F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).where(
         F.col("id").isNotNull() & F.col("grade").between(0, MOST_GRADES)).groupBy("id").agg(F.max("grade").alias("grade"))
     one = workspace.written(one, "grades")
-    present = sorted(r.grade for r in one.select("grade").distinct().collect())
+    present = sorted(tuple(r) for r in one.groupBy("grade").count().collect())
     if not present:
         return learn([], np.zeros(0, np.int64))
-    chosen = [one.where(F.col("grade") == g).orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(PER_GRADE) for g in present]
+    chosen = [smallest(one.where(F.col("grade") == g), F.xxhash64(F.lit(SEED), "id"), PER_GRADE, n, "id") for g, n in present]
     ids = chosen[0]
     for more in chosen[1:]:
         ids = ids.unionByName(more)
@@ -154,7 +177,9 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("t"))
     sample = texts.join(F.broadcast(ids), texts["doc"] == ids["id"]).select("id", "grade", "t").mapInArrow(run, "id long, grade int, found binary")
     rows = sample.groupBy("id").agg(F.max("grade").alias("grade"), F.min("found").alias("found")).orderBy("id").collect()
-    return learn([np.frombuffer(r.found, np.int32).astype(np.int64) for r in rows], np.array([r.grade for r in rows], np.int64))
+    found = [np.frombuffer(r.found, np.int32).astype(np.int64) for r in rows]
+    given = np.array([r.grade for r in rows], np.int64)
+    return learn(found, with_severe(found, given) if set(given.tolist()) == {0, 1} else given)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -167,7 +192,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     shared = spark.sparkContext.broadcast(model)  # BUCKETS weights of four bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, own = Features(), shared.value
+        own = shared.value
+        features = Features(own.weights != 0)
         levels = np.array(own.grades or [0], np.float64)
         for batch in batches:
             value = np.array([float(own.weights[features.of_text(t.as_py())].sum(dtype=np.float64)) for t in batch.column(at)])
@@ -184,6 +210,5 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
-    """Severity from the table ``labels``: 0 not toxic, 1 toxic in sound text, 2 toxic and of poor quality; null if not known."""
-    poor = F.coalesce((F.col("quality") == 0).cast("int"), F.lit(0))
-    return labels.select("doc_id", (F.col("toxic") * (1 + poor)).cast("int").alias("grade"))
+    """Grades from the table ``labels``, which only says whether a document is toxic: 0 or 1; null if not known."""
+    return labels.select("doc_id", F.col("toxic").cast("int").alias("grade"))

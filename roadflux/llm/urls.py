@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadflux import workspace
+from roadflux.llm.samples import smallest
 
 # Rules as (host, path, verdict).
 RULES = (
@@ -74,8 +75,7 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str,
     pages = pages.drop(*[c for c in ("host", "path", "rule", "verdict") if c in pages.columns])
     names = pages.columns
     known = labelled.select("url", "verdict").where(F.col("url").isNotNull() & F.col("verdict").isin("allow", "block")).distinct()
-    known = known.orderBy(F.xxhash64("url"), "url", "verdict").limit(MOST_LABELLED)
-    known = workspace.written(known, "labelled-urls")
+    known = workspace.written(smallest(known, F.xxhash64("url"), MOST_LABELLED, known.count(), "url", "verdict"), "labelled-urls")
     verdicts = sorted(r.verdict for r in known.select("verdict").distinct().collect())
     split = _split(pages, url_col)
     if len(verdicts) < 2:

@@ -33,6 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from roadflux import workspace
+from roadflux.llm.samples import smallest
 
 REVISIT_FROM = 1000
 ARCHIVE_BYTES = 64 << 20
@@ -171,8 +172,9 @@ def filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 def train(pages: DataFrame, id_col: str, html_col: str) -> bytes:
     small = pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).alias("html")).where(
-        F.octet_length("html").between(1, SAMPLE_BYTES)).withColumn("order", F.xxhash64("id", "html"))
-    samples = [r.html.encode() for r in small.orderBy("order", "id", "html").limit(SAMPLES).collect()]
+        F.octet_length("html").between(1, SAMPLE_BYTES))
+    chosen = smallest(small, F.xxhash64("id"), SAMPLES, pages.count(), "id", "html")
+    samples = [r.html.encode() for r in chosen.collect()]  # at most SAMPLES * SAMPLE_BYTES
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
     except (zstandard.ZstdError, ValueError):

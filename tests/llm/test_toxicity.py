@@ -49,7 +49,7 @@ def test_edges(spark):
     graded = spark.createDataFrame([(i, g) for i in (1, 2) for g in (i - 1,)], "doc_id long, grade int")
     done = toxicity.score(docs, toxicity.fit(docs, graded))
     assert done.count() == 7 and done.where("severity is null or toxic is null").count() == 0
-    assert {r.grade for r in toxicity.grades_of(labels).collect()} == {0, 1, 2, None}
+    assert {r.grade for r in toxicity.grades_of(labels).collect()} == {0, 1, None}
     none = toxicity.fit(docs, graded.limit(0))
     assert toxicity.score(docs, none).where("toxic").count() == 0
     assert toxicity.score(docs.limit(0), none).count() == 0
