@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from roadflux.llm import decontamination, language, mixing, simhash, substrings, suffixes, topk, toxicity, urls, warc
+from roadflux.llm import alignment, chat, decontamination, language, mixing, phrases, simhash, substrings, suffixes, topk, toxicity, urls, warc
+
+TOKENIZERS = "/opt/tokenizers"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +70,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mined(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    done = chat.digests(chat.formatted(turns.unionByName(own)))
+    return done.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    a, b = (Path(os.path.join(tokenizers, name)).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    done = alignment.align(table(spark, sf_dir, "documents"), a, b)
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -76,5 +99,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_phrases": op11_phrases,
+    "op12_chat_format": op12_chat_format,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
 }
