@@ -16,6 +16,8 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows differ much in length, so what goes to Python at once is bounded by bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 STREAMING = {
     "spark.sql.streaming.stateStore.providerClass":
