@@ -8,13 +8,19 @@ neither.
 
 Input has one row per window, road and zone, so a series is as long as the time
 span divided by the window, whatever the number of events behind it.
+
+The plan does not walk through a series. It takes it apart into chunks of time, whatever its length:
+
+* Quiet windows end episodes, so a window's episode is the number of quiet windows before it: those of earlier chunks (a sum over
+  one row per chunk) and those of its own. The windows of a type in an episode are one alert.
+* Escalations depend on the last one before, so a chunk is summed up as a function of that: for each window that could be the first to
+  escalate in the chunk, how many escalate from there on and which is the last. Only windows within the type's limit from the
+  chunk's start, and the one after them, can be the first, since everything before the chunk lies before its start.
+* Per alert these functions are applied one after the other, a handful of entries for each chunk.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadflux.functions import rules
@@ -62,51 +68,71 @@ def next_state(state: State | None, kind: str, end: int, metrics: tuple) -> tupl
     return (opened, end if due else escalated, end, n + 1 if due else n, *metrics), "ESCALATED" if due else "REFRESHED"
 
 
-_FOLDED = ("alert_type string, road_id string, zone string, opened bigint, updated bigint, n int, vehicle_count double, "
-           "average_speed double, occupancy_rate double, resolved bigint")
-
-
-def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Alerts of series that arrive one after the other, each in time order; at most three open alerts are held."""
-    series, held = None, {}
-
-    def ended(resolved: int | None) -> list[tuple]:
-        out = [(kind, *series, opened, updated, n, *metrics, resolved) for kind, (opened, _, updated, n, *metrics) in held.items()]
-        held.clear()
-        return out
-
-    names = [part.split()[0] for part in _FOLDED.split(", ")]
-    types = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.int32()] + [pa.float64()] * 3 + [pa.int64()]
-    framed = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-    for batch in batches:
-        done = []
-        for road, zone, end, kind, *metrics in zip(*[c.to_pylist() for c in batch.columns]):
-            if (road, zone) != series:
-                done += ended(None)
-                series = (road, zone)
-            if kind is None:
-                done += ended(end)
-            else:
-                held[kind], _ = next_state(held.get(kind), kind, end, tuple(metrics))
-        if done:
-            yield framed(done)
-    last = ended(None)
-    if last:
-        yield framed(last)
-
-
-def lifecycle(windows: DataFrame) -> DataFrame:
-    """One row per alert with its final state.
-
-    Each series is sorted once and folded as a stream with the open alerts as its only state, as ``streaming.lifecycle``
-    does batch by batch.
-    """
+CHUNK_SECONDS = 86_400
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on keys that may be NULL, which counts as equal; ``right`` keeps only its other columns."""
+    named = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    equal = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"_{k}"))
+        equal = one if equal is None else equal & one
+    return left.join(named, equal, how).drop(*[f"_{k}" for k in keys])
+
+
+def _with_episodes(detected: DataFrame) -> DataFrame:
+    """Add ``episode``, the number of quiet windows before each; the quiet window that ends an episode is part of it."""
+    quiet = F.col("alert_type").isNull()
+    chunks = detected.groupBy(*SERIES, "chunk").agg(F.count_if(quiet).alias("quiet"))
+    earlier = Window.partitionBy(*SERIES).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.select(*SERIES, "chunk", F.coalesce(F.sum("quiet").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy(*SERIES, "chunk").orderBy("end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = detected.withColumn("seen", F.count_if(quiet).over(inside))
+    return _same(numbered, offsets, [*SERIES, "chunk"], "inner").withColumn("episode", F.col("before") + F.col("seen") - quiet.cast("long"))
+
+
+def _escalated(calls: DataFrame, chunk_micros: int) -> DataFrame:
+    """One row per alert: opened, updated, n (escalations), metrics."""
+    limit = rules.escalation_seconds(F.col("alert_type")).cast("long") * SECOND
+
+    def walked(times: Column, last: Column, n: int) -> Column:
+        start = F.struct(last.alias("last"), F.lit(n).alias("n"))
+        return F.aggregate(times, start, lambda s, t: F.when(
+            t - s["last"] > limit, F.struct(t.alias("last"), (s["n"] + 1).alias("n"))).otherwise(s))
+
+    chunks = calls.groupBy(*SERIES, "episode", "alert_type", "chunk").agg(
+        F.sort_array(F.collect_list("end")).alias("times"), F.max_by(F.struct(*METRICS), "end").alias("metrics"))
+    until = F.col("chunk") * chunk_micros + limit
+    possible = F.concat(F.filter("times", lambda t: t <= until), F.slice(F.filter("times", lambda t: t > until), 1, 1))
+    entries = F.transform(possible, lambda e: F.struct(e.alias("at"), walked(F.filter("times", lambda t: t > e), e, 1).alias("then")))
+    parts = chunks.select(
+        *SERIES, "episode", "alert_type", F.struct(
+            "chunk", F.get("times", F.lit(0)).alias("opened"), F.element_at("times", -1).alias("updated"), "metrics",
+            walked(F.col("times"), F.get("times", F.lit(0)), 0).alias("alone"), entries.alias("entries")).alias("part"))
+    whole = parts.groupBy(*SERIES, "episode", "alert_type").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+
+    def applied(state: Column, part: Column) -> Column:
+        then = F.get(F.filter(part["entries"], lambda e: e["at"] - state["last"] > limit), F.lit(0))["then"]
+        return F.when(then.isNull(), state).otherwise(F.struct(then["last"].alias("last"), (state["n"] + then["n"]).alias("n")))
+
+    first, last = F.get("parts", F.lit(0)), F.element_at("parts", -1)
+    end = F.aggregate(F.slice("parts", 2, F.size("parts")), first["alone"], applied)
+    return whole.select(*SERIES, "episode", "alert_type", first["opened"].alias("opened"), last["updated"].alias("updated"),
+                        end["n"].alias("n"), last["metrics"].alias("metrics"))
+
+
+def lifecycle(windows: DataFrame, seconds_per_chunk: int = CHUNK_SECONDS) -> DataFrame:
+    """One row per alert with its final state, as ``streaming.lifecycle`` reaches it batch by batch."""
     kind = windows.schema["window_end"].dataType
+    chunk_micros = seconds_per_chunk * SECOND
     detected = detect(windows).select(
         *SERIES, epoch_micros(F.col("window_end")).alias("end"), "alert_type",
-        *[F.col(c).cast("double") for c in ("avg_vehicle_count", "avg_speed", "avg_occupancy_rate")],
-    )
-    folded = detected.repartition(*SERIES).sortWithinPartitions(*SERIES, "end").mapInArrow(_fold, _FOLDED)
+        *[F.col(c).cast("double").alias(m) for c, m in zip(("avg_vehicle_count", "avg_speed", "avg_occupancy_rate"), METRICS)],
+    ).withColumn("chunk", F.floor(F.col("end") / chunk_micros))
+    numbered = _with_episodes(detected)
+    ends = numbered.filter(F.col("alert_type").isNull()).select(*SERIES, "episode", F.col("end").alias("resolved"))
+    folded = _same(_escalated(numbered.filter(F.col("alert_type").isNotNull()), chunk_micros), ends, [*SERIES, "episode"], "left")
     moment = lambda c: F.timestamp_micros(F.col(c)).cast(kind)
     alerts = folded.withColumns({"timestamp": moment("opened"), "last_update": moment("updated"), "resolved_at": moment("resolved")})
     return alerts.select(
@@ -114,7 +140,7 @@ def lifecycle(windows: DataFrame) -> DataFrame:
         "alert_type",
         rules.alert_severity(F.col("alert_type")).alias("severity"),
         *SERIES,
-        *METRICS,
+        "metrics.*",
         "timestamp",
         F.when(F.col("resolved_at").isNull(), "ACTIVE").otherwise("RESOLVED").alias("status"),
         F.col("n").alias("escalation_count"),
