@@ -6,6 +6,7 @@ aggregated to road, zone and hour; the four tables are sums over that rollup.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -142,7 +143,8 @@ def live_alerts(
 
     ``store/changes`` and ``store/snapshots`` hold the alerts (``lifecycle.current_alerts``), ``store/outbox`` what is to be
     sent. Every ``compact_every`` batches the changes so far are folded into a snapshot and removed. Restarted with its
-    checkpoint the job goes on where it stopped; with a new one it adds to the store.
+    checkpoint the job goes on where it stopped; with a new one it adds to the store. ``end_alerts`` closes the last windows of a
+    stream that has ended.
     """
     spark = messages.sparkSession
     run = lifecycle.run_number(spark, store, checkpoint)
@@ -158,10 +160,16 @@ def live_alerts(
         if batch_id % compact_every == compact_every - 1:
             lifecycle.compact(session, store)
 
-    changes = lifecycle.alert_changes(live.live_metrics(raw.stream_events(messages), window))
+    events = live.with_ends(raw.stream_events(messages), f"{store}/ends")
+    changes = lifecycle.alert_changes(live.live_metrics(events, window))
     return live.run(changes, each, checkpoint, trigger=trigger)
 
 
+def end_alerts(spark: SparkSession, store: str, moment: dt.datetime) -> None:
+    """Let the alert job of a store close the windows before ``moment``: the running one, or the next run with its checkpoint."""
+    live.end_at(spark, f"{store}/ends", moment)
+
+
 def live_rejects(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = live.TRIGGER) -> StreamingQuery:
     """Messages that are no events, with the reason; a query of its own beside ``live_alerts``."""
     return live.run(raw.stream_rejects(messages), live.live_display(path), checkpoint, trigger=trigger)

@@ -162,15 +162,19 @@ def take_snapshot(spark: SparkSession, path: str) -> int:
 
 
 def compact(spark: SparkSession, path: str) -> int | None:
-    """Take a snapshot, and remove the batches and the snapshots that it replaces. For the job that owns the store."""
+    """Take a snapshot, and remove what the one before it had replaced already. For the job that owns the store.
+
+    So whatever a reader listed stays there until the second compaction after it began.
+    """
+    snapshots = _read_or_none(spark, f"{path}/snapshots")
+    before = snapshots.agg(F.max("upto")).first()[0] if snapshots is not None else None
     upto = take_snapshot(spark, path)
-    log, snapshots = _read_or_none(spark, f"{path}/changes"), _read_or_none(spark, f"{path}/snapshots")
-    if log is not None:
-        for row in log.filter(F.col("batch") <= upto).select("batch").distinct().collect():  # at most the batches since the last time
-            workspace.remove(spark, f"{path}/changes/batch={row.batch}")
-    if snapshots is not None:
-        for row in snapshots.filter(F.col("upto") < upto).select("upto").distinct().collect():
-            workspace.remove(spark, f"{path}/snapshots/upto={row.upto}")
+    if before is None or before == upto:
+        return upto
+    for row in changes(spark, path).filter(F.col("batch") <= before).select("batch").distinct().collect():  # at most the batches since the last time
+        workspace.remove(spark, f"{path}/changes/batch={row.batch}")
+    for row in snapshots.filter(F.col("upto") < before).select("upto").distinct().collect():
+        workspace.remove(spark, f"{path}/snapshots/upto={row.upto}")
     return upto
 
 

@@ -62,6 +62,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder in whatever store it is, unless it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def written(rows: DataFrame, label: str) -> DataFrame:
     """The same rows read back from a table in the shared folder.
 

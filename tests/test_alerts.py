@@ -65,9 +65,9 @@ SCHEMA = ("road_id string, zone string, window_end timestamp_ntz, avg_vehicle_co
 
 
 def shaped(frame):
-    return sorted(tuple(r) for r in frame.select(
+    return sorted((tuple(r) for r in frame.select(
         "alert_type", "road_id", "zone", "timestamp", "vehicle_count", "status", "escalation_count", "last_update",
-        "resolved_at").collect())
+        "resolved_at").collect()), key=str)
 
 
 def same(got, want):
@@ -83,6 +83,35 @@ def test_lifecycle_matches_the_loop(spark):
     same(shaped(got), want)
 
 
+@pytest.mark.parametrize("seconds_per_chunk", [600, 3600, 86_400])
+def test_lifecycle_does_not_depend_on_the_chunks(spark, seconds_per_chunk):
+    windows = random_windows(seed=6)
+    frame = spark.createDataFrame(windows, SCHEMA)
+    same(shaped(alerts.lifecycle(frame, seconds_per_chunk)), walk(windows))
+
+
+def test_one_series_over_many_days_without_python(spark):
+    rng, windows = random.Random(11), []
+    for k in range(24 * 1000):  # hours; quiet ones are rare, so alerts last for days
+        if rng.random() < 0.9:
+            windows.append(("R", "Z", START + dt.timedelta(hours=k, minutes=rng.choice([0, 5, 9, 15])), 1.0, rng.choice([20.0, 35.0, 45.0]) if rng.random() < 0.995 else 70.0, 0.0))
+    frame = alerts.lifecycle(spark.createDataFrame(windows, SCHEMA))
+    got = shaped(frame)
+    want = walk(windows)
+    same(got, want)
+    assert max(w[6] for w in want) > 100
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not any(name in plan for name in ("MapInArrow", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroups"))
+    assert alerts.lifecycle(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_series_without_road_or_zone(spark):
+    t = lambda m: START + dt.timedelta(minutes=m)
+    windows = [(None, "Z", t(1), 1.0, 20.0, 0.0), (None, "Z", t(5), 1.0, 70.0, 0.0), ("R", None, t(2), 1.0, 20.0, 0.0), (None, None, t(3), 1.0, 20.0, 0.0)]
+    got = {(r[1], r[2]): (r[5], r[8]) for r in shaped(alerts.lifecycle(spark.createDataFrame(windows, SCHEMA)))}
+    assert got == {(None, "Z"): ("RESOLVED", t(5)), ("R", None): ("ACTIVE", None), (None, None): ("ACTIVE", None)}
+
+
 def test_durations_and_ids(spark):
     t = lambda m: START + dt.timedelta(minutes=m)
     frame = spark.createDataFrame(
@@ -194,6 +223,45 @@ def test_live_job_across_a_restart_and_a_new_checkpoint(spark, tmp_path):
     same(shaped(lifecycle.current_alerts(spark, store)), shaped(batch))
 
 
+def test_ended_stream_has_every_alert(spark, tmp_path):
+    rng = random.Random(6)
+    source, store, state = (str(tmp_path / n) for n in ("in", "store", "state"))
+    lines = [message(f"S{m}", START + dt.timedelta(minutes=m, seconds=1), rng.choice([20.0, 35.0, 70.0])) for m in range(20)]
+    write_file(spark, source, lines)
+
+    def go():
+        running = jobs.live_alerts(raw.text_stream(spark, source), store, state, trigger=None)
+        running.awaitTermination()
+        assert running.exception() is None
+        return shaped(lifecycle.current_alerts(spark, store))
+
+    want = shaped(alerts.lifecycle(alerts.window_metrics(raw.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string")))))
+    assert go() != want
+    jobs.end_alerts(spark, store, (START + dt.timedelta(days=1)).replace(tzinfo=dt.timezone.utc))
+    same(go(), want)
+    same(go(), want)
+
+
+def test_reader_held_open_over_a_compaction(spark, tmp_path):
+    out = str(tmp_path / "store")
+    keep = lifecycle.keep_changes(out)
+    change = spark.createDataFrame(
+        [("A", START, START, None, START)], "alert_id string, timestamp timestamp, last_update timestamp, resolved_at timestamp, changed_at timestamp"
+    ).withColumn("change", F.lit("OPENED"))
+    keep(change, 0)
+    early = lifecycle.current_alerts(spark, out)
+    assert lifecycle.compact(spark, out) == 0
+    keep(change.withColumn("alert_id", F.lit("B")), 1)
+    between = lifecycle.current_alerts(spark, out)
+    assert early.count() == 1
+    assert lifecycle.compact(spark, out) == 1 and lifecycle.compact(spark, out) == 1
+    assert between.count() == 2 and lifecycle.current_alerts(spark, out).count() == 2
+    keep(change.withColumn("alert_id", F.lit("C")), 2)
+    assert lifecycle.compact(spark, out) == 2
+    assert lifecycle.current_alerts(spark, out).count() == 3
+    assert {r.batch for r in lifecycle.changes(spark, out).select("batch").distinct().collect()} == {2}
+
+
 def test_rejects_have_a_sink(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     write_file(spark, source, [message("a", START, 50.0), "junk", "{sensor_id: S, event_time: 2024-01-01T00:00:00}", '{"sensor_id": "x"}'])

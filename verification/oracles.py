@@ -483,6 +483,14 @@ BODIES = {
     "k3_update_columns": """SELECT f.zone, f.observed, l.trafic, f.mesures FROM
  (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed) = 1) f JOIN
  (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed DESC) = 1) l ON f.zone = l.zone""",
+    "k3_versions": """SELECT *, 0 AS version FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed) = 1
+ UNION ALL SELECT f.zone, f.observed, l.trafic, f.mesures, 1 FROM
+ (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed) = 1) f JOIN
+ (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed DESC) = 1) l ON f.zone = l.zone
+ UNION ALL SELECT *, 2 FROM daily QUALIFY row_number() OVER (PARTITION BY zone ORDER BY observed DESC) = 1""",
+    "k3_touched_files": """SELECT count(*) AS rows, count(*) FILTER (o = m) AS merged, CAST(sum(n) FILTER (o < m) AS BIGINT) AS mesures,
+ true AS rewrote_only_touched FROM (SELECT zone, date_trunc('hour', event_time) AS o, count(*) AS n,
+ max(date_trunc('hour', event_time)) OVER () AS m FROM traffic GROUP BY 1, 2 ORDER BY 1)""",
     "k5_serving_trafic_par_zone": _serving("traffic2", {
         "zone": "VARCHAR", "nombre_mesures": "BIGINT", "trafic_moyen_vehicules_heure": D2, "trafic_total": "BIGINT",
         "pic_trafic": "BIGINT", "variabilite_trafic": D2, "niveau_trafic": "VARCHAR"}),
@@ -744,6 +752,7 @@ BODIES = {
  count(*) AS event_count, max(vehicle_count) AS max_vehicles, min(average_speed) AS min_speed
  FROM traffic GROUP BY 1, 2, 3, 4) WHERE window_end <= (SELECT as_of FROM now) - INTERVAL 2 MINUTE""",
     "t7_stream_alerts": "SELECT * FROM closed_alerts",
+    "t7_ended_stream_alerts": "SELECT * FROM alerts",
     "t7_stream_alerts_many_batches": "SELECT * FROM closed_alerts",
     "t13_stream_announcements": """SELECT 'email' AS channel, false AS is_escalation, count(*) AS messages, count(*) AS alerts
  FROM closed_alerts UNION ALL SELECT 'email', true, CAST(sum(escalation_count) AS BIGINT),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +14,7 @@ from roadflux.operators import (
     alerts as alert_ops, anomalies, comparisons, features, kpis, quality, recommendations, upsert,
 )
 from roadflux.plans import jobs, marts, models, notifications, panels, reports
-from roadflux.sinks import catalog, files, messages, serving
+from roadflux.sinks import catalog, files, messages, serving, versions
 from roadflux.sources import raw, tables
 from roadflux.streaming import landing, lifecycle, metrics as live
 from verification import fixtures as fx
@@ -275,6 +276,35 @@ def _(s, d):
     return upsert.merge_rows(_first_version(daily), daily, ["zone"], update=["trafic"], order="observed")
 
 
+@query("k3_versions")
+def _(s, d):
+    """A versioned table after two merges, each version as it can still be read."""
+    daily, path = _daily(s, d), workspace.fresh_path(s, "versioned")
+    versions.create(_first_version(daily), path, ["zone"], buckets=8)
+    versions.merge(path, daily, update=["trafic"], order="observed")
+    versions.merge(path, daily, order="observed")
+    whole = None
+    for v in versions.versions(s, path):
+        rows = versions.read(s, path, v).withColumn("version", F.lit(v))
+        whole = rows if whole is None else whole.unionByName(rows)
+    return whole
+
+
+@query("k3_touched_files")
+def _(s, d):
+    """The newest hour merged into a table of all hours: the outcome, and that all buckets it has no key in kept their folders."""
+    hours, path = workspace.written(_daily(s, d, "hour"), "hours"), workspace.fresh_path(s, "versioned")
+    newest = hours.filter(F.col("observed") == hours.agg(F.max("observed")).scalar()).withColumn("mesures", F.lit(0).cast("long"))
+    versions.create(hours, path, ["zone", "observed"])
+    before = versions.manifest(s, path)["folders"]
+    versions.merge(path, newest)
+    after = versions.manifest(s, path)["folders"]
+    rewritten = sum(folder != before.get(bucket) for bucket, folder in after.items())
+    return versions.read(s, path).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("mesures") == 0).alias("merged"), F.sum("mesures").alias("mesures"),
+    ).select("*", (F.lit(0 < rewritten) & (F.lit(rewritten) <= F.col("merged"))).alias("rewrote_only_touched"))
+
+
 SERVED = {
     "trafic_par_zone": traffic2, "vitesse_moyenne": speed2, "taux_congestion": congestion2,
     "zones_critiques": critical,
@@ -612,6 +642,9 @@ simple("t13_outbox", fx.alerts,
 
 # --- streams ------------------------------------------------------------------------------
 
+FILES_A_BATCH = 2  # more on a cluster; each part of the stream is as many files
+
+
 def _event_stream(s, d):
     """The events table as a stream of readings."""
     schema = fx.table(s, d, "events").schema
@@ -651,16 +684,34 @@ def _(s, d):
     return lifecycle.current_alerts(s, _alert_stream(s, d))
 
 
+@query("t7_ended_stream_alerts")
+def _(s, d):
+    """The same stream with its end marked once all events are read: the last windows close as well."""
+    path, state, ends = (workspace.fresh_path(s, name) for name in ("alert-changes", "alert-state", "ends"))
+
+    def go() -> None:
+        events = live.with_ends(_event_stream(s, d), ends)
+        changes = lifecycle.alert_changes(live.live_metrics(events, fx.WINDOW))
+        _finish(live.run(changes, lifecycle.keep_changes(path), state, trigger=None))
+
+    go()
+    last = fx.table(s, d, "events").agg(F.max("ts")).first()[0]
+    live.end_at(s, ends, last.replace(tzinfo=dt.timezone.utc) + dt.timedelta(days=2))
+    go()
+    return lifecycle.current_alerts(s, path)
+
+
 @query("t7_stream_alerts_many_batches")
 def _(s, d):
-    """The same stream in four files by time, a batch each, so that open alerts live from one batch to the next."""
-    events, files_, path = fx.table(s, d, "events"), workspace.fresh_path(s, "event-files"), workspace.fresh_path(s, "alert-changes")
+    """The same stream in four parts by time, a batch each, so that open alerts live from one batch to the next."""
+    events, staged, files_, path = fx.table(s, d, "events"), *(workspace.fresh_path(s, n) for n in ("quarters", "event-files", "alert-changes"))
     second = timeparts.epoch_seconds(F.col("ts"))
     low, high = events.agg(F.min(second), F.max(second)).first()
+    quarter = F.floor((second - low) * 4 / (high - low + 1))
+    events.withColumn("quarter", quarter).write.partitionBy("quarter").parquet(staged)
     for k in range(4):
-        part = F.floor((second - low) * 4 / (high - low + 1)) == k
-        events.where(part).coalesce(1).write.mode("append").parquet(files_)
-    rows = s.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files_)
+        s.read.schema(events.schema).parquet(f"{staged}/quarter={k}").repartition(FILES_A_BATCH).write.mode("append").parquet(files_)
+    rows = s.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(files_)
     stream = fx.as_traffic(rows).withColumn("event_time", F.col("event_time").cast("timestamp"))
     changes = lifecycle.alert_changes(live.live_metrics(stream, fx.WINDOW))
     _finish(live.run(changes, lifecycle.keep_changes(path), workspace.fresh_path(s, "alert-state"), trigger=None))
