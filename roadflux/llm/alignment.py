@@ -20,9 +20,10 @@ links of all other pairs meet their counts by a join. So frequent pairs are neve
 the rest. Texts of which there are very many copies (a thousandth of all documents each, so a thousand texts at most) are
 broadcast to their documents; all others are joined.
 
-Long texts are cut into parts of about ``PART`` characters, where a single space stands between two letters: neither tokenizer has
-tokens across it (A's words begin at the space; of B's pieces none has a space after another character, which is checked), so the
-tokens are those of the whole text. Texts without such a place stay whole. Repeated rows and ids get a row each. Columns other than
+Texts are cut into parts where a single space stands between a word's end and a letter or digit: neither tokenizer has tokens across it
+(A's words begin at the space; of B's pieces none has a space after another character, which is checked), so the tokens are those of
+the whole text. Tasks take texts in slices of about ``SLICE`` bytes and tokenise and align each distinct part once, known ones not
+again; a long text is a slice of its own. Repeated rows and ids get a row each. Columns other than
 the two named are not used. An empty table gives an empty result.
 """
 
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -40,25 +42,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadflux import workspace
 
-PART = 1 << 16
-SLICE = 1 << 20
+SLICE = 4 << 20
+BLOCK = 4096
+KNOWN, KNOWN_BYTES = 500_000, 64 << 20
 HOT = 1 << 19
 COPIES, LEAST_COPIES = 1000, 100
-_BETWEEN = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+_BETWEEN = re.compile(r"(?<=[\w.,;:!?)'\"-]) (?=\w)")
 _ALIGNED = ("key binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
             "pairs array<bigint>, times array<int>")
 
 
-def parts(text: str, size: int = PART) -> list[str]:
-    """The text cut at single spaces between letters, which are left out: both tokenizers put one before every part."""
-    out, at = [], 0
-    while len(text) - at > size:
-        gap = _BETWEEN.search(text, at + size)
-        if gap is None:
-            break
-        out.append(text[at:gap.start()])
-        at = gap.end()
-    return [*out, text[at:]]
+def parts(text: str) -> list[str]:
+    """The text cut at single spaces before letters and digits, which are left out: both tokenizers put one before every part."""
+    return _BETWEEN.split(text)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -90,20 +86,35 @@ class Tokenizers:
         self.size_b = len(pieces)
         self.lengths_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.parts = Parts(self)
         # Ids as text with what follows them: in a group "," and at its end "|" after A and ";" after B.
         self.shown = [b"%d%c" % (i, mark) for n, marks in ((len(self.bytes_a), b",|"), (self.size_b, b",;")) for mark in marks for i in range(n)]
 
-    def encoded(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids by A and by B, or None where they do not spell the text."""
-        ids_a, ids_b = [], []
-        for part in parts(text) if self.separable else [text]:
-            a, b = self.a.encode_batch_fast([" " + part], add_special_tokens=False)[0].ids, self.b.encode(part)
-            data = b" " + part.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
-                return None
-            ids_a += a
-            ids_b += b
-        return ids_a, ids_b
+    def encoded(self, distinct: list[str]) -> tuple[list[int], list[int], np.ndarray]:
+        """Ids by A and by B of all parts, one after the other, and the bytes that each part has there: none if it is not spelt."""
+        ids_a, ids_b, size = [], [], np.array([1 + len(p.encode()) for p in distinct], np.int64)
+        step = BLOCK if self.separable else 1
+        for k in range(0, len(distinct), step):
+            held = distinct[k:k + step]
+            both = self._spelling(" ".join(held))
+            if both is not None:
+                ids_a += both[0]
+                ids_b += both[1]
+                continue
+            for n, part in enumerate(held, k):
+                both = self._spelling(part)
+                if both is None:
+                    size[n] = 0
+                else:
+                    ids_a += both[0]
+                    ids_b += both[1]
+        return ids_a, ids_b, size
+
+    def _spelling(self, text: str) -> tuple[list[int], list[int]] | None:
+        a, b = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
+        data = b" " + text.encode()
+        spelt = b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
+        return (a, b) if spelt else None
 
 
 @functools.lru_cache(maxsize=1)
@@ -111,52 +122,84 @@ def _loaded(a: bytes, b: bytes) -> Tokenizers:
     return Tokenizers(a, b)
 
 
+class Parts:
+    """Parts aligned once each: counts of tokens and groups, their groups as text, and their links as pairs.
+
+    Parts stay known over slices and tasks of a process, up to ``KNOWN`` of them or ``KNOWN_BYTES``; then it begins anew.
+    """
+
+    def __init__(self, tok: Tokenizers):
+        self.tok = tok
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.bytes, self.shown = 0, []
+        self.spelt, self.links = np.zeros(0, bool), np.zeros(0, np.int64)
+        self.n_a, self.n_b, self.n_links, self.n_groups, self.first_link = (np.zeros(0, np.int64) for _ in range(5))
+
+    def places(self, distinct: list[str]) -> np.ndarray:
+        if len(self.at) + len(distinct) > KNOWN or self.bytes > KNOWN_BYTES:
+            self._forget()
+        new = [p for p in distinct if p not in self.at]
+        if new:
+            self._add(new)
+        return np.fromiter(map(self.at.__getitem__, distinct), np.int64, len(distinct))
+
+    def _add(self, new: list[str]) -> None:
+        tok = self.tok
+        ids_a, ids_b, bytes_of = tok.encoded(new)
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        ends_a, ends_b = np.cumsum(tok.lengths_a[a]), np.cumsum(tok.lengths_b[b])
+        is_a, is_b = np.zeros(int(bytes_of.sum()) + 1, bool), np.zeros(int(bytes_of.sum()) + 1, bool)
+        is_a[ends_a], is_b[ends_b] = True, True
+        ends, cuts = np.flatnonzero(is_a | is_b), np.flatnonzero(is_a & is_b)
+
+        limits = np.cumsum(bytes_of)  # where each part ends
+        if not (is_a & is_b)[limits[limits > 0]].all():
+            raise ValueError("tokens reach over a space between words; these tokenizers are not of the kinds described above")
+        in_part = lambda ends: np.diff(np.searchsorted(ends, limits, side="right"), prepend=0)
+        n_a, n_b, n_links, n_groups = (in_part(e) for e in (ends_a, ends_b, ends, cuts))
+        both = lambda old, more: np.concatenate([old, more])
+        self.first_link = both(self.first_link, len(self.links) + np.cumsum(n_links) - n_links)
+        self.links = both(self.links, a[np.searchsorted(ends_a, ends)] * tok.size_b + b[np.searchsorted(ends_b, ends)])
+        self.n_a, self.n_b, self.n_links, self.n_groups = both(self.n_a, n_a), both(self.n_b, n_b), both(self.n_links, n_links), both(self.n_groups, n_groups)
+        self.spelt = both(self.spelt, bytes_of > 0)
+        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+        self.bytes += int(bytes_of.sum())
+
+        # Groups in order, A before B in each; ids of a group keep their order, since the sort is stable.
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        last = is_a & is_b
+        marks = np.concatenate([a + last[ends_a] * len(tok.bytes_a), 2 * len(tok.bytes_a) + b + last[ends_b] * tok.size_b])[order].tolist()
+        cut = [0, *np.cumsum(n_a + n_b).tolist()]
+        self.shown += [b"".join(map(tok.shown.__getitem__, marks[x:y])) for x, y in zip(cut, cut[1:])]
+
+
 def aligned(tok: Tokenizers, texts: list[str]) -> list[tuple]:
-    """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of each text; a pair is A's id times B's size plus B's id."""
-    done: list[tuple | None] = [None] * len(texts)
-    ids_a, ids_b, sizes, at = [], [], [], []
-    for k, text in enumerate(texts):
-        both = tok.encoded(text) if text else None
-        if both is None:
-            done[k] = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32))
-        else:
-            ids_a += both[0]
-            ids_b += both[1]
-            sizes.append((len(both[0]), len(both[1])))
-            at.append(k)
-    if not at:
-        return done
-    a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-    ends_a, ends_b = np.cumsum(tok.lengths_a[a]), np.cumsum(tok.lengths_b[b])
-    is_a, is_b = np.zeros(ends_a[-1] + 1, bool), np.zeros(ends_b[-1] + 1, bool)
-    is_a[ends_a], is_b[ends_b] = True, True
-    ends, common = np.flatnonzero(is_a | is_b), is_a & is_b
-    pairs = a[np.searchsorted(ends_a, ends)] * tok.size_b + b[np.searchsorted(ends_b, ends)]
-
-    n_a, n_b = np.array(sizes).T
-    last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
-    limits = ends_a[last_a - 1]  # where each text ends
-    text_of = np.searchsorted(limits, ends)
-    n_links = np.bincount(text_of, minlength=len(at))
-    cuts = np.flatnonzero(common)
-    n_groups = np.bincount(np.searchsorted(limits, cuts), minlength=len(at))
-
-    span = len(tok.bytes_a) * tok.size_b
-    keys, times = np.unique(text_of * span + pairs, return_counts=True)
-    keys_until = np.searchsorted(keys, (np.arange(len(at)) + 1) * span)
-
-    # Groups in order, A before B in each; ids of a group keep their order, since the sort is stable.
-    group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
-    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    base = 2 * len(tok.bytes_a)
-    marks = np.concatenate([a + common[ends_a] * len(tok.bytes_a), base + b + common[ends_b] * tok.size_b])[order].tolist()
-    tokens_until = (last_a + last_b).tolist()
-    begun = first = 0
-    for n, k in enumerate(at):
-        shown = b"".join(map(tok.shown.__getitem__, marks[begun:tokens_until[n]]))
-        done[k] = (sizes[n][0], sizes[n][1], int(n_groups[n]), int(n_links[n]), hashlib.sha256(shown[:-1]).hexdigest(),
-                   keys[first:keys_until[n]] - n * span, times[first:keys_until[n]].astype(np.int32))
-        begun, first = tokens_until[n], keys_until[n]
+    """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, times) of each text; a pair is A's id times B's size plus B's id.
+
+    Parts that are equal, in one text or in several, are aligned once. Every part ends a token of both sides, so a text's groups and links
+    are those of its parts in turn.
+    """
+    cut = [(parts(t) if tok.separable else [t]) if t else [] for t in texts]
+    coded = pa.array(list(itertools.chain.from_iterable(cut)), pa.string()).dictionary_encode()
+    own = tok.parts
+    ids, until = own.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()], np.cumsum([len(c) for c in cut]).tolist()
+    done, begun = [], 0
+    for end in until:
+        at, begun = ids[begun:end], end
+        if not len(at) or not own.spelt[at].all():
+            done.append((0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32)))
+            continue
+        shown = b"".join(map(own.shown.__getitem__, at.tolist()))
+        # Links of all parts, one after the other.
+        sizes = own.n_links[at]
+        ahead = np.cumsum(sizes) - sizes
+        links = own.links[np.repeat(own.first_link[at] - ahead, sizes) + np.arange(sizes.sum())]
+        pairs, times = np.unique(links, return_counts=True)
+        done.append((int(own.n_a[at].sum()), int(own.n_b[at].sum()), int(own.n_groups[at].sum()), len(links), hashlib.sha256(shown[:-1]).hexdigest(), pairs, times.astype(np.int32)))
     return done
 
 
