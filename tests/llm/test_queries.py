@@ -54,7 +54,7 @@ def test_stages_keep_rows_with_nulls_and_clashing_columns(spark, sf_dir):
         assert got.schema.names == docs.schema.names and [f.dataType for f in got.schema] == [f.dataType for f in docs.schema], name
         kept = [tuple(r) for r in got.collect()]
         assert all(r[2:] in [x[2:] for x in rows] for r in kept), name
-        want = {1, 2, None, 4} if name == "simhash_near_dedup" else {1, 2, 3, 4, None}
+        want = {1, 2, None, 4} if name == "near_dedup" else {1, 2, 3, 4, None}
         assert {r[0] for r in kept} == want, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == len(rows)
 
