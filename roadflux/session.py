@@ -26,9 +26,10 @@ STREAMING = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session made by somebody else."""
+    """Apply the runtime settings to a session made by somebody else, and send it this package."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
