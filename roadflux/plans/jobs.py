@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadflux import workspace
@@ -18,6 +18,7 @@ from roadflux.functions.numbers import percent
 from roadflux.functions.timeparts import with_day_parts
 from roadflux.operators import anomalies, comparisons, features, kpis, recommendations
 from roadflux.plans import marts, models, notifications
+from roadflux.schema import RAW_EVENT
 from roadflux.sinks import catalog, files
 from roadflux.sources import raw, tables
 from roadflux.streaming import lifecycle, metrics as live
@@ -75,8 +76,22 @@ def build_processed(events: DataFrame, base: str) -> dict[str, str]:
 
 
 def ingest(spark: SparkSession, raw_path: str, base: str) -> dict[str, str]:
-    """Raw text to the processed zone."""
-    return build_processed(raw.parse_lines(raw.text_lines(spark, raw_path)), base)
+    """Raw text to the processed zone, with what did not get there.
+
+    ``rejects`` has the lines that are no events, by reason; ``ingest_counts`` one row with the lines left after each stage. The counts
+    are observed in the pass that builds the zone (a stage that runs again after a lost executor may count twice there);
+    lines are read a second time for the rejects only if there are any.
+    """
+    lines, seen = raw.text_lines(spark, raw_path), Observation()
+    watched = raw.audited_events(lines).observe(seen, *raw.stage_aggregates())
+    paths = build_processed(watched.filter(F.col("reject_reason").isNull()).select(*RAW_EVENT.names), base)
+    # Without any line the plan collapses, and nothing is observed.
+    counts = raw.stage_counts(lines).first().asDict() if lines.isEmpty() else seen.get
+    rejected = raw.rejected_lines(lines)
+    if counts["accepted"] == counts["raw_lines"]:
+        rejected = spark.createDataFrame([], rejected.schema)
+    stages = spark.createDataFrame([counts], ", ".join(f"{name} long" for name in counts))
+    return {**paths, **files.write_zone({"rejects": rejected, "ingest_counts": stages.coalesce(1)}, base, {"rejects": ["reject_reason"]})}
 
 
 def build_analytics(spark: SparkSession, processed: str, base: str) -> dict[str, str]:

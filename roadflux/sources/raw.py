@@ -124,17 +124,22 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return audited_events(lines).filter(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
 
 
-def stage_counts(lines: DataFrame) -> DataFrame:
-    """Lines left after each ingest stage, one row, one pass."""
+def stage_aggregates() -> list[Column]:
+    """Aggregates over ``audited_events``: lines left after each ingest stage."""
     reason = F.col("reject_reason")
     survived = lambda *lost: F.count(F.when(~F.coalesce(reason.isin(*lost), F.lit(False)), 1))
-    return audited_events(lines).agg(
+    return [
         F.count("*").alias("raw_lines"),
         survived("blank").alias("non_blank"),
         survived("blank", "bad_json").alias("converted"),
         survived("blank", "bad_json", "bad_time").alias("accepted"),
         F.count(F.when(reason == "bad_time", 1)).alias("bad_time"),
-    )
+    ]
+
+
+def stage_counts(lines: DataFrame) -> DataFrame:
+    """Lines left after each ingest stage, one row, one pass."""
+    return audited_events(lines).agg(*stage_aggregates())
 
 
 def strict_json(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:

@@ -81,6 +81,20 @@ def test_ingest_job(spark, sf_dir):
     jobs.ingest(spark, lines, base)
     accepted = fx.traffic(spark, sf_dir).filter("event_type in ('view', 'click', 'purchase')").count()
     assert spark.read.parquet(f"{base}/speed_by_road").agg(F.sum("measurement_count")).first()[0] == accepted
+    counts = spark.read.parquet(f"{base}/ingest_counts").first()
+    assert counts.accepted == accepted
+    assert spark.read.parquet(f"{base}/rejects").count() == counts.raw_lines - accepted > 0
+
+
+def test_ingest_without_rejects_or_lines(spark, tmp_path):
+    sound = '{"sensor_id":"S","road_id":"R","road_type":"rue","zone":"Z","vehicle_count":5,"average_speed":50.0,"occupancy_rate":1.0,"event_time":"2024-01-01T00:00:00"}'
+    for lines in ([sound] * 3, []):
+        source = workspace.fresh_path(spark, "raw")
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(source)
+        paths = jobs.ingest(spark, source, workspace.fresh_path(spark, "processed"))
+        assert spark.read.schema("value string, reject_reason string").parquet(paths["rejects"]).count() == 0
+        counts = spark.read.parquet(paths["ingest_counts"]).first()
+        assert (counts.raw_lines, counts.accepted) == (len(lines), len(lines))
 
 
 def test_serving_types(spark, sf_dir):

@@ -434,6 +434,8 @@ BODIES = {
  SELECT event_id, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN date_trunc('second', event_time) END
  AS event_second FROM traffic UNION ALL SELECT event_id, NULL FROM traffic WHERE event_type = 'error')""",
     "i10_rejected_lines": """SELECT value, CASE WHEN trim(value) = '' THEN 'blank' WHEN event_type = 'error' THEN 'bad_json'
+ ELSE 'bad_time' END AS reject_reason FROM lines WHERE event_type IN ('error', 'signup')""",
+    "i10_ingest_rejects": """SELECT value, CASE WHEN trim(value) = '' THEN 'blank' WHEN event_type = 'error' THEN 'bad_json'
  ELSE 'bad_time' END AS reject_reason FROM lines WHERE event_type IN ('error', 'signup')""",
     "i11_day_parts": """SELECT event_id, CAST(hour(event_time) AS INTEGER) AS hour,
  strftime(event_time, '%Y-%m-%d') AS date_str FROM traffic""",
@@ -452,6 +454,10 @@ BODIES = {
     "i15_stage_counts": """SELECT count(*) AS raw_lines, count(*) FILTER (WHERE trim(value) <> '') AS non_blank,
  count(*) FILTER (WHERE event_type <> 'error') AS converted,
  count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS accepted,
+ count(*) FILTER (WHERE event_type = 'signup') AS bad_time FROM lines""",
+    "i15_ingest_counts": """SELECT count(*) AS raw_lines, count(*) FILTER (WHERE trim(value) <> '') AS non_blank,
+ count(*) FILTER (WHERE event_type <> 'error') AS converted,
+ count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS accepted,
  count(*) FILTER (WHERE event_type = 'signup') AS bad_time FROM lines""",
     "i16_period_covered": """SELECT min(strftime(event_time, '%Y-%m-%d')) AS first_date,
  max(strftime(event_time, '%Y-%m-%d')) AS last_date FROM traffic""",

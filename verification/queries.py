@@ -186,6 +186,22 @@ simple("i16_period_covered", fx.traffic, quality.period_covered)
 simple("i17_volume_gates", fx.traffic, quality.volume_gates)
 
 
+def _ingested(s, d) -> dict[str, str]:
+    lines = workspace.fresh_path(s, "lines")
+    fx.raw_lines(s, d).select("value").write.text(lines)
+    return jobs.ingest(s, lines, workspace.fresh_path(s, "processed"))
+
+
+@query("i10_ingest_rejects")
+def _(s, d):
+    return s.read.parquet(_ingested(s, d)["rejects"]).drop("processed_at")
+
+
+@query("i15_ingest_counts")
+def _(s, d):
+    return s.read.parquet(_ingested(s, d)["ingest_counts"]).drop("processed_at")
+
+
 def _write_processed(s, d) -> str:
     base = workspace.fresh_path(s, "processed")
     jobs.build_processed(fx.traffic(s, d), base)
