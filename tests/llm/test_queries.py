@@ -22,7 +22,7 @@ def test_query(spark, duck, sf_dir, name):
 
 
 def test_one_query_per_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{k}" for k in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{k}" for k in range(1, 14)), "pipeline"]
 
 
 def test_pipeline_stage_by_stage(spark, sf_dir, tmp_path):
