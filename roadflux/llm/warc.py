@@ -41,6 +41,7 @@ SAMPLES = 400
 SAMPLE_BYTES = 32 << 10
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+MOST_TASKS = 20_000
 ROWS_PER_BATCH = 500
 READ_BYTES = 1 << 20
 # Fixed values of the format.
@@ -258,6 +259,8 @@ def read(manifest: DataFrame) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
 
-    # archives are read by as many tasks as there are archives, within the session's parallelism
-    paths = manifest.select("path", "n_records").repartition("path")
+    # An archive a task, up to MOST_TASKS, beyond which tasks read several. Given a number, adaptive execution leaves the partitions
+    # apart; the names are random, so that ranges of them hold one each.
+    tasks = max(1, min(manifest.count(), MOST_TASKS))
+    paths = manifest.select("path", "n_records").repartitionByRange(tasks, "path")
     return paths.mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string")

@@ -5,6 +5,7 @@ import struct
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from roadflux.llm import warc
 
@@ -47,6 +48,13 @@ def test_round_trip(spark, size):
         assert struct.unpack("<I", stream.read(4))[0] == warc.DICTIONARY_MAGIC
 
 
+def test_an_archive_a_task(spark):
+    rows = [(i, "http://a.example", "".join(random.Random(i).choices("abcdefgh", k=3000))) for i in range(60)]
+    manifest = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), archive_bytes=6000)
+    read = warc.read(manifest).select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert len(read) == 60 and len({r.task for r in read}) == manifest.count() > 8
+
+
 def test_empty(spark):
     manifest = warc.write(spark.createDataFrame([], "page_id long, url string, html string"))
     assert manifest.count() == 0 and warc.read(manifest).count() == 0
