@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from roadflux.functions.rules import congestion_target
 from roadflux.functions.timeparts import with_calendar
@@ -23,13 +23,14 @@ BACK, AHEAD = 3, 1
 def history(events: DataFrame, seconds_per_chunk: float = series.SECONDS_PER_CHUNK) -> DataFrame:
     """Lags, four-row rolling statistics and next-step values per road and zone.
 
-    All columns share one partitioning and one sort.
+    All columns share one partitioning; ``series.framed`` says what it costs.
     """
-    pieces = series.chunked(events, SERIES, "event_time", ORDER, BACK, AHEAD, seconds_per_chunk)
-    w = series.frame(SERIES, ORDER)
+    return series.framed(events, SERIES, ORDER, BACK, AHEAD, _columns, seconds_per_chunk)
+
+
+def _columns(w: WindowSpec) -> dict[str, Column]:
     rolling = w.rowsBetween(-BACK, 0)
     measures = {"vehicle_count": "vehicle_count", "speed": "average_speed", "occupancy": "occupancy_rate"}
-
     columns = {}
     for short, name in measures.items():
         columns[f"{short}_lag1"] = F.lag(name, 1).over(w)
@@ -41,7 +42,7 @@ def history(events: DataFrame, seconds_per_chunk: float = series.SECONDS_PER_CHU
     columns["congestion_target"] = congestion_target(
         F.lead("average_speed", 1).over(w), F.lead("occupancy_rate", 1).over(w)
     )
-    return series.own_rows(pieces.withColumns(columns))
+    return columns
 
 
 def hourly_series(events: DataFrame) -> DataFrame:

@@ -4,18 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+BANDS = 256  # about as many tasks can share the values of one group
 
-def dense_rank_desc(
-    rows: DataFrame, group: str, value: str, out: str = "rank", step: float = 0.25
-) -> DataFrame:
+
+def banded(values: DataFrame, bands: int = BANDS) -> DataFrame:
+    """Distinct ``_v`` per ``_g`` with ``_b``, the band of the value: higher values, higher bands; NULL has none.
+
+    The cuts are approximate quantiles of each group, sketched per task and merged, so bands are about equally full wherever the
+    values lie. Their accuracy decides the size of bands only.
+    """
+    shares = [n / bands for n in range(1, bands)]
+    cuts = values.groupBy(F.col("_g").alias("_of")).agg(F.percentile_approx("_v", shares, 20 * bands).alias("_cuts"))
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    return values.join(cuts, F.col("_g").eqNullSafe(F.col("_of"))).select("_g", "_v", F.when(F.col("_v").isNotNull(), below).alias("_b"))
+
+
+def dense_rank_desc(rows: DataFrame, group: str, value: str, out: str = "rank", bands: int = BANDS) -> DataFrame:
     """Dense rank of ``value`` inside ``group``, highest first, NULL last.
 
     A dense rank depends on the distinct values only, so those are ranked: rows that share a value, or have none, count
-    once. A group may still hold most of the distinct values; it is split into value bands of width ``step``, each ranked on
-    its own, and the number of values in higher bands, a table of groups times bands, is the offset. The ranks go back to
-    the rows by a join, whose hot values adaptive execution splits.
+    once. A group may still hold most of the distinct values; it is split into value bands, each ranked on its own, and the
+    number of values in higher bands, a table of groups times bands, is the offset. The ranks go back to the rows by a join,
+    whose hot values adaptive execution splits.
     """
-    values = rows.select(F.col(group).alias("_g"), F.col(value).alias("_v")).distinct().withColumn("_b", F.floor(F.col("_v") / step))
+    values = banded(rows.select(F.col(group).alias("_g"), F.col(value).alias("_v")).distinct(), bands)
     local = values.withColumn("_in_band", F.dense_rank().over(Window.partitionBy("_g", "_b").orderBy(F.desc("_v"))))
     above = Window.partitionBy("_og").orderBy(F.desc_nulls_last("_ob")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

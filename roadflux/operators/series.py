@@ -2,73 +2,62 @@
 
 Lag, lead and short rolling frames need a series in time order. One series may hold a large share of all rows, so every
 series is cut into chunks of a fixed stretch of time, whatever its length: there is one plan for all sizes, and nothing is
-counted beforehand. Every chunk receives copies of the few rows just outside its edges ("borders"); a frame that reaches
-no further than those copies gives the same value as over the whole series.
+counted beforehand.
+
+Rows are shuffled once, by series and chunk. Frames of rows that lie far enough inside a chunk are complete there. The few
+rows at either edge of each chunk are taken out of the same exchange, put side by side per series, and framed again there:
+the edge of a chunk and that of the next are neighbours in that short series as they are in the whole one.
 
 A chunk holds the readings of one series in ``SECONDS_PER_CHUNK``; simultaneous readings share a chunk.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from roadflux.functions.timeparts import epoch_micros
 
 SECONDS_PER_CHUNK = 86_400
-CHUNK, BORDER = "_chunk", "_border"
+CHUNK = "_chunk"
+_EDGE, _NEAR = "_edge", "_near_edge"
+
 
+def chunked(rows: DataFrame, time: str, seconds_per_chunk: float = SECONDS_PER_CHUNK) -> DataFrame:
+    """Rows with the number of the stretch of time they lie in; rows without a time form one of their own."""
+    return rows.withColumn(CHUNK, F.floor(epoch_micros(F.col(time)) / F.lit(seconds_per_chunk * 1_000_000)))
 
-def chunked(
+
+def framed(
     rows: DataFrame,
     keys: Sequence[str],
-    time: str,
     order: Sequence[str],
     back: int,
     ahead: int,
+    columns: Callable[[WindowSpec], Mapping[str, Column]],
     seconds_per_chunk: float = SECONDS_PER_CHUNK,
 ) -> DataFrame:
-    """Rows plus border copies, with a chunk; use ``frame`` on the result.
+    """Rows plus ``columns(window)``, as over whole series.
 
-    ``order`` starts with ``time``, so chunks of a series follow each other as their rows do.
+    No column may look further than ``back`` rows back and ``ahead`` rows ahead. ``order`` starts with the time. The other columns of
+    ``rows`` come after it, so that a row which is taken out as an edge is the same one in both readings of the exchange:
+    they must have an order (no maps), and what is not needed should be dropped before.
     """
-    own = rows.withColumn(CHUNK, F.floor(epoch_micros(F.col(time)) / F.lit(seconds_per_chunk * 1_000_000)))
-    borders = _borders(own, keys, order, back, ahead)
-    return own.withColumn(BORDER, F.lit(False)).unionByName(borders.withColumn(BORDER, F.lit(True)))
-
-
-def _borders(rows: DataFrame, keys, order, back: int, ahead: int) -> DataFrame:
-    """Copies of the rows next to each chunk, labelled with the chunk that needs them."""
-    columns = [c for c in rows.columns if c not in (*keys, CHUNK)]
-    place = Window.partitionBy(*keys, CHUNK)
-    ascending = [F.asc(c) for c in order]
-    descending = [F.desc(c) for c in order]
-
-    def edge(ordering, depth: int, name: str) -> DataFrame:
-        # A rank filter of this form keeps only `depth` rows per chunk before the shuffle.
-        near = rows.withColumn("_r", F.row_number().over(place.orderBy(*ordering))).filter(F.col("_r") <= depth)
-        row = F.struct(F.col("_r").alias("r"), F.struct(*columns).alias("row"))
-        return near.groupBy(*keys, CHUNK).agg(F.sort_array(F.collect_list(row)).alias(name))
-
-    along = Window.partitionBy(*keys).orderBy(CHUNK)
-    # Each chunk has at least one row, so `back` chunks hold the `back` rows before a chunk.
-    before = F.flatten(F.reverse(F.collect_list("_edge").over(along.rowsBetween(-back, -1))))
-    after = F.flatten(F.collect_list("_edge").over(along.rowsBetween(1, ahead)))
-
-    def lend(edges: DataFrame, needed: Column, depth: int) -> DataFrame:
-        lent = edges.withColumn("_lent", F.slice(needed, 1, depth))
-        return lent.select(*keys, CHUNK, F.explode("_lent").alias("_e")).select(*keys, CHUNK, "_e.row.*")
-
-    last_rows = edge(descending, back, "_edge")
-    first_rows = edge(ascending, ahead, "_edge")
-    return lend(last_rows, before, back).unionByName(lend(first_rows, after, ahead))
-
-
-def frame(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    """Window over one chunk of one series."""
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
-
-
-def own_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(~F.col(BORDER)).drop(CHUNK, BORDER)
+    whole_order = [*order, *[c for c in rows.columns if c not in (*keys, *order)]]
+    # Shuffled by name: what the two readings add for their windows stays above the exchange, which thus is one and the same.
+    placed = chunked(rows, order[0], seconds_per_chunk).repartition(*keys, CHUNK)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*whole_order)
+
+    def within(first: int, last: int) -> Column:
+        """Whether a row is one of the ``first`` or ``last`` rows of its chunk."""
+        return F.lag(F.lit(1), first).over(inside).isNull() | F.lead(F.lit(1), last).over(inside).isNull()
+
+    done = placed.withColumns({**columns(inside), _EDGE: within(back, ahead)}).filter(~F.col(_EDGE))
+    # An edge row looks at rows of its own chunk as well, up to `back + ahead` of them.
+    depth = back + ahead
+    edges = placed.withColumns({_EDGE: within(back, ahead), _NEAR: within(depth, depth)}).filter(_NEAR)
+    along = Window.partitionBy(*keys).orderBy(*whole_order)
+    mended = edges.withColumns(columns(along)).filter(_EDGE)
+    made = [c for c in done.columns if c not in (CHUNK, _EDGE)]
+    return done.select(*made).unionByName(mended.select(*made))

@@ -90,6 +90,22 @@ def alert_changes(metrics: DataFrame) -> DataFrame:
     return tracked.withColumns({c: F.timestamp_micros(c) for c in TIMES})
 
 
+def open_alerts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The open alerts that the state below a checkpoint holds after its last batch.
+
+    Read from the state store itself, so it does not depend on the change log, nor on what became of it. The job may be running: the
+    state is read as of the last finished batch.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint).filter(F.col("operatorName").startswith("transformWithState"))
+    state = spark.read.format("statestore").options(
+        path=checkpoint, operatorId=operators.first().operatorId, stateVarName="open_alerts").load()
+    held = state.select("key.road_id", "key.zone", "user_map_key.alert_type", "user_map_value.*")
+    moment = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return held.select(
+        "road_id", "zone", "alert_type", "vehicle_count", "average_speed", "occupancy_rate", moment("opened").alias("timestamp"),
+        F.col("n").alias("escalation_count"), moment("updated").alias("last_update"))
+
+
 # --- alert store -------------------------------------------------------------
 # changes/batch=N holds the change rows of one micro-batch, snapshots/upto=N the
 # last row of every alert as of that batch, runs/ which stream run has which checkpoint.

@@ -8,7 +8,9 @@ from pyspark.sql import Window, functions as F
 
 from conftest import rows
 from roadflux.operators import comparisons, features, quality, series, upsert
+from roadflux.operators import ranking
 from roadflux.operators.ranking import dense_rank_desc
+from verification import fixtures as fx
 from roadflux.plans import panels, reports
 
 EVENTS = ("sensor_id string, road_id string, road_type string, zone string, vehicle_count bigint, "
@@ -56,11 +58,27 @@ def test_hot_and_single_instant_series(spark):
 
 
 def test_long_series_are_split(spark):
-    pieces = series.chunked(skewed_events(spark), features.SERIES, "event_time", features.ORDER, 3, 1, 60)
-    hot = pieces.filter("road_id = 'HOT'").filter(~F.col(series.BORDER))
-    assert hot.select(series.CHUNK).distinct().count() > 3
-    borders = pieces.filter(F.col(series.BORDER)).groupBy("road_id", "zone", series.CHUNK).count()
-    assert borders.agg(F.max("count")).first()[0] <= 4
+    pieces = series.chunked(skewed_events(spark), "event_time", 60)
+    assert pieces.filter("road_id = 'HOT'").select(series.CHUNK).distinct().count() > 3
+
+
+def test_repeated_rows_at_the_edges_stay(spark):
+    start = dt.datetime(2024, 1, 1)
+    data = [("S", "R", "rue", "Z", 1, 2.0, 3.0, start + dt.timedelta(seconds=n // 5)) for n in range(100)]
+    data += [("S", "R", "rue", "Z", 1, 2.0, None, None)] * 3
+    events = spark.createDataFrame(data, EVENTS).repartition(4)
+    for seconds in (1, 3, 7):
+        got = features.history(events, seconds)
+        assert got.count() == len(data)
+        assert rows(got.select(*plain_history(events).columns)) == rows(plain_history(events))
+
+
+def test_events_are_read_and_shuffled_once(spark, sf_dir):
+    table = features.feature_table(fx.traffic(spark, sf_dir))
+    table.write.format("noop").mode("overwrite").save()
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") == 1
 
 
 def test_dense_rank(spark):
@@ -69,7 +87,16 @@ def test_dense_rank(spark):
     frame = spark.createDataFrame(data + [(900, None, 1.0), (901, None, 2.0)], "id int, g string, v double")
     want = frame.withColumn("rank", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
     assert rows(dense_rank_desc(frame, "g", "v")) == rows(want)
-    assert rows(dense_rank_desc(frame, "g", "v", step=100.0)) == rows(want)
+    assert rows(dense_rank_desc(frame, "g", "v", bands=3)) == rows(want)
+    narrow = frame.withColumn("v", F.col("v") / 1e6 + 50)
+    want = narrow.withColumn("rank", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
+    assert rows(dense_rank_desc(narrow, "g", "v")) == rows(want)
+
+
+def test_close_values_are_split_into_bands(spark):
+    values = spark.range(20_000).select(F.lit("g").alias("_g"), (50 + F.col("id") / 1e9).alias("_v"))
+    sizes = [r["count"] for r in ranking.banded(values, 64).groupBy("_b").count().collect()]
+    assert len(sizes) >= 60 and max(sizes) < 1000
 
 
 def test_merge_replaces_or_updates(spark):

@@ -758,6 +758,8 @@ BODIES = {
  count(*) AS event_count, max(vehicle_count) AS max_vehicles, min(average_speed) AS min_speed
  FROM traffic GROUP BY 1, 2, 3, 4) WHERE window_end <= (SELECT as_of FROM now) - INTERVAL 2 MINUTE""",
     "t7_stream_alerts": "SELECT * FROM closed_alerts",
+    "t7_open_state": """SELECT road_id, zone, alert_type, vehicle_count, average_speed, occupancy_rate, timestamp, escalation_count, last_update
+ FROM closed_alerts WHERE status = 'ACTIVE'""",
     "t7_ended_stream_alerts": "SELECT * FROM alerts",
     "t7_stream_alerts_many_batches": "SELECT * FROM closed_alerts",
     "t13_stream_announcements": """SELECT 'email' AS channel, false AS is_escalation, count(*) AS messages, count(*) AS alerts
@@ -805,6 +807,19 @@ BODIES |= {
     "k2_stored_tableau_bord_executif": BODIES["a8_executive_overview"],
 }
 
+# Tables built from batches equal those built at once.
+BODIES |= {
+    "k1_two_batches_traffic_by_zone": BODIES["k1_rollup_traffic_by_zone"],
+    "k1_two_batches_speed_by_road": BODIES["k1_rollup_speed_by_road"],
+    "k1_two_batches_congestion_by_zone": BODIES["k1_rollup_congestion_by_zone"],
+    "k1_two_batches_hourly_analysis": BODIES["k1_rollup_hourly_analysis"],
+    "k1_two_batches_trafic_par_zone": BODIES["a9_zone_traffic"],
+    "k1_two_batches_vitesse_moyenne": BODIES["a10_zone_speed"],
+    "k1_two_batches_taux_congestion": BODIES["a11_zone_congestion_levels"],
+    "k1_two_batches_evolution_trafic": BODIES["a12_temporal_evolution"],
+    "k1_two_batches_zones_critiques": BODIES["j1_second_family_one_pass"],
+}
+
 
 def _needed(text: str, seen: list[str]) -> None:
     for name, part in PARTS.items():

@@ -13,7 +13,7 @@ from roadflux.functions import rules, text, timeparts
 from roadflux.operators import (
     alerts as alert_ops, anomalies, comparisons, features, kpis, quality, recommendations, upsert,
 )
-from roadflux.plans import jobs, marts, models, notifications, panels, reports
+from roadflux.plans import increments, jobs, marts, models, notifications, panels, reports
 from roadflux.sinks import catalog, files, messages, serving, versions
 from roadflux.sources import raw, tables
 from roadflux.streaming import landing, lifecycle, metrics as live
@@ -688,10 +688,10 @@ def _(s, d):
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-def _alert_stream(s, d) -> str:
+def _alert_stream(s, d, state: str | None = None) -> str:
     path = workspace.fresh_path(s, "alert-changes")
     changes = lifecycle.alert_changes(live.live_metrics(_event_stream(s, d), fx.WINDOW))
-    _finish(live.run(changes, lifecycle.keep_changes(path), workspace.fresh_path(s, "alert-state"), trigger=None))
+    _finish(live.run(changes, lifecycle.keep_changes(path), state or workspace.fresh_path(s, "alert-state"), trigger=None))
     return path
 
 
@@ -700,6 +700,14 @@ def _(s, d):
     return lifecycle.current_alerts(s, _alert_stream(s, d))
 
 
+@query("t7_open_state")
+def _(s, d):
+    """The open alerts as the stream's state holds them, without its change log."""
+    state = workspace.fresh_path(s, "alert-state")
+    _alert_stream(s, d, state)
+    return lifecycle.open_alerts(s, state)
+
+
 @query("t7_ended_stream_alerts")
 def _(s, d):
     """The same stream with its end marked once all events are read: the last windows close as well."""
@@ -768,6 +776,23 @@ for _name in files.PROCESSED_LAYOUT:
     simple(f"k1_rollup_{_name}", fx.traffic, jobs.road_hours, lambda f, n=_name: jobs.processed_tables(f)[n])
 
 
+def _two_batches(s, d) -> dict[str, DataFrame]:
+    """All KPI tables from the states of two batches; the first is folded, the second arrives twice."""
+    store, rows = workspace.fresh_path(s, "kpi-states"), fx.traffic(s, d)
+    late = F.col("event_time") >= rows.agg(F.timestamp_seconds(F.avg(timeparts.epoch_seconds(F.col("event_time")))).cast("timestamp_ntz")).scalar()
+    increments.add(rows.filter(~late), store, 0)
+    increments.fold(s, store)
+    for _ in range(2):
+        increments.add(rows.filter(late), store, 1)
+    return increments.kpi_tables(increments.states(s, store))
+
+
+# Last bits depend on the order of sums.
+KPI_DIGITS = {"trafic_par_zone": 6, "vitesse_moyenne": 6, "taux_congestion": 12, "evolution_trafic": 12, "zones_critiques": 6}
+for _name in increments.LAYOUT:
+    query(f"k1_two_batches_{_name}")(lambda s, d, n=_name: rounded(_two_batches(s, d)[n], KPI_DIGITS.get(n)))
+
+
 @query("j1_second_family_one_pass")
 def _(s, d):
     return rounded(jobs.second_family(fx.traffic(s, d))["zones_critiques"], 6)
