@@ -99,18 +99,8 @@ def kpi_tables(states: DataFrame) -> dict[str, DataFrame]:
 
 # --- store ---------------------------------------------------------------------
 
-def _finished(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the finished folders ``name=N`` in a folder, ascending; what reaches the driver is their names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(path(folder)):
-        return []
-    names = [s.getPath().getName() for s in store.listStatus(path(folder))]
-    return sorted(int(n.split("=")[1]) for n in names if store.exists(path(f"{folder}/{n}/_SUCCESS")))
-
-
 def _folded(spark: SparkSession, store: str) -> int:
-    return max(_finished(spark, f"{store}/folds"), default=-1)
+    return max(workspace.finished(spark, f"{store}/folds", "upto"), default=-1)
 
 
 def add(events: DataFrame, store: str, batch: int) -> None:
@@ -124,7 +114,7 @@ def add(events: DataFrame, store: str, batch: int) -> None:
 def states(spark: SparkSession, store: str) -> DataFrame:
     """The states that make up all batches so far, not added up yet."""
     upto = _folded(spark, store)
-    paths = [f"{store}/batches/batch={n}" for n in _finished(spark, f"{store}/batches") if n > upto]
+    paths = [f"{store}/batches/batch={n}" for n in workspace.finished(spark, f"{store}/batches", "batch") if n > upto]
     if upto >= 0:
         paths.append(f"{store}/folds/upto={upto}")
     if not paths:
@@ -137,7 +127,7 @@ def fold(spark: SparkSession, store: str) -> int:
 
     Removes what the fold before had replaced already: readers of that time are done by then.
     """
-    before, batches = _folded(spark, store), _finished(spark, f"{store}/batches")
+    before, batches = _folded(spark, store), workspace.finished(spark, f"{store}/batches", "batch")
     upto = max(batches, default=-1)
     if upto <= before:
         return before
@@ -145,7 +135,7 @@ def fold(spark: SparkSession, store: str) -> int:
     for n in batches:
         if n <= before:
             workspace.remove(spark, f"{store}/batches/batch={n}")
-    for n in _finished(spark, f"{store}/folds"):
+    for n in workspace.finished(spark, f"{store}/folds", "upto"):
         if n < before:
             workspace.remove(spark, f"{store}/folds/upto={n}")
     return upto

@@ -19,7 +19,7 @@ from roadflux.functions.timeparts import with_day_parts
 from roadflux.operators import anomalies, comparisons, features, kpis, recommendations
 from roadflux.plans import marts, models, notifications
 from roadflux.schema import RAW_EVENT
-from roadflux.sinks import catalog, files
+from roadflux.sinks import catalog, files, serving
 from roadflux.sources import raw, tables
 from roadflux.streaming import lifecycle, metrics as live
 
@@ -128,6 +128,18 @@ def write_second_family(events: DataFrame, base: str) -> dict[str, str]:
         return files.write_zone(second_family(events), base, {})
 
 
+def write_trends(events: DataFrame, base: str) -> dict[str, str]:
+    """The trend tables as stored ones; the peaks come from the stored profile, not from the events again."""
+    paths = files.write_zone({"weekly_profile": kpis.weekly_profile(events), "road_type_profile": kpis.road_type_profile(events)}, base, {})
+    profile = events.sparkSession.read.parquet(paths["weekly_profile"]).drop("processed_at")
+    return {**paths, **files.write_zone({"peak_periods": kpis.peak_periods(profile)}, base, {})}
+
+
+def export_serving(tables_: Mapping[str, DataFrame], base: str) -> dict[str, str]:
+    """Tables in the columns and types of the serving tables of the same name, as Parquet that a database can load."""
+    return files.write_zone({name: serving.for_serving(rows, name) for name, rows in tables_.items()}, base, {}, stamp=False)
+
+
 def predict(events: DataFrame, base: str) -> dict[str, str]:
     """Train both models, score anomalies, recommend, and write the four results.
 

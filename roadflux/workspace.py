@@ -68,6 +68,23 @@ def make_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
 
 
+def finished(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers N of the finished folders ``name=N`` in a folder, ascending; what reaches the driver is their names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path(folder)):
+        return []
+    names = [s.getPath().getName() for s in store.listStatus(path(folder))]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}=") and store.exists(path(f"{folder}/{n}/_SUCCESS")))
+
+
+def folders(spark: SparkSession, pattern: str, values: set[str]) -> list[str]:
+    """The folders of a pattern that ends in ``name=*`` whose value is among ``values``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [s.getPath().toString() for s in found if s.getPath().getName().split("=", 1)[1] in values]
+
+
 def written(rows: DataFrame, label: str) -> DataFrame:
     """The same rows read back from a table in the shared folder.
 

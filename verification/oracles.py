@@ -767,6 +767,7 @@ BODIES = {
  count(*) FILTER (WHERE escalation_count > 0) FROM closed_alerts""",
     "k8_landed_messages": LANDED,
     "k8_landed_stream": LANDED,
+    "k8_compacted": LANDED,
     "k1_rollup_traffic_by_zone": "SELECT * FROM zone_hour",
     "k1_rollup_speed_by_road": "SELECT * FROM roads",
     "k1_rollup_congestion_by_zone": "SELECT * FROM zones",
@@ -807,6 +808,10 @@ BODIES |= {
     "k2_stored_tableau_bord_executif": BODIES["a8_executive_overview"],
 }
 
+BODIES |= {"a13_stored_weekly_profile": BODIES["a13_weekly_profile"], "a13_stored_road_type_profile": BODIES["a14_road_type_profile"]}
+BODIES |= {f"k5_export_{n}": BODIES[f"k5_serving_{n}"] for n in (
+    "trafic_par_zone", "vitesse_moyenne", "taux_congestion", "zones_critiques", "evolution_trafic")}
+
 # Tables built from batches equal those built at once.
 BODIES |= {
     "k1_two_batches_traffic_by_zone": BODIES["k1_rollup_traffic_by_zone"],

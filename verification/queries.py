@@ -339,6 +339,15 @@ simple("k5_serving_traffic_flow", fx.flow, _narrowed("traffic_flow"))
 simple("k5_serving_traffic_predictions", fx.predictions, _narrowed("traffic_predictions"))
 
 
+def _exported(s, d) -> dict[str, str]:
+    made = {name: rounded(rows, 12) for name, rows in family(s, d).items()}
+    return jobs.export_serving(made, workspace.fresh_path(s, "serving"))
+
+
+for _table in [*SERVED, "evolution_trafic"]:
+    query(f"k5_export_{_table}")(lambda s, d, n=_table: s.read.parquet(_exported(s, d)[n]))
+
+
 @query("k5_serving_zone_coordinates")
 def _(s, d):
     return serving.for_serving(tables.zone_coordinates(s).join(
@@ -442,6 +451,9 @@ simple("a11_zone_congestion_levels", congestion2, digits=12)
 simple("a12_temporal_evolution", fx.kpi_input, kpis.temporal_evolution, digits=12)
 simple("a13_weekly_profile", fx.traffic, kpis.weekly_profile)
 simple("a14_road_type_profile", fx.traffic, kpis.road_type_profile, digits=6)
+for _name, _digits in (("weekly_profile", None), ("road_type_profile", 6)):
+    query(f"a13_stored_{_name}")(lambda s, d, n=_name, k=_digits: rounded(
+        s.read.parquet(jobs.write_trends(fx.traffic(s, d), workspace.fresh_path(s, "trends"))[n]).drop("processed_at"), k))
 simple("a15_peak_periods", fx.traffic, kpis.weekly_profile, kpis.peak_periods)
 simple("a16_route_congestion", fx.traffic, kpis.road_totals, kpis.route_congestion)
 simple("a16_congested_routes", fx.traffic, kpis.road_totals, kpis.route_congestion, kpis.congested_routes)
@@ -770,6 +782,19 @@ def _(s, d):
     return _landed(s, path)
 
 
+@query("k8_compacted")
+def _(s, d):
+    """The zone of a stream of several batches after two compactions, the last batch still loose."""
+    lines, path, store = (workspace.fresh_path(s, name) for name in ("lines", "landed", "compacted"))
+    fx.raw_lines(s, d).select("value").repartition(6).write.text(lines)
+    stream = s.readStream.option("maxFilesPerTrigger", 2).text(lines)
+    _finish(landing.land_stream(stream, path, workspace.fresh_path(s, "land-state"), trigger=None))
+    landing.compact_landed(s, path, store)
+    landing.compact_landed(s, path, store)
+    return landing.landed(s, path, store).groupBy("date", "zone").agg(
+        F.count("*").alias("messages"), F.sum(F.length("value")).alias("characters"))
+
+
 # --- shared rollup ----------------------------------------------------------------------------
 
 for _name in files.PROCESSED_LAYOUT:
