@@ -9,7 +9,8 @@ Texts are lower-cased; runs of characters that are not letters are one gap, also
 not null and crc32 of the id as text, mod ``FOLDS``, is not 0; rows without id are neither learned from nor held out. All of
 them are learned from; sums are whole numbers, so reruns agree. A text that is null or without letter is ``und`` with score 0, and so is
 every text if nothing was learned. Ties go to the first language in code point order. Extra columns are not used. Empty tables
-give empty results. At most ``MOST_LANGUAGES`` languages are taken; more is an error, since the prototypes travel to every task.
+give empty results. Texts of any length are taken a million characters at a time, their trigrams ``SLICE`` at a time. At most
+``MOST_LANGUAGES`` languages are taken; more is an error, since the prototypes travel to every task.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ SEED = 5
 UNKNOWN = "und"
 MOST_LANGUAGES = 4096
 ROWS_PER_BATCH = 200
+SLICE = 4096
 _CHARS_AT_ONCE = 1 << 20
 _SPACE = 0x110000
 
 
 class Trigrams:
-    """Counts trigrams of texts; knows letters and their vectors."""
+    """Bundles the trigrams of texts; knows letters and their vectors."""
 
     def __init__(self) -> None:
         self.is_letter = np.frombuffer(bytes(chr(c).isalpha() for c in range(0x110000)), np.bool_)
@@ -43,32 +45,45 @@ class Trigrams:
             got = self.vectors[code] = np.random.default_rng([SEED, code]).integers(0, 2, DIMENSIONS).astype(np.int8) * 2 - 1
         return got
 
-    def counted(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per text, trigram and occurrence: (text, place of the trigram, counts) as a dense table of counts, the trigrams'
-        vectors, and which texts have a letter."""
-        codes = [np.frombuffer((" " + (t or "").lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    def bundles(self, runs: list[tuple[int, str]], owners: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per owner the sum of its trigrams' vectors, and whether it has a letter. runs: (owner, stretch of text).
+
+        Trigrams are multiplied in slices of ``SLICE``, so that memory does not grow with the number of distinct ones. A call has
+        far fewer than 2^24 characters: sums are exact in single precision.
+        """
+        codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for _, t in runs]
         sizes = np.array([len(c) for c in codes], np.int64)
+        owner = np.array([o for o, _ in runs], np.int64)
         code = np.concatenate(codes)
-        row = np.repeat(np.arange(len(texts)), sizes)
+        row = np.repeat(np.arange(len(runs)), sizes)
         letter = self.is_letter[code]
+        has_letter = np.bincount(owner[row], weights=letter, minlength=owners) > 0
         symbol = np.where(letter, code, np.uint32(_SPACE))
         keep = letter.copy()
         keep[1:] |= letter[:-1]  # the first of a run of other characters
         keep[0] = True
-        ends = np.cumsum(sizes)
-        keep[ends[:-1]] = True  # each text starts with a gap
+        keep[np.cumsum(sizes)[:-1]] = True  # each stretch starts with a symbol of its own
         symbol, row = symbol[keep], row[keep]
-        alphabet, dense = _dense(symbol, _SPACE + 1)
+        sums = np.zeros((owners, DIMENSIONS), np.int64)
         whole = np.flatnonzero(row[2:] == row[:-2])
+        if not len(whole):
+            return sums, has_letter
+        alphabet, dense = _dense(symbol, _SPACE + 1)
         size = len(alphabet)
-        tri = (dense[whole] * size + dense[whole + 1]) * size + dense[whole + 2]
-        known, place = _dense(tri, size ** 3)
-        counts = np.bincount(row[whole] * len(known) + place, minlength=len(texts) * len(known)).reshape(len(texts), len(known))
+        known, place = _dense((dense[whole] * size + dense[whole + 1]) * size + dense[whole + 2], size ** 3)
+        own = owner[row[whole]]
         letters = np.stack([self.vector(int(c)) for c in alphabet])
-        a, b, c = known // (size * size), known // size % size, known % size
-        vectors = np.roll(letters, 2, axis=1)[a] * np.roll(letters, 1, axis=1)[b] * letters[c]
-        has_letter = np.bincount(np.repeat(np.arange(len(texts)), sizes), weights=letter, minlength=len(texts)) > 0
-        return counts, vectors, has_letter
+        first, second = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
+        if len(known) > SLICE:
+            order = np.argsort(place, kind="stable")
+            own, place = own[order], place[order]
+        for start in range(0, len(known), SLICE):
+            part = known[start:start + SLICE]
+            lo, hi = (np.searchsorted(place, [start, start + len(part)]) if len(known) > SLICE else (0, len(place)))
+            counts = np.bincount(own[lo:hi] * len(part) + place[lo:hi] - start, minlength=owners * len(part)).reshape(owners, len(part))
+            vectors = first[part // (size * size)] * second[part // size % size] * letters[part % size]
+            sums += np.rint(counts.astype(np.float32) @ vectors.astype(np.float32)).astype(np.int64)
+        return sums, has_letter
 
 
 def _dense(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,17 +98,41 @@ def _dense(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
     return known, places[values]
 
 
-def _portions(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about a million characters; a longer text is a run of its own."""
-    start = size = 0
+def _portions(texts: list[str | None]) -> Iterator[list[tuple[int, str]]]:
+    """Lists of (place of the text, stretch) of about a million characters each.
+
+    A text is lower-cased as a whole and stands between gaps. A longer one is cut; each further stretch starts with the last two
+    symbols before it, so that every trigram is in one stretch.
+    """
+    held: list[tuple[int, str]] = []
+    size = 0
     for k, t in enumerate(texts):
-        n = len(t or "")
-        if size and size + n > _CHARS_AT_ONCE:
-            yield start, k
-            start, size = k, 0
-        size += n + 1
-    if size:
-        yield start, len(texts)
+        whole = f" {(t or '').lower()} "
+        before = ""
+        for at in range(0, len(whole), _CHARS_AT_ONCE):
+            stretch = before + whole[at:at + _CHARS_AT_ONCE]
+            if held and size + len(stretch) > _CHARS_AT_ONCE:
+                yield held
+                held, size = [], 0
+            held.append((k, stretch))
+            size += len(stretch)
+            if at + _CHARS_AT_ONCE < len(whole):
+                before = _last_two(stretch)
+    if held:
+        yield held
+
+
+def _last_two(stretch: str) -> str:
+    """The last two symbols of a stretch as characters; fewer if it has fewer."""
+    found: list[str] = []
+    for c in reversed(stretch):
+        if c.isalpha():
+            found.append(c)
+        elif not found or found[-1] != " ":
+            found.append(" ")
+        if len(found) == 2:
+            break
+    return "".join(reversed(found))
 
 
 def held_out(id_col: str):
@@ -112,13 +151,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         trigrams, sums = Trigrams(), {}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in _portions(texts):
-                counts, vectors, _ = trigrams.counted(texts[a:b])
-                own = sorted(set(langs[a:b]))
-                by_lang = np.zeros((len(own), counts.shape[1]), np.int64)
-                np.add.at(by_lang, [own.index(x) for x in langs[a:b]], counts)
-                for lang, vector in zip(own, by_lang.astype(np.float64) @ vectors.astype(np.float64)):
-                    sums[lang] = sums.get(lang, 0) + np.rint(vector).astype(np.int64)
+            own = sorted(set(langs))
+            at = [own.index(x) for x in langs]
+            for runs in _portions(texts):
+                found, _ = trigrams.bundles([(at[k], t) for k, t in runs], len(own))
+                for lang, vector in zip(own, found):
+                    sums[lang] = sums.get(lang, 0) + vector
         salt = TaskContext.get().partitionId() % 64
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([salt] * len(sums), pa.int32()),
                                           pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["lang", "salt", "sum"])
@@ -147,20 +185,18 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "d
         trigrams, (langs, unit) = Trigrams(), profile.value
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            picked, scores = [], []
-            for a, b in _portions(texts):
-                counts, vectors, has_letter = trigrams.counted(texts[a:b])
-                own = (counts.astype(np.float32) @ vectors.astype(np.float32)).astype(np.float64)
-                norms = np.sqrt((own ** 2).sum(axis=1))
-                near = own @ unit.T / np.maximum(norms, 1e-300)[:, None]
-                for k in range(b - a):
-                    if has_letter[k] and langs:
-                        top = int(near[k].argmax())
-                        picked.append(langs[top])
-                        scores.append(float(min(1.0, max(0.0, near[k, top]))))
-                    else:
-                        picked.append(UNKNOWN)
-                        scores.append(0.0)
+            own, lettered = np.zeros((len(texts), DIMENSIONS), np.int64), np.zeros(len(texts), np.bool_)
+            for runs in _portions(texts):
+                lo, hi = runs[0][0], runs[-1][0] + 1
+                sums, letters = trigrams.bundles([(k - lo, t) for k, t in runs], hi - lo)
+                own[lo:hi] += sums
+                lettered[lo:hi] |= letters
+            norms = np.sqrt((own.astype(np.float64) ** 2).sum(axis=1))
+            near = own @ unit.T / np.maximum(norms, 1e-300)[:, None]
+            picked, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            for k in np.flatnonzero(lettered).tolist() if langs else ():
+                top = int(near[k].argmax())
+                picked[k], scores[k] = langs[top], float(min(1.0, max(0.0, near[k, top])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(picked, pa.string()), pa.array(scores, pa.float64())],
                                              ["id", "held_out", "lang_pred", "score"])
 

@@ -1,13 +1,20 @@
+import functools
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from roadflux.llm import language
 
 
+@functools.cache
 def sign(c):
     return np.random.default_rng([language.SEED, c]).integers(0, 2, language.DIMENSIONS) * 2 - 1
 
@@ -66,6 +73,36 @@ def test_against_brute_force(spark):
     assert [g[3] for g in got] == pytest.approx([e[3] for e in expect])
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text("ab ,Σé漢\n", max_size=40) | st.none(), min_size=1, max_size=6), st.integers(1, 7), st.integers(1, 5))
+def test_cut_and_sliced(texts, chars, part):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language, "_CHARS_AT_ONCE", chars)
+        patch.setattr(language, "SLICE", part)
+        trigrams, total = language.Trigrams(), np.zeros((len(texts), language.DIMENSIONS), np.int64)
+        lettered = np.zeros(len(texts), bool)
+        for runs in language._portions(texts):
+            sums, letters = trigrams.bundles(runs, len(texts))
+            total += sums
+            lettered |= letters
+    assert (total == np.array([brute_vector(t) for t in texts])).all()
+    assert lettered.tolist() == [any(c.isalpha() for c in t or "") for t in texts]
+
+
+def test_many_distinct_trigrams_in_bounded_memory(tmp_path):
+    # in a process of its own, since the peak of this one says nothing: a million characters, some 900,000 distinct trigrams
+    script = tmp_path / "peak.py"
+    script.write_text(
+        "import random, resource\nfrom roadflux.llm import language\nrng = random.Random(1)\n"
+        "text = ''.join(chr(0x4E00 + rng.randrange(3000)) for _ in range(1_000_000))\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\ntrigrams = language.Trigrams()\n"
+        "for runs in language._portions([text]):\n    trigrams.bundles(runs, 1)\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)\n")
+    root = str(Path(language.__file__).parents[2])
+    done = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": root}, timeout=300)
+    assert int(done.stdout) < 1 << 20  # KB
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     done = language.predict(docs, language.learn(docs)).join(docs.select(F.col("doc_id").alias("id"), "lang"), "id").where("held_out")
