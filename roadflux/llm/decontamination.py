@@ -5,9 +5,11 @@ of the document is within e = floor(``ERRORS`` * m) insertions, deletions and su
 pieces, the item then has a piece without any error: all pieces are sought exactly (Aho-Corasick), and around each hit the
 item is verified with Myers' bit-parallel distance. Every item and every whole document is compared.
 
-Items travel to the tasks in blocks of at most ``BLOCK_BYTES``; further blocks are further passes in the same stage, without a
-shuffle. Null or blank items occur nowhere; repeated items count once per row. Null texts hold no item. Extra columns pass
-through; columns named like the added ones are replaced. Empty tables give empty results.
+The items are stored in the shared folder in blocks of about ``BLOCK_BYTES``, which tasks open one after the other for each
+``TEXT_BYTES`` of their texts; no item passes through the driver, and neither it nor the plan grows with the benchmark. Documents are
+read in one stage without a shuffle. Null or blank items occur nowhere; repeated items count once per row, rows without id as null (the last in
+the list). Null texts hold no item; texts of any length are compared whole. Extra columns pass through; columns named like the added ones are
+replaced. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -16,10 +18,16 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.dataset
+import pyarrow.fs
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from roadflux import workspace
+from roadflux.llm.warc import filesystem
+
 ERRORS = 0.08
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+TEXT_BYTES = 32 << 20
 ROWS_PER_BATCH = 500
 
 
@@ -69,7 +77,7 @@ class Pattern:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         self.items = [(i, Pattern(t)) for i, t in items]
         self.finder = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
@@ -82,7 +90,7 @@ class Matcher:
             self.finder.make_automaton()
         self.any = bool(places)
 
-    def found(self, text: str | None) -> list[int]:
+    def found(self, text: str | None) -> list[int | None]:
         """Ids of the items that occur in the text."""
         whole = plain(text)
         hits: set[int] = set()
@@ -113,27 +121,72 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """All columns, plus leaked (ids of the items that occur, ascending)."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     docs = docs.drop("leaked") if "leaked" in docs.columns else docs
-    items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("t")).where(F.length(F.trim("t")) > 0)
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES) if total <= BLOCK_BYTES else 2 * -(-total // BLOCK_BYTES)
+    folder, blocks = stored(benchmark, item_id, item_text)
     names = docs.columns
     inner = [f"c{i}" for i in range(len(names))]
     at = names.index(text_col)
     schema = T.StructType([*[T.StructField(c, f.dataType) for c, f in zip(inner, docs.schema.fields)], T.StructField("leaked", T.ArrayType(T.LongType()))])
-    out = docs.toDF(*inner).withColumn("leaked", F.array().cast("array<bigint>"))
-    for b in range(blocks):
-        block = [(r.id, plain(r.t)) for r in items.where(F.pmod(F.xxhash64("t", "id"), F.lit(blocks)) == b).collect()]
-        block = sorted((i, t) for i, t in ((-1 if i is None else i, t) for i, t in block) if t)
-        out = out.mapInArrow(_search(block, at), schema)
+    out = docs.toDF(*inner).mapInArrow(_search(folder, blocks, at), schema)
     return out.withColumn("leaked", F.array_sort("leaked")).toDF(*names, "leaked")
 
 
-def _search(block: list[tuple[int, str]], at: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(block)
+def stored(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> tuple[str, int]:
+    """Write the items in blocks below a folder; the folder and the number of blocks."""
+    spark = benchmark.sparkSession
+
+    def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            before = batch.column(batch.num_columns - 1).to_pylist()
-            found = [old + matcher.found(t.as_py()) for old, t in zip(before, batch.column(at))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.int64()))], batch.schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([plain(t.as_py()) for t in batch.column(1)], pa.string())], ["id", "item"])
+
+    items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("t"))
+    items = workspace.written(items.mapInArrow(normal, "id long, item string").where("item <> ''"), "items")
+    total = items.agg(F.sum(F.octet_length("item"))).first()[0] or 0
+    blocks = -(-total // BLOCK_BYTES)
+    folder = workspace.fresh_path(spark, "item-blocks")
+    if blocks:
+        # the row's own number keeps repeated items apart
+        place = F.pmod(F.xxhash64("item", "id", F.monotonically_increasing_id()), F.lit(blocks))
+        items.withColumn("block", place).repartition("block").write.partitionBy("block").parquet(folder)
+    return folder, blocks
+
+
+def _block(folder: str, number: int) -> Matcher:
+    files, root = filesystem(f"{folder}/block={number}")
+    if files.get_file_info(root).type == pyarrow.fs.FileType.NotFound:
+        return Matcher([])  # no item fell into it
+    found = pyarrow.dataset.dataset(root, format="parquet", filesystem=files).to_table(columns=["id", "item"])
+    return Matcher(sorted(zip(found.column(0).to_pylist(), found.column(1).to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+
+
+def _search(folder: str, blocks: int, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: list = [None, None]  # number and matcher of the last block
+        forward = True
+        for held in _gathered(batches, at):
+            found = [[[] for _ in range(batch.num_rows)] for batch in held]
+            # back and forth: the last block of one turn is the first of the next
+            for number in range(blocks) if forward else range(blocks - 1, -1, -1):
+                if opened[0] != number:
+                    opened[1] = None  # before the next one is built
+                    opened[:] = number, _block(folder, number)
+                for batch, own in zip(held, found):
+                    for leaked, text in zip(own, batch.column(at)):
+                        leaked += opened[1].found(text.as_py())
+            forward = not forward
+            for batch, own in zip(held, found):
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.list_(pa.int64()))], [*batch.schema.names, "leaked"])
 
     return run
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches whose texts have ``TEXT_BYTES`` or more together."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(at).nbytes
+        if size >= TEXT_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held

@@ -33,6 +33,7 @@ def test_myers(item, text, seed):
 
 def test_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_BYTES", 600)
+    monkeypatch.setattr(D, "TEXT_BYTES", 2000)
     rng = random.Random(8)
     words = ["the", "of", "an", "Tion", "ought", "re"]
     text = lambda n: " ".join(rng.choices(words, k=n))
@@ -52,9 +53,26 @@ def test_against_brute_force(spark, monkeypatch):
     assert got.columns == ["text", "doc_id", "c0", "leaked"]
     want = []
     for i, t in docs:
-        found = [-1 if k is None else k for k, x in items if D.plain(x) and nearest(D.plain(x), D.plain(t)) <= int(D.ERRORS * len(D.plain(x)))]
-        want.append((i, sorted(found)))
-    assert sorted((r.doc_id, list(r.leaked)) for r in got.collect()) == sorted(want)
+        found = [k for k, x in items if D.plain(x) and nearest(D.plain(x), D.plain(t)) <= int(D.ERRORS * len(D.plain(x)))]
+        want.append((i, sorted(found, key=lambda k: (k is None, k))))
+    assert sorted(((r.doc_id, list(r.leaked)) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_blocks_change_neither_plan_nor_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i} holds item number {i % 40} as it is") for i in range(100)], "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(i, f"holds item number {i} as it is") for i in range(40)] + [(7, "holds item number 7 as it is")] * 30, "item_id long, text string")
+    plans, results, sizes = [], [], []
+    collect = type(items).collect
+    monkeypatch.setattr(type(items), "collect", lambda frame: sizes.append(frame.count()) or collect(frame))
+    for most, blocks in ((1 << 20, 1), (800, 3)):
+        monkeypatch.setattr(D, "BLOCK_BYTES", most)
+        assert D.stored(items)[1] == blocks
+        got = D.contaminated(docs, items)
+        assert all(n <= 1 for n in sizes)
+        plans.append(got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+        results.append(sorted((r.doc_id, tuple(r.leaked)) for r in collect(got)))
+    assert plans == [1, 1] and results[0] == results[1]
+    assert dict(results[0])[7].count(7) == 31
 
 
 @pytest.mark.parametrize("n", [0, 3])
