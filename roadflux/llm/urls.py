@@ -2,7 +2,7 @@
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up to ``?``, ``#`` or the
 end; both empty for null or no ``://``. A rule fits its host and all subdomains if the path starts with the rule's; the longest
-fitting rule wins (of equally long ones the first in code point order).
+fitting rule wins (of equally long ones the first in code point order of host and path together, of equal ones the first given).
 
 The classifier learns from a small labelled table (url, verdict): of a larger one, the ``MOST_LABELLED`` URLs with the smallest hash. Its
 features are the 2-, 3- and 4-grams of host and path, hashed to ``BUCKETS``. Without labelled URLs everything else is allowed;
@@ -37,8 +37,7 @@ GRAMS = (2, 3, 4)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
-    after = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("__url"))).otherwise("")
-    after = F.coalesce(after, F.lit(""))
+    after = F.coalesce(F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))), F.lit(""))
     host = F.translate(F.regexp_extract(after, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     path = F.regexp_extract(after, r"^[^/?#]*([^?#]*)", 1)
     return host, path
@@ -47,7 +46,8 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
     """The winning rule (host and path) and its verdict, null where none fits."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for own_host, own_path, own_verdict in sorted(rules, key=lambda r: (len(r[0] + r[1]), r[0] + r[1]), reverse=False):
+    # the best last, so that it decides
+    for own_host, own_path, own_verdict in reversed(sorted(rules, key=lambda r: (-len(r[0] + r[1]), r[0] + r[1]))):
         fits = ((host == own_host) | F.endswith(host, F.lit("." + own_host))) & F.startswith(path, F.lit(own_path))
         name = F.when(fits, own_host + own_path).otherwise(name)
         verdict = F.when(fits, own_verdict).otherwise(verdict)
@@ -55,46 +55,47 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def _features(frame: DataFrame) -> DataFrame:
-    text = F.concat(F.lit("^"), F.col("__host"), F.lit(" "), F.col("__path"), F.lit("$"))
+    """Adds the column features, from host and path."""
+    text = F.concat(F.lit("^"), F.col("host"), F.lit(" "), F.col("path"), F.lit("$"))
 
     def grams_of(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - (n - 1)))
         return F.transform(starts, lambda at: F.substring(text, at, F.lit(n)))
 
     grams = F.concat(*[grams_of(n) for n in GRAMS])
-    return HashingTF(inputCol="__grams", outputCol="__features", numFeatures=BUCKETS, binary=True).transform(frame.withColumn("__grams", grams))
+    return HashingTF(inputCol="grams", outputCol="features", numFeatures=BUCKETS, binary=True).transform(frame.withColumn("grams", grams))
 
 
 def _split(urls: DataFrame, url_col: str) -> DataFrame:
-    host, path = host_and_path(F.col("__url"))
-    return urls.withColumn("__url", F.col(url_col)).withColumn("__host", host).withColumn("__path", path).drop("__url")
+    host, path = host_and_path(F.col(url_col))
+    return urls.withColumns({"host": host, "path": path})
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url_col: str = "url") -> DataFrame:
-    """All columns, plus host, path, rule and verdict. labelled: (url, verdict)."""
+    """All columns, plus host, path, rule and verdict. labelled: (url, verdict). Without rules the method decides all."""
     pages = pages.drop(*[c for c in ("host", "path", "rule", "verdict") if c in pages.columns])
     names = pages.columns
+    inner = [f"c{i}" for i in range(len(names))]  # no column of the caller can clash with one made here
     known = labelled.select("url", "verdict").where(F.col("url").isNotNull() & F.col("verdict").isin("allow", "block")).distinct()
     known = workspace.written(smallest(known, F.xxhash64("url"), MOST_LABELLED, known.count(), "url", "verdict"), "labelled-urls")
     verdicts = sorted(r.verdict for r in known.select("verdict").distinct().collect())
-    split = _split(pages, url_col)
+    split = _split(pages.toDF(*inner), f"c{names.index(url_col)}")
     if len(verdicts) < 2:
-        guessed = split.withColumn("__guess", F.lit(verdicts[0] if verdicts else "allow"))
+        guessed = split.withColumn("guess", F.lit(verdicts[0] if verdicts else "allow"))
     else:
         # one partition in a fixed order: the fitted weights are the same in every run
-        table = _features(_split(known, "url")).withColumn("__block", (F.col("verdict") == "block").cast("double")).select(
-            "url", "__features", "__block").repartition(1).sortWithinPartitions("url")
-        model = LogisticRegression(featuresCol="__features", labelCol="__block", regParam=0.01, maxIter=50,
-                                   probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction").fit(table)
-        scored = model.transform(_features(split))
-        guessed = scored.withColumn("__guess", F.when(vector_to_array("__probability")[1] >= 0.5, "block").otherwise("allow"))
-    name, verdict = rule_of(F.col("__host"), F.col("__path"), rules)
-    return guessed.select(*[F.col(f"`{n}`") for n in names], F.col("__host").alias("host"), F.col("__path").alias("path"),
-                          name.alias("rule"), F.coalesce(verdict, F.col("__guess")).alias("verdict"))
+        table = _features(_split(known, "url")).withColumn("block", (F.col("verdict") == "block").cast("double")).select(
+            "url", "features", "block").repartition(1).sortWithinPartitions("url")
+        model = LogisticRegression(featuresCol="features", labelCol="block", regParam=0.01, maxIter=50, probabilityCol="chance",
+                                   rawPredictionCol="raw", predictionCol="likelier").fit(table)
+        guessed = model.transform(_features(split)).withColumn("guess", F.when(vector_to_array("chance")[1] >= 0.5, "block").otherwise("allow"))
+    name, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    done = guessed.select(*inner, "host", "path", name.alias("rule"), F.coalesce(verdict, F.col("guess")).alias("verdict"))
+    return done.toDF(*names, "host", "path", "rule", "verdict")
 
 
 def decided_by_rules(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, url_col: str = "url") -> DataFrame:
     """A labelled table (url, verdict) from the URLs that a rule decides."""
     split = _split(pages.select(F.col(url_col).alias("url")), "url")
-    _, verdict = rule_of(F.col("__host"), F.col("__path"), rules)
+    _, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return split.select("url", verdict.alias("verdict")).where(F.col("verdict").isNotNull())

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from roadflux.llm import urls
 
 
@@ -45,3 +47,29 @@ def test_few_labels(spark):
     one = spark.createDataFrame([("http://y", "block"), (None, "allow")], "url string, verdict string")
     assert [r.verdict for r in urls.judge(pages, one).collect()] == ["block"] * 3
     assert urls.judge(pages.limit(0), one).count() == 0
+
+
+def test_ties_between_rules(spark):
+    rules = [("org", "/xyz", "block"), ("a.org", "/x", "allow"), ("b.net", "/", "block"), ("b.net", "/", "allow")]
+    frame = spark.createDataFrame([(1, "http://a.org/xyz"), (2, "http://q.b.net/1")], "page_id long, url string")
+    for given in (rules, rules[1::-1] + rules[2:]):
+        done = {r.page_id: (r.rule, r.verdict) for r in urls.judge(frame, urls.decided_by_rules(frame, given), given).collect()}
+        assert done == {1: ("a.org/x", "allow"), 2: ("b.net/", "block")}
+
+
+def test_columns_of_the_caller_stay(spark):
+    own = ["__host", "__url", "grams", "features", "c0", "guess", "block"]
+    frame = spark.createDataFrame([(u, *own) for u in URLS], ["url", *own])
+    done = urls.judge(frame, urls.decided_by_rules(frame))
+    assert done.columns == ["url", *own, "host", "path", "rule", "verdict"]
+    assert {tuple(r)[1:8] for r in done.collect()} == {tuple(own)}
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    """The method alone on URLs whose verdict is known but was not learned."""
+    pages = spark.read.parquet(f"{sf_dir.replace('0.001', '0.1')}/pages.parquet")
+    known = urls.decided_by_rules(pages).distinct()
+    held_out = F.pmod(F.xxhash64("url", F.lit(1)), F.lit(2)) == 0
+    done = urls.judge(known.where(held_out).withColumnRenamed("verdict", "truth"), known.where(~held_out), rules=())
+    right, n = done.agg(F.avg((F.col("truth") == F.col("verdict")).cast("int")), F.count("*")).first()
+    assert n > 100 and right >= 0.95
