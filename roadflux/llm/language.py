@@ -27,7 +27,7 @@ SEED = 5
 UNKNOWN = "und"
 MOST_LANGUAGES = 4096
 ROWS_PER_BATCH = 200
-SLICE = 4096
+SLICE = 1 << 14
 _CHARS_AT_ONCE = 1 << 20
 _SPACE = 0x110000
 
