@@ -126,6 +126,9 @@ def train_congestion(features: DataFrame) -> Trained:
         numTrees=50, maxDepth=10, seed=SEED,
     )
     model = _pipeline(CONGESTION_FEATURES, estimator).fit(train.dropna(subset=[*CONGESTION_FEATURES, "congestion_target"]))
+    # The training summary holds the session, which goes to tasks with the model and can't once the session has observed
+    # anything; copies of a stage come without it.
+    model = PipelineModel([stage.copy() for stage in model.stages])
     predictions = predicted(model, test, CONGESTION_FEATURES, "congestion_prediction")
     return Trained(model, CONGESTION_FEATURES, predictions, accuracy(predictions).first().asDict())
 

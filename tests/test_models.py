@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from conftest import rows
 from roadflux import workspace
@@ -54,6 +54,15 @@ def test_congestion_model_beats_the_majority(table):
     assert trained.scores["accuracy"] == pytest.approx(right / trained.scores["rows"])
 
 
+def test_congestion_model_scores_in_a_session_that_observed_something(spark, table):
+    counted = Observation("seen")
+    spark.range(5).observe(counted, F.count("*").alias("n")).collect()
+    assert counted.get["n"] == 5
+    trained = models.train_congestion(table)
+    assert not trained.model.stages[-1].hasSummary
+    assert trained.predict(table, "congestion_prediction").filter("congestion_prediction IS NOT NULL").count() > 0
+
+
 def test_usual_path_lengths():
     assert anomalies.usual_path(1) == 0.0 and anomalies.usual_path(2) == 1.0
     assert anomalies.usual_path(256) == pytest.approx(10.244770, abs=1e-5)
