@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,9 +29,28 @@ def landing_rows(messages: DataFrame) -> DataFrame:
     )
 
 
+WRITERS = 256
+_OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextlib.contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Inside, a task keeps a file open per folder it writes to instead of sorting its rows by folder, which holds them in memory.
+
+    Rows of a task that writes to more than ``WRITERS`` folders are sorted from there on.
+    """
+    before = spark.conf.get(_OPEN)
+    spark.conf.set(_OPEN, str(WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN, before)
+
+
 def land_batch(messages: DataFrame, path: str) -> None:
     """Rebalancing keeps files few and splits a zone that holds most messages."""
-    landing_rows(messages).hint("rebalance", "date", "zone").write.mode("append").partitionBy("date", "zone").text(path)
+    with _unsorted(messages.sparkSession):
+        landing_rows(messages).hint("rebalance", "date", "zone").write.mode("append").partitionBy("date", "zone").text(path)
 
 
 ROWS_PER_FILE = 1_000_000
@@ -50,7 +71,8 @@ def land_stream(
         sized = rows.join(sizes, (rows["date"] == sizes["_d"]) & (rows["zone"] == sizes["_z"]))
         spread = sized.repartition("date", "zone", F.pmod(F.xxhash64("value"), F.col("_tasks")))
         writer = spread.select("date", "zone", F.lit(f"{run}-{batch_id}").alias("batch"), "value").write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy("date", "zone", "batch").text(path)
+        with _unsorted(batch.sparkSession):
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy("date", "zone", "batch").text(path)
 
     writer = messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
@@ -110,6 +132,7 @@ def compact_landed(spark: SparkSession, path: str, store: str, rows_per_file: in
     fold = folds[-1] + 1 if folds else 0
     rows = loose.join(ready, "batch", "left_semi").select("date", "zone", "value")
     part = rows.hint("rebalance", "date", "zone").write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-    part.partitionBy("date", "zone").text(f"{store}/parts/fold={fold}")
+    with _unsorted(spark):
+        part.partitionBy("date", "zone").text(f"{store}/parts/fold={fold}")
     ready.write.mode("overwrite").parquet(f"{store}/folded/fold={fold}")
     return fold

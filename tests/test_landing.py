@@ -2,6 +2,9 @@
 
 from pathlib import Path
 
+import pytest
+from pyspark.sql import DataFrameWriter
+
 from roadflux.sources import raw
 from roadflux.streaming import landing
 
@@ -50,3 +53,25 @@ def test_compaction(spark, tmp_path):
     # What a fold left unfinished does not count.
     (Path(store) / "folded" / "fold=2").mkdir()
     assert got() == sorted(sent)
+
+
+def test_landing_does_not_sort_by_folder(spark, tmp_path):
+    """The rows of a task would lie in memory for it. Rows come out alike when there are more folders than open files."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen, text = spark.conf.get(setting), [], DataFrameWriter.text
+
+    def recorded(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(setting)))
+        return text(self, *args, **kwargs)
+
+    lines = [f'{{"zone":"Z{k % 9}","event_time":"2024-01-{1 + k % 5:02d}T00:00:00"}}' for k in range(900)] + ["damaged"]
+    messages = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    for writers in (landing.WRITERS, 3):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(DataFrameWriter, "text", recorded)
+            patch.setattr(landing, "WRITERS", writers)
+            landing.land_batch(messages, f"{tmp_path}/{writers}")
+        got = spark.read.text(f"{tmp_path}/{writers}")
+        assert sorted(r.value for r in got.select("value").collect()) == sorted(lines)
+        assert got.select("date", "zone").distinct().count() == 46
+    assert seen == [landing.WRITERS, 3] and spark.conf.get(setting) == before
