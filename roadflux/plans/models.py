@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -35,7 +37,12 @@ class Trained:
     model: PipelineModel
     inputs: list[str]
     predictions: DataFrame  # of the rows held back; NULL for rows that lack an input
-    scores: dict[str, float]
+    measured: DataFrame  # one row, over these predictions
+
+    @cached_property
+    def scores(self) -> dict[str, float]:
+        """Predicts the rows held back; who does not ask is spared that."""
+        return self.measured.first().asDict()
 
     def predict(self, rows: DataFrame, prediction: str) -> DataFrame:
         return predicted(self.model, rows, self.inputs, prediction)
@@ -106,8 +113,7 @@ def train_regression(features: DataFrame, label: str, prediction: str) -> Traine
     )
     model = _pipeline(TRAFFIC_FEATURES, estimator).fit(train.dropna(subset=[*TRAFFIC_FEATURES, label]))
     predictions = predicted(model, test, TRAFFIC_FEATURES, prediction)
-    scores = regression_scores(predictions, label, prediction).first().asDict()
-    return Trained(model, TRAFFIC_FEATURES, predictions, scores)
+    return Trained(model, TRAFFIC_FEATURES, predictions, regression_scores(predictions, label, prediction))
 
 
 def train_traffic(features: DataFrame) -> Trained:
@@ -125,12 +131,21 @@ def train_congestion(features: DataFrame) -> Trained:
         featuresCol="features", labelCol="congestion_target", predictionCol="congestion_prediction",
         numTrees=50, maxDepth=10, seed=SEED,
     )
-    model = _pipeline(CONGESTION_FEATURES, estimator).fit(train.dropna(subset=[*CONGESTION_FEATURES, "congestion_target"]))
+    *encoding, forest = _pipeline(CONGESTION_FEATURES, estimator).getStages()
+    known = train.dropna(subset=[*CONGESTION_FEATURES, "congestion_target"])
+    encoder = Pipeline(stages=encoding).fit(known)
+    # The forest reads its rows four times before it holds them in bins. On disk, as memory is for the bins: node ids kept beside
+    # them (cacheNodeIds) drove them out.
+    encoded = encoder.transform(known).select("features", "congestion_target").persist(StorageLevel.DISK_ONLY)
+    try:
+        fitted = forest.fit(encoded)
+    finally:
+        encoded.unpersist()
     # The training summary holds the session, which goes to tasks with the model and can't once the session has observed
     # anything; copies of a stage come without it.
-    model = PipelineModel([stage.copy() for stage in model.stages])
+    model = PipelineModel([stage.copy() for stage in [*encoder.stages, fitted]])
     predictions = predicted(model, test, CONGESTION_FEATURES, "congestion_prediction")
-    return Trained(model, CONGESTION_FEATURES, predictions, accuracy(predictions).first().asDict())
+    return Trained(model, CONGESTION_FEATURES, predictions, accuracy(predictions))
 
 
 def accuracy(predictions: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import Observation, functions as F
 
 from conftest import rows
@@ -63,6 +64,29 @@ def test_congestion_model_scores_in_a_session_that_observed_something(spark, tab
     assert trained.predict(table, "congestion_prediction").filter("congestion_prediction IS NOT NULL").count() > 0
 
 
+def test_congestion_training_reads_the_table_twice_and_the_forest_is_that_of_the_plain_pipeline(spark, table):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    kept = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    trained = models.train_congestion(table.mapInPandas(counted, table.schema))
+    assert read.value == 2 * table.count()  # for the category index and for the encoded rows
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == kept
+    assert trained.scores["rows"] > 0 and read.value == 3 * table.count()
+    assert trained.scores["accuracy"] > 0 and read.value == 3 * table.count()
+
+    estimator = RandomForestClassifier(featuresCol="features", labelCol="congestion_target", predictionCol="congestion_prediction",
+                                       numTrees=50, maxDepth=10, seed=models.SEED)
+    known = models.split(table, 70)[0].dropna(subset=[*models.CONGESTION_FEATURES, "congestion_target"])
+    plain = models._pipeline(models.CONGESTION_FEATURES, estimator).fit(known)
+    trees = lambda model: [t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees]
+    assert trees(models.train_congestion(table).model) == trees(plain)
+
+
 def test_usual_path_lengths():
     assert anomalies.usual_path(1) == 0.0 and anomalies.usual_path(2) == 1.0
     assert anomalies.usual_path(256) == pytest.approx(10.244770, abs=1e-5)
