@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from roadflux.functions.timeparts import with_calendar
 from roadflux.operators import features
@@ -29,6 +29,8 @@ CONGESTION_FEATURES = [
     "vehicle_count_lag1", "speed_lag1", "occupancy_lag1", "vehicle_count_ma3", "speed_ma3", "occupancy_ma3",
 ]
 SEED = 42
+# Training rows a task of the forest holds; each has its own statistics of all open nodes, so that more tasks cost more.
+ROWS_PER_TASK = 1_000_000
 MODEL_VERSION = "v1.0"
 
 
@@ -124,6 +126,21 @@ def train_speed(features: DataFrame) -> Trained:
     return train_regression(features, "speed_target", "predicted_speed")
 
 
+def spread(rows: DataFrame, count: int, first: list[str]) -> DataFrame:
+    """Even tasks for jobs that go over the same rows many times: as many for each core, none above ``ROWS_PER_TASK``.
+
+    The files of a table make a few more tasks than cores, or tasks too large to be held. What one task holds stays where it
+    lies. Rows are dealt in turn and ordered by all columns, those of ``first`` before the rest: reruns on as many cores see the
+    same rows in the same places, and rows that fall into the same nodes of a tree lie together.
+    """
+    if count <= ROWS_PER_TASK:
+        return rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rounds = -(-count // (cores * ROWS_PER_TASK))
+    rest = [c for c in rows.columns if c not in first]
+    return rows.repartition(cores * rounds).sortWithinPartitions(*first, *rest)
+
+
 def train_congestion(features: DataFrame) -> Trained:
     train, test = split(features, 70)
     # The estimator's settings.
@@ -133,10 +150,13 @@ def train_congestion(features: DataFrame) -> Trained:
     )
     *encoding, forest = _pipeline(CONGESTION_FEATURES, estimator).getStages()
     known = train.dropna(subset=[*CONGESTION_FEATURES, "congestion_target"])
-    encoder = Pipeline(stages=encoding).fit(known)
+    counted = Observation()
+    encoder = Pipeline(stages=encoding).fit(known.observe(counted, F.count("*").alias("rows")))
+    needed = known.select(*CONGESTION_FEATURES, *CATEGORIES, "congestion_target")
+    taught = spread(needed, counted.get["rows"], ["average_speed", "occupancy_rate", "vehicle_count"])
     # The forest reads its rows four times before it holds them in bins. On disk, as memory is for the bins: node ids kept beside
     # them (cacheNodeIds) drove them out.
-    encoded = encoder.transform(known).select("features", "congestion_target").persist(StorageLevel.DISK_ONLY)
+    encoded = encoder.transform(taught).select("features", "congestion_target").persist(StorageLevel.DISK_ONLY)
     try:
         fitted = forest.fit(encoded)
     finally:

@@ -87,6 +87,32 @@ def test_congestion_training_reads_the_table_twice_and_the_forest_is_that_of_the
     assert trees(models.train_congestion(table).model) == trees(plain)
 
 
+def test_forest_trains_in_even_tasks_of_bounded_size(spark, table, monkeypatch):
+    sizes, fit = [], RandomForestClassifier.fit
+
+    def watched(self, rows, *rest):
+        sizes.append([r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(self, rows, *rest)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", watched)
+    known = models.split(table, 70)[0].dropna(subset=[*models.CONGESTION_FEATURES, "congestion_target"]).count()
+    monkeypatch.setattr(models, "ROWS_PER_TASK", known // 5, raising=False)  # two rounds of four cores
+    # A large part and a small one.
+    lopsided = table.filter("zone <> 'Peripherie-Sud'").coalesce(1).unionByName(table.filter("zone = 'Peripherie-Sud'").coalesce(1))
+    kept = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    trained = models.train_congestion(lopsided)
+    assert len(sizes[0]) == 8 and sum(sizes[0]) == known
+    assert max(sizes[0]) <= known // 5 and max(sizes[0]) - min(sizes[0]) <= 2
+    assert trained.scores["rows"] > 0 and spark.sparkContext._jsc.sc().getPersistentRDDs().size() == kept
+    trees = lambda model: [t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].trees]
+    assert trees(models.train_congestion(lopsided).model) == trees(trained.model)
+
+    given = spark.range(1001).coalesce(1)
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 1001)
+    assert models.spread(given, 1001, ["id"]) is given
+    assert rows(models.spread(given.union(given), 2002, ["id"])) == rows(given.union(given))  # repeated rows stay
+
+
 def test_usual_path_lengths():
     assert anomalies.usual_path(1) == 0.0 and anomalies.usual_path(2) == 1.0
     assert anomalies.usual_path(256) == pytest.approx(10.244770, abs=1e-5)
